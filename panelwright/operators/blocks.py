@@ -13,49 +13,76 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from panelwright.spec import PanelSpec
 
 BLOCK = "_block"
 
 
-def blocked(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Rows with their block, partitioned by series and block. Rows of no series are left out."""
-    if BLOCK in df.columns:
-        return df
+def group(spec: PanelSpec) -> list[str]:
+    return [*spec.keys, BLOCK]
+
+
+def tag(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows with their block. Rows that lack a key or a time belong to no series and are left out."""
     present = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in spec.natural_key])
-    rows = df.filter(present).withColumn(BLOCK, spec.block(df))
-    return rows.repartition(*spec.keys, BLOCK)
+    return df.filter(present).withColumn(BLOCK, spec.block(df))
 
 
-def group(spec: PanelSpec) -> list[str]:
-    return [*spec.keys, BLOCK]
+def spread(tagged: DataFrame, spec: PanelSpec) -> DataFrame:
+    return tagged.repartition(*group(spec))
+
+
+def blocked(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Rows partitioned by series and block; rows that already are stay where they are."""
+    return df if BLOCK in df.columns else spread(tag(df, spec), spec)
 
 
-def in_block(spec: PanelSpec, newest_first: bool = False) -> Window:
+def attach(rows: DataFrame, carry: DataFrame, spec: PanelSpec, how: str = "inner") -> DataFrame:
+    """Joins block summaries to their rows.
+
+    The rows are partitioned by the join key, so only the summaries move. They are hashed partition by
+    partition: nothing is broadcast that grows with the data, and the rows keep their order, so the
+    next window needs no sort.
+    """
+    return rows.join(carry.hint("shuffle_hash"), group(spec), how)
+
+
+def in_block(spec: PanelSpec, newest_first: bool = False) -> WindowSpec:
     order = F.col(spec.time).desc() if newest_first else F.col(spec.time).asc()
     return Window.partitionBy(*group(spec)).orderBy(order)
 
 
-def across_blocks(spec: PanelSpec, newest_first: bool = False) -> Window:
+def across_blocks(spec: PanelSpec, newest_first: bool = False) -> WindowSpec:
     """Window over block summaries: one row per block of a series."""
     order = F.col(BLOCK).desc() if newest_first else F.col(BLOCK).asc()
     return Window.partitionBy(*spec.keys).orderBy(order)
 
 
-def positions(df: DataFrame, spec: PanelSpec) -> DataFrame:
-    """Adds ``pos``, the 1-based place of a row in its series, and ``n``, the length of the series."""
+def running_counts(df: DataFrame, spec: PanelSpec, counts: dict[str, Column],
+                   totals: dict[str, str] | None = None) -> DataFrame:
+    """Adds, per name, how many rows of the series up to this one fulfil the condition.
+
+    ``totals`` maps further names to the names whose count over the whole series they hold. The block
+    counts are aggregated before the shuffle.
+    """
+    tagged = df if BLOCK in df.columns else tag(df, spec)
     rows = blocked(df, spec)
-    counts = rows.groupBy(*group(spec)).agg(F.count("*").alias("_rows"))
-    upto = F.sum("_rows").over(across_blocks(spec))
-    carry = counts.select(
+    each = tagged.groupBy(*group(spec)).agg(*[F.count_if(c).alias(f"_in_{n}") for n, c in counts.items()])
+    whole = Window.partitionBy(*spec.keys)
+    carry = each.select(
         *group(spec),
-        (upto - F.col("_rows")).alias("_before"),
-        F.sum("_rows").over(Window.partitionBy(*spec.keys)).alias("n"))
-    rank = F.row_number().over(in_block(spec))
-    return (rows.join(carry, group(spec))
-            .withColumn("pos", F.col("_before") + rank)
-            .drop("_before"))
+        *[(F.sum(f"_in_{n}").over(across_blocks(spec)) - F.col(f"_in_{n}")).alias(f"_before_{n}") for n in counts],
+        *[F.sum(f"_in_{n}").over(whole).alias(total) for total, n in (totals or {}).items()])
+    upto = in_block(spec).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    made = {n: F.col(f"_before_{n}") + F.count_if(c).over(upto) for n, c in counts.items()}
+    return attach(rows, carry, spec).withColumns(made).drop(*[f"_before_{n}" for n in counts])
+
+
+def positions(df: DataFrame, spec: PanelSpec) -> DataFrame:
+    """Adds ``pos``, the 1-based place of a row in its series, and ``n``, the length of the series."""
+    return running_counts(df, spec, {"pos": F.lit(True)}, {"n": "pos"})
 
 
 def neighbours(rows: DataFrame, spec: PanelSpec, payload: Column) -> DataFrame:
@@ -74,7 +101,7 @@ def neighbours(rows: DataFrame, spec: PanelSpec, payload: Column) -> DataFrame:
     upto = (Window.unboundedPreceding, Window.currentRow)
     back = F.last("_load", True).over(in_block(spec).rowsBetween(*upto))
     ahead = F.last("_load", True).over(in_block(spec, newest_first=True).rowsBetween(*upto))
-    return (rows.join(carry, group(spec))
+    return (attach(rows, carry, spec)
             .withColumn("_prev", F.coalesce(back, "_before"))
             .withColumn("_next", F.coalesce(ahead, "_after"))
             .drop("_load", "_before", "_after"))

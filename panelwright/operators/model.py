@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -70,7 +71,8 @@ def _unpack(spark: SparkSession, pipeline: PipelineModel, keys: tuple[str, ...],
     return BoundedModel(pipeline, tuple(weights[:lag]), float(fitted.intercept), effects, keys)
 
 
-def fit_bounded(train: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG, max_iter: int = 50) -> BoundedModel:
+def fit_bounded(train: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG, max_iter: int = 50,
+                glm_features: int = GLM_FEATURES) -> BoundedModel:
     """Fits the model on rows with scaled ``lag_*`` and a scaled target ``y`` in [0, 1]."""
     keys = spec.keys
     data = train.select(*keys, *lag_names(lag), "y")
@@ -78,20 +80,24 @@ def fit_bounded(train: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG, max_i
     features = lag + sum(levels)
     index = [f"_{k}_idx" for k in keys]
     hot = [f"_{k}_hot" for k in keys]
-    stages = [
+    inputs = Pipeline(stages=[
         StringIndexer(inputCols=list(keys), outputCols=index, stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=index, outputCols=hot, dropLast=False),
         VectorAssembler(inputCols=[*lag_names(lag), *hot], outputCol="features"),
-    ]
-    if features <= GLM_FEATURES:
-        stages.append(GeneralizedLinearRegression(
-            family="binomial", link="logit", labelCol="y", maxIter=max_iter))
+    ]).fit(data)
+    ready = inputs.transform(data).select("features", "y")
+    if features <= glm_features:
+        regressor = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="y", maxIter=max_iter)
     else:
         share = F.array(F.struct(F.lit(1.0).alias("label"), F.col("y").alias("weight")),
                         F.struct(F.lit(0.0).alias("label"), (1.0 - F.col("y")).alias("weight")))
-        data = data.select(*keys, *lag_names(lag), F.inline(share)).filter(F.col("weight") > 0)
-        stages.append(LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter))
-    return _unpack(train.sparkSession, Pipeline(stages=stages).fit(data), keys, lag)
+        ready = ready.select("features", F.inline(share)).filter(F.col("weight") > 0)
+        regressor = LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter, tol=1e-9)
+    # Every iteration reads the vectors; those of a lost executor are made again from the train rows.
+    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    fitted = regressor.fit(ready)
+    ready.unpersist()
+    return _unpack(train.sparkSession, PipelineModel([*inputs.stages, fitted]), keys, lag)
 
 
 def link_value(score: Column, link: str) -> Column:

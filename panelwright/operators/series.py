@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as S
-from panelwright.operators.blocks import BLOCK, across_blocks, blocked, group, in_block, neighbours, positions
+from panelwright.operators.blocks import (
+    BLOCK, across_blocks, attach, blocked, group, in_block, neighbours, positions)
 from panelwright.schema import LAG, TRAIN_SHARE
 from panelwright.spec import CHILI, PanelSpec
 
@@ -95,9 +96,10 @@ def supervised(df: DataFrame, n_in: int = LAG, n_out: int = 1, spec: PanelSpec =
     """
     columns = list(columns or [spec.value])
     ahead = n_out - 1
+    size = F.count("*").over(Window.partitionBy(*group(spec)))
     rows = (blocked(df, spec)
             .withColumn("_rank", F.row_number().over(in_block(spec)))
-            .withColumn("_left", F.row_number().over(in_block(spec, newest_first=True))))
+            .withColumn("_left", size - F.col("_rank") + 1))
     pair = F.struct(F.col(spec.time).alias("_time"), *columns)
     summary = rows.groupBy(*group(spec)).agg(
         F.sort_array(F.collect_list(F.when(F.col("_left") <= n_in, pair)), False).alias("_tail"),
@@ -108,7 +110,7 @@ def supervised(df: DataFrame, n_in: int = LAG, n_out: int = 1, spec: PanelSpec =
         *group(spec),
         F.slice(F.flatten(F.collect_list("_tail").over(before)), 1, max(n_in, 1)).alias("_past"),
         F.slice(F.flatten(F.collect_list("_head").over(after)), 1, max(ahead, 1)).alias("_future"))
-    rows = rows.join(carry, group(spec))
+    rows = attach(rows, carry, spec)
 
     made: dict[str, Column] = {}
     for column in columns:
@@ -120,7 +122,7 @@ def supervised(df: DataFrame, n_in: int = LAG, n_out: int = 1, spec: PanelSpec =
         made[f"{prefix}y"] = F.col(column)
         for i in range(1, n_out):
             inside = F.lead(column, i).over(in_block(spec))
-            outside = F.get("_future", F.lit(i) - F.col("_left"))[column]
+            outside = F.get("_future", (F.lit(i) - F.col("_left")).cast("int"))[column]
             made[f"{prefix}lead_{i}"] = F.when(F.col("_left") > i, inside).otherwise(outside)
     out = rows.withColumns(made).drop("_rank", "_left", "_past", "_future")
     return out.dropna(how="any", subset=list(made)) if drop_incomplete else out

@@ -16,73 +16,77 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions import scalars as S
-from panelwright.operators.blocks import BLOCK, group, in_block, positions
+from panelwright.operators.blocks import BLOCK, attach, group, in_block, running_counts
 from panelwright.operators.series import linear_value, with_neighbours
 from panelwright.schema import MAX_PRICE
+from panelwright.session import cut_lineage
 from panelwright.spec import CHILI, PanelSpec
 
 PIECE = 2048
 HALO = 64
 
 
-def curvature(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Second derivatives at the knots of the not-a-knot cubic spline; needs at least four knots."""
-    h = np.diff(x)
-    slope = np.diff(y) / h
-    lower, upper = h[:-1].copy(), h[1:].copy()
-    main = 2.0 * (h[:-1] + h[1:])
-    right = 6.0 * np.diff(slope)
-    # The third derivative is continuous at the second and the last but one knot.
-    main[0] += h[0] + h[0] ** 2 / h[1]
-    upper[0] -= h[0] ** 2 / h[1]
-    main[-1] += h[-1] + h[-1] ** 2 / h[-2]
-    lower[-1] -= h[-1] ** 2 / h[-2]
-    inner = len(main)
-    for i in range(1, inner):
-        factor = lower[i] / main[i - 1]
-        main[i] -= factor * upper[i - 1]
-        right[i] -= factor * right[i - 1]
-    m = np.empty(inner + 2)
-    m[inner] = right[-1] / main[-1]
-    for i in range(inner - 2, -1, -1):
-        m[i + 1] = (right[i] - upper[i] * m[i + 2]) / main[i]
-    m[0] = m[1] - h[0] / h[1] * (m[2] - m[1])
-    m[-1] = m[-2] + h[-1] / h[-2] * (m[-2] - m[-3])
-    return m
-
-
-def _knots(rows: DataFrame, spec: PanelSpec, part: str | None, piece: int, halo: int) -> DataFrame:
-    """Curvature at the known points, as one array per block in time order."""
-    keys = [*spec.keys, *([part] if part else [])]
-    known = rows.filter(F.col(spec.value).isNotNull()).select(
-        *keys, spec.time, F.col(spec.value).cast("double").alias("_y"),
-        F.col("pos").alias("_x"), F.col(BLOCK).alias("_home"))
-    ranked = positions(known, spec.with_keys(*keys)).drop(BLOCK)
-    rank = F.col("pos") - 1
-
-    def at(offset: int):
-        return F.floor((rank + offset) / piece)
-
-    final = F.floor((F.col("n") - 1) / piece)
-    spread = (ranked.withColumn("_own", at(0))
-              .withColumn("_piece", F.explode(F.array_distinct(F.array(at(-halo), at(0), at(halo)))))
-              .filter((F.col("_piece") >= 0) & (F.col("_piece") <= final)))
+def _solver():
+    """The solver as a closure: it travels to the executors by value, without this package there."""
+    def curvature(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Second derivatives at the knots of the not-a-knot cubic spline; needs at least four knots."""
+        h = np.diff(x)
+        slope = np.diff(y) / h
+        lower, upper = h[:-1].copy(), h[1:].copy()
+        main = 2.0 * (h[:-1] + h[1:])
+        right = 6.0 * np.diff(slope)
+        # The third derivative is continuous at the second and the last but one knot.
+        main[0] += h[0] + h[0] ** 2 / h[1]
+        upper[0] -= h[0] ** 2 / h[1]
+        main[-1] += h[-1] + h[-1] ** 2 / h[-2]
+        lower[-1] -= h[-1] ** 2 / h[-2]
+        inner = len(main)
+        for i in range(1, inner):
+            factor = lower[i] / main[i - 1]
+            main[i] -= factor * upper[i - 1]
+            right[i] -= factor * right[i - 1]
+        m = np.empty(inner + 2)
+        m[inner] = right[-1] / main[-1]
+        for i in range(inner - 2, -1, -1):
+            m[i + 1] = (right[i] - upper[i] * m[i + 2]) / main[i]
+        m[0] = m[1] - h[0] / h[1] * (m[2] - m[1])
+        m[-1] = m[-2] + h[-1] / h[-2] * (m[-2] - m[-3])
+        return m
+
+    return curvature
+
+
+curvature = _solver()
+
+
+def _curvature_by_block(rows: DataFrame, spec: PanelSpec, part: str | None, piece: int, halo: int) -> DataFrame:
+    """Curvature at the known points, as one array per block in time order.
+
+    A known point goes to the piece its rank falls in and, near an edge, to the neighbour piece as well.
+    """
+    rank = F.col("_known") - 1
+    pieces = F.array_distinct(F.array(*[F.floor((rank + shift) / piece) for shift in (-halo, 0, halo)]))
+    spread = rows.filter(F.col(spec.value).isNotNull()).select(
+        *spec.keys, spec.time, BLOCK, F.col("pos").alias("_x"), F.col(spec.value).cast("double").alias("_y"),
+        (F.col(part) if part else F.lit("")).alias("_part"),
+        F.floor(rank / piece).alias("_own"), F.explode(pieces).alias("_piece"))
     source = spread.schema
-    out = T.StructType([*[source[k] for k in keys], source[spec.time], source["_home"],
+    out = T.StructType([*[source[c] for c in (*spec.keys, spec.time, BLOCK)],
                         T.StructField("_m", T.DoubleType())])
     names = [f.name for f in out]
+    second = _solver()
 
     def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        if len(pdf) > 3:
-            pdf["_m"] = curvature(pdf["_x"].to_numpy(float), pdf["_y"].to_numpy(float))
-        else:
-            pdf["_m"] = np.nan
+        pdf = pdf.sort_values("_x").reset_index(drop=True)
+        pdf["_m"] = np.nan
+        for _, at in pdf.groupby("_part", sort=False).groups.items():
+            if len(at) > 3:
+                pdf.loc[at, "_m"] = second(pdf.loc[at, "_x"].to_numpy(float), pdf.loc[at, "_y"].to_numpy(float))
         return pdf.loc[pdf["_own"] == pdf["_piece"], names]
 
-    solved = spread.groupBy(*keys, "_piece").applyInPandas(solve, out)
+    solved = spread.groupBy(*spec.keys, "_piece").applyInPandas(solve, out)
     point = F.struct(F.col(spec.time).alias("time"), S.no_nan(F.col("_m")).alias("m"))
-    return (solved.groupBy(*spec.keys, F.col("_home").alias(BLOCK))
+    return (solved.groupBy(*group(spec))
             .agg(F.sort_array(F.collect_list(point)).alias("_points"))
             .withColumn("_points", F.transform("_points", lambda p: p["m"])))
 
@@ -93,17 +97,20 @@ def fill_spline(df: DataFrame, spec: PanelSpec = CHILI, part: str | None = None,
     """Fills gaps of ``value`` by a cubic spline between known points, edges by the nearest known value.
 
     If the spline of a series (or of its ``part``) is anywhere missing, negative or above ``high``,
-    the whole of it is filled linearly. Known values never change.
+    the whole of it is filled linearly. Known values never change. The rows are checkpointed once with
+    their curvature, which keeps their partitioning, so that the Python step is never repeated.
     """
     if piece <= halo:
         raise ValueError("a piece must be longer than its halo")
-    rows = df if "pos" in df.columns else positions(df, spec)
     known = F.col(spec.value).isNotNull()
-    seen = F.count(F.when(known, 1)).over(
-        in_block(spec).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = (rows.join(_knots(rows, spec, part, piece, halo), group(spec), "left")
-            .withColumn("_m", F.when(known, F.get("_points", seen.cast("int") - 1)))
-            .drop("_points"))
+    if "pos" not in df.columns:
+        rows = running_counts(df, spec, {"pos": F.lit(True), "_known": known}, {"n": "pos"})
+    else:
+        rows = df if "_known" in df.columns else running_counts(df, spec, {"_known": known})
+    seen = F.count_if(known).over(in_block(spec).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = attach(rows, _curvature_by_block(rows, spec, part, piece, halo), spec, "left")
+    rows = rows.withColumn("_m", F.when(known, F.get("_points", seen.cast("int") - 1))).drop("_points", "_known")
+    rows = cut_lineage(rows)
     rows = with_neighbours(rows, spec, part, extra=("_m",))
 
     before, after = F.col("_prev"), F.col("_next")
@@ -121,7 +128,7 @@ def fill_spline(df: DataFrame, spec: PanelSpec = CHILI, part: str | None = None,
     flags = rows.groupBy(*group(spec)).agg(F.collect_set(F.when(bad, label)).alias("_bad"))
     whole = F.flatten(F.collect_set("_bad").over(Window.partitionBy(*spec.keys)))
     flags = flags.select(*group(spec), F.array_distinct(whole).alias("_bad"))
-    rows = rows.join(flags, group(spec))
+    rows = attach(rows, flags, spec)
 
     inner = F.when(F.array_contains("_bad", label), linear_value()).otherwise(F.col("_cubic"))
     filled = F.coalesce(value, inner, before["value"], after["value"])

@@ -21,7 +21,7 @@ from panelwright.plans import forecast as forecasts
 from panelwright.plans import training
 from panelwright.plans.driver_panels import (
     EVENTS, ORDERS, event_panel, gappy_panel, nations, order_pages, order_panel, perturbed, priorities, regions,
-    table)
+    stored_panel, table)
 from panelwright.session import shared_dir
 from panelwright.sources import files, html, sinks, tables
 from panelwright.streaming import ingest as streams
@@ -139,7 +139,7 @@ LAGS_SQL = ", ".join(f"lag({{c}}, {i}) over w as lag_{i}" for i in range(7, 0, -
 @query(f"""select region, priority, day, price, {LAGS_SQL.format(c='price')}, price as y from op
 window w as (partition by region, priority order by day) qualify lag_7 is not null""")
 def supervised_lags(spark, sf):
-    return W.tidy(W.supervised(order_panel(spark, sf), 7, 1, ORDERS))
+    return W.tidy(W.supervised(stored_panel(spark, sf), 7, 1, ORDERS))
 
 
 @query("""select region, priority, day, price, weekday,
@@ -150,7 +150,7 @@ def supervised_lags(spark, sf):
 from (select *, cast(dayofweek(day) + 1 as integer) as weekday from op)
 window w as (partition by region, priority order by day)""")
 def supervised_multivariate(spark, sf):
-    panel = order_panel(spark, sf).withColumn("weekday", F.dayofweek("day"))
+    panel = stored_panel(spark, sf).withColumn("weekday", F.dayofweek("day"))
     return W.tidy(W.supervised(panel, 2, 3, ORDERS, ["price", "weekday"], drop_incomplete=False))
 
 
@@ -170,7 +170,7 @@ parted as (select *, case when pos <= floor(n * 0.7::double) then 'train' else '
 
 @query(POSITION_SQL + " select region, priority, day, price, pos, n, split from parted")
 def temporal_split(spark, sf):
-    return W.tidy(W.temporal_split(order_panel(spark, sf), ORDERS))
+    return W.tidy(W.temporal_split(stored_panel(spark, sf), ORDERS))
 
 
 @query("""select event_type, ts, value, pos, n,
@@ -185,7 +185,7 @@ def event_split(spark, sf):
 @query("""select * from op where (region, priority) in
   (select (region, priority) from op group by region, priority having count(*) >= 520)""")
 def long_enough(spark, sf):
-    return Q.long_enough(order_panel(spark, sf), 520, ORDERS)
+    return Q.long_enough(stored_panel(spark, sf), 520, ORDERS)
 
 
 @query("""select o_custkey, o_orderkey, o_totalprice from orders where o_custkey in
@@ -289,14 +289,14 @@ sc as (select min(price)::double as vmin, max(price)::double as vmax from parted
 
 @query(SCALER_SQL + " select vmin, vmax from sc")
 def minmax_fit(spark, sf):
-    rows = W.temporal_split(order_panel(spark, sf), ORDERS)
+    rows = W.temporal_split(stored_panel(spark, sf), ORDERS)
     return E.fit_scaler(rows.filter(F.col("split") == "train"), "price")
 
 
 @query(SCALER_SQL + """ select region, priority, day, split, round((price - vmin) / (vmax - vmin), 9) as scaled
 from parted cross join sc""")
 def minmax_scaled(spark, sf):
-    rows = W.temporal_split(order_panel(spark, sf), ORDERS)
+    rows = W.temporal_split(stored_panel(spark, sf), ORDERS)
     scaler = E.fit_scaler(rows.filter(F.col("split") == "train"), "price")
     rows = W.tidy(E.scaled(rows, scaler, "price", "scaled"))
     return rows.select("region", "priority", "day", "split", F.round("scaled", 9).alias("scaled"))
@@ -308,7 +308,7 @@ select region, priority, day, split, {', '.join(
     f'round(lag(v, {i}) over w, 9) as lag_{i}' for i in range(7, 0, -1))}, round(v, 9) as y
 from s window w as (partition by region, priority order by day) qualify lag(v, 7) over w is not null""")
 def train_test_windows(spark, sf):
-    rows = W.temporal_split(order_panel(spark, sf), ORDERS)
+    rows = W.temporal_split(stored_panel(spark, sf), ORDERS)
     windows, _ = training.training_windows(rows, ORDERS)
     rounded = {f"lag_{i}": F.round(f"lag_{i}", 9) for i in range(7, 0, -1)}
     return windows.withColumns({**rounded, "y": F.round("y", 9)})
@@ -330,20 +330,20 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 @query(NAIVE_SQL + "select " + METRICS_SQL)
 def naive_eval(spark, sf):
-    naive = E.naive_forecast(order_panel(spark, sf), ORDERS)
+    naive = E.naive_forecast(stored_panel(spark, sf), ORDERS)
     return _rounded(E.error_metrics(naive, "price", "prediction"))
 
 
 @query(NAIVE_SQL + "select region, priority, " + METRICS_SQL + " group by all")
 def naive_eval_by_series(spark, sf):
-    naive = E.naive_forecast(order_panel(spark, sf), ORDERS)
+    naive = E.naive_forecast(stored_panel(spark, sf), ORDERS)
     return _rounded(E.error_metrics(naive, "price", "prediction", ORDERS.keys))
 
 
 @query(NAIVE_SQL + """select region, priority, day, price, prediction, price - prediction as residual
 from naive where prediction is not null""")
 def naive_residuals(spark, sf):
-    return E.residuals(E.naive_forecast(order_panel(spark, sf), ORDERS), "price", "prediction")
+    return E.residuals(E.naive_forecast(stored_panel(spark, sf), ORDERS), "price", "prediction")
 
 
 @query("""select region, priority, day, round(greatest(0.0, least(1.0, (price - 100000) / 300000.0::double)), 9)
@@ -390,7 +390,7 @@ select id, region, priority, durasi, coalesce(reason, case when n is null or n <
 from checked left join (select region, priority, least(count(*), 7) as n, max(day) as last_day from op group by all)
   using (region, priority)""")
 def validated_requests(spark, sf):
-    windows = W.latest_windows(order_panel(spark, sf), 7, ORDERS)
+    windows = W.latest_windows(stored_panel(spark, sf), 7, ORDERS)
     joined = J.requests_with_history(_checked(spark, sf), windows, ORDERS)
     last = F.when(F.size("history") > 0, F.element_at("history", -1)["time"])
     return joined.select("id", "region", "priority", "durasi", "reason", last.alias("last_day"))
@@ -569,7 +569,7 @@ left join (select region, priority, day, case when (day(day) + length(priority))
            from op) o on o.region = g.region and o.day = g.day and o.priority = substitute""")
 def substitute_fill(spark, sf):
     known = (F.day("day") + F.length("priority")) % 4 != 0
-    panel = order_panel(spark, sf).withColumn("price", F.when(known, F.col("price")))
+    panel = stored_panel(spark, sf).withColumn("price", F.when(known, F.col("price")))
     return J.fill_from_substitute(panel, substitutes(spark, PAIRS), ORDERS)
 
 
@@ -597,13 +597,13 @@ counts as (select cast(count(*) filter (where fresh) as bigint) as inserted,
 
 @query(UPSERT_SQL + " select * from merged")
 def upsert_panel(spark, sf):
-    target, batch = perturbed(order_panel(spark, sf))
+    target, batch = perturbed(stored_panel(spark, sf))
     return merge_batch(target, batch, ORDERS).select(*ORDERS.columns)
 
 
 @query(UPSERT_SQL + " select * from counts")
 def upsert_counts(spark, sf):
-    target, batch = perturbed(order_panel(spark, sf))
+    target, batch = perturbed(stored_panel(spark, sf))
     return change_counts(target, batch, ORDERS)
 
 
@@ -616,7 +616,7 @@ def _table(spark: SparkSession, name: str) -> sinks.PriceTable:
 def stored_upsert(spark, sf):
     """Both loads through the stored table; its counts come from the run log."""
     prices = _table(spark, "stored_upsert")
-    target, batch = perturbed(order_panel(spark, sf))
+    target, batch = perturbed(stored_panel(spark, sf))
     prices.upsert(target.withColumn("seq", F.lit(0)), 0)
     prices.upsert(batch, 1)
     log = prices.runs().filter(F.col("run_id") == 1).select(F.struct("inserted", "updated")).scalar()
@@ -627,7 +627,7 @@ def stored_upsert(spark, sf):
 def stream_upsert(spark, sf):
     """The same two loads as snapshot files that arrive one after the other in a watched folder."""
     prices, base = _table(spark, "stream_upsert"), scratch(spark, "snapshots")
-    target, batch = perturbed(order_panel(spark, sf))
+    target, batch = perturbed(stored_panel(spark, sf))
     for part in (target.withColumn("seq", F.lit(0)), batch):
         part.write.mode("append").parquet(f"{base}/in")
         stream = streams.snapshot_stream(spark, f"{base}/in", part.select(*ORDERS.columns, "seq").schema)
@@ -643,7 +643,7 @@ def html_report_rows(spark, sf):
 
 @query(POSITION_SQL + " select region, priority, split, count(*) as n_rows from parted group by all")
 def split_counts(spark, sf):
-    rows = W.tidy(W.temporal_split(order_panel(spark, sf), ORDERS))
+    rows = W.tidy(W.temporal_split(stored_panel(spark, sf), ORDERS))
     return rows.groupBy("region", "priority", "split").agg(F.count("*").alias("n_rows"))
 
 
@@ -651,7 +651,7 @@ def split_counts(spark, sf):
   split, day, price from parted""")
 def split_export(spark, sf):
     path = scratch(spark, "split_export")
-    sinks.export_splits(W.temporal_split(order_panel(spark, sf), ORDERS), path, ORDERS)
+    sinks.export_splits(W.temporal_split(stored_panel(spark, sf), ORDERS), path, ORDERS)
     schema = "day date, price bigint, region_key string, priority_key string, split string"
     return spark.read.schema(schema).option("header", True).csv(path)
 
@@ -659,7 +659,7 @@ def split_export(spark, sf):
 @query("select region, priority, day, price from op where region <> 'EUROPE' union all "
        "select region, priority, day, price from op where region = 'ASIA'")
 def append_and_replace(spark, sf):
-    path, panel = scratch(spark, "append"), order_panel(spark, sf)
+    path, panel = scratch(spark, "append"), stored_panel(spark, sf)
     sinks.append(panel, path)
     sinks.replace(panel.filter(F.col("region") != "EUROPE"), path)
     sinks.append(panel.filter(F.col("region") == "ASIA"), path)
@@ -710,7 +710,7 @@ def folder_counters(spark, sf):
 unpivot (value for name in (mape, rmse, mae))""")
 def logged_metrics(spark, sf):
     path = scratch(spark, "metrics")
-    naive = E.naive_forecast(order_panel(spark, sf), ORDERS)
+    naive = E.naive_forecast(stored_panel(spark, sf), ORDERS)
     sinks.append_metrics(_rounded(E.error_metrics(naive, "price", "prediction")).drop("n"), path, "run-1")
     return spark.read.parquet(path).select("run_id", "name", "value")
 
@@ -739,7 +739,7 @@ days as (
 
 
 def _rolled(spark: SparkSession, sf: str, horizon: int, before: str | None = None) -> DataFrame:
-    panel = order_panel(spark, sf)
+    panel = stored_panel(spark, sf)
     if before:
         panel = panel.filter(F.col("day") < F.lit(before).cast("date"))
     requests = forecasts.every_series(panel, horizon, ORDERS)
@@ -771,7 +771,7 @@ def rupiah_report(spark, sf):
 select days.*, op.price as aktual from days left join op using (region, priority, day)""")
 def forecast_vs_actual(spark, sf):
     rows = forecast_rows(_rolled(spark, sf, 30, before="2001-06-01"), ORDERS)
-    return J.with_actual(rows, order_panel(spark, sf), ORDERS)
+    return J.with_actual(rows, stored_panel(spark, sf), ORDERS)
 
 
 @query()
@@ -783,7 +783,7 @@ def glm_holdout(spark, sf):
 @query()
 def glm_forecast(spark, sf):
     """Seven days ahead for every series, by a model fitted on the same panel."""
-    panel = order_panel(spark, sf)
+    panel = stored_panel(spark, sf)
     run = training.train(panel, ORDERS, spline=False)
     requests = forecasts.every_series(panel, 7, ORDERS)
     return forecast_rows(forecasts.forecast_with(run.model, panel, requests, run.scaler, spec=ORDERS), ORDERS)

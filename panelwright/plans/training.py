@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelwright.functions import scalars as S
 from panelwright.operators.evaluate import error_metrics, fit_scaler, scaled
 from panelwright.operators.model import BoundedModel, evaluation_frame, fit_bounded, lag_names, predict_one_step
-from panelwright.operators.blocks import positions
+from panelwright.operators.blocks import running_counts
 from panelwright.operators.quality import MIN_TRAIN_ROWS
 from panelwright.operators.series import fill_linear, supervised, temporal_split, tidy
 from panelwright.operators.spline import fill_spline
@@ -32,7 +32,9 @@ def split_parts(panel: DataFrame, spec: PanelSpec = CHILI, min_rows: int = MIN_T
                 share: float = TRAIN_SHARE) -> DataFrame:
     """Price-cleaned rows of the long enough series with their split, before any filling."""
     value = S.clean_price(F.col(spec.value), panel.schema[spec.value].dataType)
-    rows = positions(panel.select(*spec.columns).withColumn(spec.value, value), spec)
+    rows = running_counts(
+        panel.select(*spec.columns).withColumn(spec.value, value), spec,
+        {"pos": F.lit(True), "_known": F.col(spec.value).isNotNull()}, {"n": "pos"})
     return temporal_split(rows.filter(F.col("n") >= min_rows), spec, share)
 
 
@@ -40,7 +42,8 @@ def prepared_panel(panel: DataFrame, spec: PanelSpec = CHILI, spline: bool = Tru
                    min_rows: int = MIN_TRAIN_ROWS, share: float = TRAIN_SHARE) -> DataFrame:
     """Split rows with gaps filled inside each part and prices rounded to hundreds."""
     fill = fill_spline if spline else fill_linear
-    return fill(split_parts(panel, spec, min_rows, share), spec, part="split", step=100)
+    filled = fill(split_parts(panel, spec, min_rows, share), spec, part="split", step=100)
+    return filled.drop("_known")
 
 
 def training_windows(prepared: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG) -> tuple[DataFrame, DataFrame]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,3 +49,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it from there.
+
+    For frames that several branches of a plan read: each branch then scans just its columns.
+    """
+    path = f"{shared_dir(df.sparkSession)}/panelwright/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

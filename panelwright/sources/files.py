@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as S
 from panelwright.operators.quality import MIN_FILE_ROWS
+from panelwright.session import store
 from panelwright.spec import CHILI, PanelSpec
 
 # What the name of a date or price column contains, in any case.
@@ -97,6 +98,7 @@ def load_series_folder(spark: SparkSession, folder: str, spec: PanelSpec = CHILI
     rows = (rows.withColumn(spec.time, S.to_date_or_null(F.col("_time")))
             .withColumn(spec.value, S.round_int(S.number(F.col("_value"))))
             .withColumn("_bad", (~blank & F.col(spec.time).isNull()) | F.col(spec.value).isNull()))
+    rows = store(rows.drop("_time", "_value"), "series_rows")
     totals = rows.groupBy("file").agg(F.count("*").alias("n_rows"), F.max("_bad").alias("_bad"))
     files = (heads.select("file", *spec.keys, "reason").join(totals, "file", "left")
              .withColumn("reason", F.coalesce("reason", F.when(F.col("_bad"), "unreadable row")))
@@ -141,6 +143,7 @@ def load_training_folder(spark: SparkSession, folder: str, dims: dict[str, DataF
             .withColumn(spec.time, S.to_date_or_null(F.col("_time")))
             .withColumn(spec.value, S.clean_price(F.col("_value")))
             .filter(F.col(spec.time).isNotNull()))
+    rows = store(rows.drop("_time", "_value"), "training_rows")
     totals = rows.groupBy("file").agg(F.count("*").alias("n_rows"))
     files = (heads.select("file", *spec.keys, "reason").join(totals, "file", "left")
              .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
