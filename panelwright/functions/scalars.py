@@ -2,11 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+DIGITS = "^[0-9]+$"
+DATE = "^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+
+
+def only(c: Column, pattern: str) -> Column:
+    """The text if it matches as a whole, else null.
+
+    Names its input once: a test and a conversion side by side would compute the input twice, as
+    filters and branches share no common subexpressions. Null also spares the cast a failed parse.
+    """
+    return F.get(F.regexp_extract_all(c, F.lit(pattern), F.lit(0)), F.lit(0))
+
+
+def let(c: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn`` of ``c`` with ``c`` computed once, however often ``fn`` names it.
+
+    Keeps the generated code of a pushed-down filter small enough to be compiled.
+    """
+    return F.get(F.transform(F.array(c), fn), F.lit(0))
 
 
 def strip(c: Column) -> Column:
@@ -16,7 +37,7 @@ def strip(c: Column) -> Column:
 
 def number(c: Column) -> Column:
     """Plain decimal text to double; anything else, 'nan' and Java suffixes included, is null."""
-    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+    return only(c, NUMBER).try_cast("double")
 
 
 def no_nan(c: Column) -> Column:
@@ -27,7 +48,7 @@ def no_nan(c: Column) -> Column:
 def clean_price_string(c: Column) -> Column:
     """Scraped price text to a whole number: drop ``Rp``, ``.`` and ``,``; only digits may remain."""
     bare = strip(F.regexp_replace(c, "Rp|[.,]", ""))
-    return F.when(bare.rlike("^[0-9]+$"), bare.try_cast("bigint"))
+    return only(bare, DIGITS).try_cast("bigint")
 
 
 def clean_price(c: Column, kind: T.DataType | None = None) -> Column:
@@ -43,11 +64,13 @@ def clean_shop_price(c: Column) -> Column:
 
     Text with exactly one character after its last point is in thousands (``45.5`` is 45,500).
     """
-    bare = strip(F.replace(c.cast("string"), F.lit("Rp"), F.lit("")))
-    thousands = (number(bare) * 1000.0).try_cast("bigint")
-    plain = number(F.translate(bare, ".,", "")).try_cast("bigint")
-    return F.when(c.isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.when(bare.rlike(r"(?s)\.[^.]$"), thousands).otherwise(plain))
+    def read(bare: Column) -> Column:
+        in_thousands = bare.rlike(r"(?s)\.[^.]$")
+        value = F.when(in_thousands, number(bare) * 1000.0).otherwise(number(F.translate(bare, ".,", "")))
+        return value.try_cast("bigint")
+
+    text = F.coalesce(c.cast("string"), F.lit("0"))
+    return let(strip(F.replace(text, F.lit("Rp"), F.lit(""))), read)
 
 
 def clean_rating(c: Column) -> Column:
@@ -63,7 +86,7 @@ def normalize_name(c: Column) -> Column:
 def header_date(c: Column) -> Column:
     """Day/month/year header text to a date; blanks are ignored, impossible dates are null."""
     bare = F.replace(c, F.lit(" "), F.lit(""))
-    return F.when(bare.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"), F.try_to_date(bare, "d/M/yyyy"))
+    return F.try_to_date(only(bare, DATE), "d/M/yyyy")
 
 
 def rupiah(c: Column) -> Column:

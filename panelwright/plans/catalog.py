@@ -466,10 +466,10 @@ def _clean_shops(spark: SparkSession, sf: str) -> DataFrame:
     line, part, supplier = (table(spark, sf, t) for t in ("lineitem", "part", "supplier"))
     rows = line.join(part, line.l_partkey == part.p_partkey).join(supplier, line.l_suppkey == supplier.s_suppkey)
     key, quantity = F.col("l_orderkey"), F.col("l_quantity").cast("bigint")
-    price = (F.when(key % 5 == 1, F.concat(F.col("p_size").cast("string"), F.lit(".5")))
-             .when(key % 5 == 2, S.rupiah(quantity * 1000))
-             .when(key % 5 == 3, F.format_number(quantity * 1000, 0))
-             .when(key % 5 == 4, F.lit("tanya")))
+    size, kind = F.col("p_size").cast("bigint"), (key % 5).cast("int")
+    before = F.get(F.array(F.lit(None), F.lit(""), F.lit("Rp "), F.lit(""), F.lit("tanya ")), kind)
+    after = F.get(F.array(F.lit(""), F.lit(".5"), F.lit(".000"), F.lit(",000"), F.lit("")), kind)
+    price = F.concat(before, F.when(kind == 1, size).otherwise(quantity).cast("string"), after)
     rating = F.when(key % 7 == 0, F.lit("baru")).otherwise(
         F.concat(F.lit(" 4,"), (key % 9).cast("string")))
     raw = rows.select(
@@ -609,7 +609,7 @@ def upsert_counts(spark, sf):
 
 def _table(spark: SparkSession, name: str) -> sinks.PriceTable:
     schema = spark.createDataFrame([], "region string, priority string, day date, price bigint").schema
-    return sinks.PriceTable(spark, scratch(spark, name), schema, ORDERS)
+    return sinks.PriceTable(spark, scratch(spark, name), schema, ORDERS, period="yyyy")
 
 
 @query(UPSERT_SQL + " select merged.*, inserted, updated from merged, counts")
@@ -670,7 +670,7 @@ def append_and_replace(spark, sf):
 def series_folder(spark, sf):
     """Delimited files named by series, read back; one series has an unreadable price and drops whole."""
     path, panel = scratch(spark, "series"), order_panel(spark, sf)
-    broken = (F.col("region") == "ASIA") & (F.col("priority") == "5-LOW") & (F.day("day") == 1)
+    broken = (F.col("region") == "ASIA") & (F.col("priority") == "5-LOW") & (F.day("day") % 2 == 1)
     text = F.when(broken, F.lit("kosong")).otherwise(F.col("price").cast("string"))
     out = panel.select(F.col("day").alias("date"), text.alias(" price "),
                        F.concat_ws("_", "region", "priority").alias("series"))
