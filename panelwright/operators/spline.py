@@ -10,13 +10,13 @@ check and fallback are column expressions.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelwright.functions import scalars as S
-from panelwright.operators.blocks import BLOCK, attach, group, in_block, running_counts
+from panelwright.operators.blocks import attach, group, running_counts, spread
 from panelwright.operators.series import linear_value, with_neighbours
 from panelwright.schema import MAX_PRICE
 from panelwright.session import cut_lineage
@@ -40,15 +40,15 @@ def _solver():
         upper[0] -= h[0] ** 2 / h[1]
         main[-1] += h[-1] + h[-1] ** 2 / h[-2]
         lower[-1] -= h[-1] ** 2 / h[-2]
-        inner = len(main)
-        for i in range(1, inner):
+        lower, main, upper, right = lower.tolist(), main.tolist(), upper.tolist(), right.tolist()
+        for i in range(1, len(main)):
             factor = lower[i] / main[i - 1]
             main[i] -= factor * upper[i - 1]
             right[i] -= factor * right[i - 1]
-        m = np.empty(inner + 2)
-        m[inner] = right[-1] / main[-1]
-        for i in range(inner - 2, -1, -1):
-            m[i + 1] = (right[i] - upper[i] * m[i + 2]) / main[i]
+        inner = [right[-1] / main[-1]]
+        for i in range(len(main) - 2, -1, -1):
+            inner.append((right[i] - upper[i] * inner[-1]) / main[i])
+        m = np.array([0.0, *reversed(inner), 0.0])
         m[0] = m[1] - h[0] / h[1] * (m[2] - m[1])
         m[-1] = m[-2] + h[-1] / h[-2] * (m[-2] - m[-3])
         return m
@@ -59,36 +59,31 @@ def _solver():
 curvature = _solver()
 
 
-def _curvature_by_block(rows: DataFrame, spec: PanelSpec, part: str | None, piece: int, halo: int) -> DataFrame:
-    """Curvature at the known points, as one array per block in time order.
+def _with_curvature(known: DataFrame, spec: PanelSpec, part: str | None, piece: int, halo: int) -> DataFrame:
+    """The known points with their curvature ``_m``, null where a part has too few points.
 
     A known point goes to the piece its rank falls in and, near an edge, to the neighbour piece as well.
     """
     rank = F.col("_known") - 1
     pieces = F.array_distinct(F.array(*[F.floor((rank + shift) / piece) for shift in (-halo, 0, halo)]))
-    spread = rows.filter(F.col(spec.value).isNotNull()).select(
-        *spec.keys, spec.time, BLOCK, F.col("pos").alias("_x"), F.col(spec.value).cast("double").alias("_y"),
-        (F.col(part) if part else F.lit("")).alias("_part"),
-        F.floor(rank / piece).alias("_own"), F.explode(pieces).alias("_piece"))
-    source = spread.schema
-    out = T.StructType([*[source[c] for c in (*spec.keys, spec.time, BLOCK)],
-                        T.StructField("_m", T.DoubleType())])
-    names = [f.name for f in out]
-    second = _solver()
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_x").reset_index(drop=True)
-        pdf["_m"] = np.nan
-        for _, at in pdf.groupby("_part", sort=False).groups.items():
-            if len(at) > 3:
-                pdf.loc[at, "_m"] = second(pdf.loc[at, "_x"].to_numpy(float), pdf.loc[at, "_y"].to_numpy(float))
-        return pdf.loc[pdf["_own"] == pdf["_piece"], names]
-
-    solved = spread.groupBy(*spec.keys, "_piece").applyInPandas(solve, out)
-    point = F.struct(F.col(spec.time).alias("time"), S.no_nan(F.col("_m")).alias("m"))
-    return (solved.groupBy(*group(spec))
-            .agg(F.sort_array(F.collect_list(point)).alias("_points"))
-            .withColumn("_points", F.transform("_points", lambda p: p["m"])))
+    pieced = known.withColumn("_own", F.floor(rank / piece)).withColumn("_piece", F.explode(pieces))
+    out = T.StructType([*known.schema, T.StructField("_m", T.DoubleType())])
+    names, value, second = known.columns, spec.value, _solver()
+
+    def solve(points: pa.Table) -> pa.Table:
+        order = np.argsort(points["pos"].to_numpy())
+        x, y = points["pos"].to_numpy()[order].astype(float), points[value].to_numpy()[order]
+        label = points[part].to_numpy(zero_copy_only=False)[order] if part else np.zeros(len(x))
+        cuts = [0, *(np.flatnonzero(label[1:] != label[:-1]) + 1).tolist(), len(x)]
+        m = np.full(len(x), np.nan)
+        for first, end in zip(cuts, cuts[1:]):
+            if end - first > 3:
+                m[first:end] = second(x[first:end], y[first:end])
+        own = (points["_own"].to_numpy() == points["_piece"].to_numpy())[order]
+        kept = points.select(names).take(pa.array(order[own]))
+        return kept.append_column("_m", pa.array(m[own], pa.float64(), mask=np.isnan(m[own])))
+
+    return pieced.groupBy(*spec.keys, "_piece").applyInArrow(solve, out)
 
 
 def fill_spline(df: DataFrame, spec: PanelSpec = CHILI, part: str | None = None,
@@ -97,8 +92,8 @@ def fill_spline(df: DataFrame, spec: PanelSpec = CHILI, part: str | None = None,
     """Fills gaps of ``value`` by a cubic spline between known points, edges by the nearest known value.
 
     If the spline of a series (or of its ``part``) is anywhere missing, negative or above ``high``,
-    the whole of it is filled linearly. Known values never change. The rows are checkpointed once with
-    their curvature, which keeps their partitioning, so that the Python step is never repeated.
+    the whole of it is filled linearly. Known values never change. Only known points pass through Python;
+    rows and points are then checkpointed once, partitioned by block, so that step is never repeated.
     """
     if piece <= halo:
         raise ValueError("a piece must be longer than its halo")
@@ -107,10 +102,10 @@ def fill_spline(df: DataFrame, spec: PanelSpec = CHILI, part: str | None = None,
         rows = running_counts(df, spec, {"pos": F.lit(True), "_known": known}, {"n": "pos"})
     else:
         rows = df if "_known" in df.columns else running_counts(df, spec, {"_known": known})
-    seen = F.count_if(known).over(in_block(spec).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = attach(rows, _curvature_by_block(rows, spec, part, piece, halo), spec, "left")
-    rows = rows.withColumn("_m", F.when(known, F.get("_points", seen.cast("int") - 1))).drop("_points", "_known")
-    rows = cut_lineage(rows)
+    rows = rows.withColumn(spec.value, F.col(spec.value).cast("double"))
+    gaps = rows.filter(~known).withColumn("_m", F.lit(None).cast("double"))
+    points = _with_curvature(rows.filter(known), spec, part, piece, halo)
+    rows = cut_lineage(spread(gaps.unionByName(points).drop("_known"), spec))
     rows = with_neighbours(rows, spec, part, extra=("_m",))
 
     before, after = F.col("_prev"), F.col("_next")

@@ -38,17 +38,18 @@ class PanelSpec:
     def with_value(self, value: str) -> "PanelSpec":
         return replace(self, value=value)
 
-    def fitted(self, df: DataFrame, rows: int = 100_000) -> "PanelSpec":
-        """Narrows ``width`` until the fullest block is expected to hold at most ``rows`` rows.
+    def fitted(self, df: DataFrame, rows: int = 1_000_000) -> "PanelSpec":
+        """Sets ``width`` so that the fullest block is expected to hold about ``rows`` rows.
 
-        Needed for timestamps only: a date block holds at most one row a day. Reads the keys and the
-        time once; the counts are aggregated before the shuffle and one number comes back.
+        For timestamps, whose density only the data tells; a date block holds one row a day anyway.
+        Blocks as wide as that keep the number of block summaries small. Reads the keys and the time
+        once; the counts are aggregated before the shuffle and one number comes back.
         """
         start = self.width or 3600
         spec = replace(self, width=start)
         fullest = (df.groupBy(*self.keys, spec.block(df).alias("_block")).count()
-                   .agg(F.max("count")).first()[0]) or 0
-        return replace(self, width=start if fullest <= rows else start * rows / fullest)
+                   .agg(F.max("count")).first()[0]) or rows
+        return replace(self, width=start * rows / fullest)
 
     def block(self, df: DataFrame) -> Column:
         """The time block a row falls in."""
