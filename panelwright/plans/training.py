@@ -16,6 +16,7 @@ from panelwright.operators.series import fill_linear, supervised, temporal_split
 from panelwright.operators.spline import fill_spline
 from panelwright.schema import LAG, TRAIN_SHARE
 from panelwright.session import cut_lineage
+from panelwright.sources.sinks import append_metrics, append_params, save_scaler
 from panelwright.spec import CHILI, PanelSpec
 
 
@@ -26,6 +27,7 @@ class TrainingRun:
     scored: DataFrame
     metrics: DataFrame
     metrics_by_series: DataFrame
+    train_loss: DataFrame
 
 
 def split_parts(panel: DataFrame, spec: PanelSpec = CHILI, min_rows: int = MIN_TRAIN_ROWS,
@@ -65,7 +67,23 @@ def train(panel: DataFrame, spec: PanelSpec = CHILI, spline: bool = True, lag: i
     windows, scaler = training_windows(prepared, spec, lag)
     windows = cut_lineage(windows)
     model = fit_bounded(windows.filter(F.col("split") == "train"), spec, lag)
-    scored = evaluation_frame(
-        predict_one_step(model, windows.filter(F.col("split") == "test")), scaler)
+    predicted = predict_one_step(model, windows)
+    scored = evaluation_frame(predicted.filter(F.col("split") == "test"), scaler)
+    miss = F.col("y") - F.col("prediction")
+    loss = predicted.filter(F.col("split") == "train").agg(F.avg(miss * miss).alias("final_train_loss_mse"))
     return TrainingRun(model, scaler, scored, error_metrics(scored, "aktual", "prediksi"),
-                       error_metrics(scored, "aktual", "prediksi", spec.keys))
+                       error_metrics(scored, "aktual", "prediksi", spec.keys), loss)
+
+
+def log_run(run: TrainingRun, path: str, run_id: str, share: float = TRAIN_SHARE) -> None:
+    """Appends the run's metrics and parameters to the tables ``metrics`` and ``params`` under ``path``
+    and stores its scaler and model beside them."""
+    names = {"mape": "global_mape", "rmse": "global_rmse", "mae": "global_mae"}
+    found = run.metrics.select(*[F.col(c).alias(name) for c, name in names.items()])
+    append_metrics(run.train_loss, f"{path}/metrics", run_id)
+    append_metrics(found, f"{path}/metrics", run_id)
+    levels = run.model.effects.count()
+    params = {"lag": len(run.model.lags), "split_ratio": share, "total_features": len(run.model.lags) + levels}
+    append_params(run.scaler.sparkSession, params, f"{path}/params", run_id)
+    save_scaler(run.scaler, f"{path}/scalers/{run_id}")
+    run.model.save(f"{path}/models/{run_id}")

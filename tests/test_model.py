@@ -132,3 +132,13 @@ def test_report_is_written_by_series(spark, prices, tmp_path):
     assert [r.tanggal_prediksi for r in rows] == ["2024-05-03", "2024-05-04"]
     assert rows[0].durasi == "2 Hari" and rows[0].harga_prediksi.startswith("Rp ") and "." in rows[0].harga_prediksi
     assert rows[0].dibuat_pada == "2024-05-05 01:02:03"
+
+
+def test_run_is_logged(spark, run, tmp_path):
+    training.log_run(run, str(tmp_path), "r1")
+    metrics = {r.name: r.value for r in spark.read.parquet(str(tmp_path / "metrics")).collect()}
+    assert set(metrics) == {"final_train_loss_mse", "global_mape", "global_rmse", "global_mae"}
+    assert 0 < metrics["final_train_loss_mse"] < 0.05
+    params = {r.name: r.value for r in spark.read.parquet(str(tmp_path / "params")).collect()}
+    assert params == {"lag": "7", "split_ratio": "0.7", "total_features": "11"}
+    assert sinks.load_scaler(spark, str(tmp_path / "scalers/r1")).count() == 1
