@@ -98,10 +98,12 @@ def neighbours(rows: DataFrame, spec: PanelSpec, payload: Column) -> DataFrame:
         F.last("_last", True).over(across_blocks(spec).rowsBetween(*earlier)).alias("_before"),
         F.last("_first", True).over(
             across_blocks(spec, newest_first=True).rowsBetween(*earlier)).alias("_after"))
+    # A block that nothing borders on, such as that of a series of one block, sends nothing.
+    carry = carry.filter(F.col("_before").isNotNull() | F.col("_after").isNotNull())
     upto = (Window.unboundedPreceding, Window.currentRow)
     back = F.last("_load", True).over(in_block(spec).rowsBetween(*upto))
     ahead = F.last("_load", True).over(in_block(spec, newest_first=True).rowsBetween(*upto))
-    return (attach(rows, carry, spec)
+    return (attach(rows, carry, spec, "left")
             .withColumn("_prev", F.coalesce(back, "_before"))
             .withColumn("_next", F.coalesce(ahead, "_after"))
             .drop("_load", "_before", "_after"))

@@ -110,8 +110,9 @@ def supervised(df: DataFrame, n_in: int = LAG, n_out: int = 1, spec: PanelSpec =
         *group(spec),
         F.slice(F.flatten(F.collect_list("_tail").over(before)), 1, max(n_in, 1)).alias("_past"),
         F.slice(F.flatten(F.collect_list("_head").over(after)), 1, max(ahead, 1)).alias("_future"))
+    carry = carry.filter((F.size("_past") > 0) | (F.size("_future") > 0))
     # Only the first and last rows of a block look outside it; the others need not carry the arrays.
-    rows = (attach(rows, carry, spec)
+    rows = (attach(rows, carry, spec, "left")
             .withColumn("_past", F.when(F.col("_rank") <= n_in, F.col("_past")))
             .withColumn("_future", F.when(F.col("_left") <= ahead, F.col("_future"))))
 

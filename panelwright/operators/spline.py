@@ -122,8 +122,8 @@ def fill_spline(df: DataFrame, spec: PanelSpec = CHILI, part: str | None = None,
     label = F.col(part) if part else F.lit("")
     flags = rows.groupBy(*group(spec)).agg(F.collect_set(F.when(bad, label)).alias("_bad"))
     whole = F.flatten(F.collect_set("_bad").over(Window.partitionBy(*spec.keys)))
-    flags = flags.select(*group(spec), F.array_distinct(whole).alias("_bad"))
-    rows = attach(rows, flags, spec)
+    flags = flags.select(*group(spec), F.array_distinct(whole).alias("_bad")).filter(F.size("_bad") > 0)
+    rows = attach(rows, flags, spec, "left")
 
     inner = F.when(F.array_contains("_bad", label), linear_value()).otherwise(F.col("_cubic"))
     filled = F.coalesce(value, inner, before["value"], after["value"])

@@ -13,6 +13,7 @@ from panelwright.operators import model as M
 from panelwright.operators.series import latest_windows, tidy
 from panelwright.plans import forecast as forecasts
 from panelwright.plans import training
+from panelwright.session import cut_lineage
 from panelwright.sources import sinks
 from panelwright.spec import PanelSpec
 
@@ -36,6 +37,11 @@ def run(prices):
     return training.train(prices, SPEC)
 
 
+@pytest.fixture(scope="module")
+def windows(prices):
+    return cut_lineage(training.training_windows(training.prepared_panel(prices, SPEC), SPEC)[0])
+
+
 def identity_scaler(spark):
     return spark.createDataFrame([(0.0, 1.0)], "vmin double, vmax double")
 
@@ -73,8 +79,7 @@ def test_forecast_rows_and_nested(spark):
     assert nested.tanggal_terakhir == "2024-01-07" and nested.harga_terakhir == 7.0
 
 
-def test_windows_do_not_leak(prices, run):
-    windows, scaler = training.training_windows(training.prepared_panel(prices, SPEC), SPEC)
+def test_windows_do_not_leak(windows):
     counts = {(r.shop, r.item, r.split): r["count"] for r in windows.groupBy("shop", "item", "split").count().collect()}
     assert set(counts.values()) == {84 - 7, 36} and len(counts) == 8
     train = windows.filter("split = 'train'").agg(F.min("y"), F.max("y")).first()
@@ -93,15 +98,13 @@ def test_model_beats_a_constant(run):
     assert run.metrics_by_series.count() == 4
 
 
-def test_score_equals_spark_ml_transform(run, prices):
-    windows, _ = training.training_windows(training.prepared_panel(prices, SPEC), SPEC)
+def test_score_equals_spark_ml_transform(run, windows):
     ours = M.predict_one_step(run.model, windows)
     both = run.model.pipeline.transform(ours.withColumnRenamed("prediction", "ours"))
     assert both.agg(F.max(F.abs(F.col("ours") - F.col("prediction")))).first()[0] < 1e-9
 
 
-def test_many_levels_take_the_sparse_fit_with_the_same_result(prices, run):
-    windows, _ = training.training_windows(training.prepared_panel(prices, SPEC), SPEC)
+def test_many_levels_take_the_sparse_fit_with_the_same_result(windows, run):
     train = windows.filter("split = 'train'")
     sparse = M.fit_bounded(train, SPEC, glm_features=0, max_iter=500)
     a, b = M.predict_one_step(run.model, train, "a"), M.predict_one_step(sparse, train, "b")
