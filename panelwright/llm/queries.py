@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
+from panelwright.llm import toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +29,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op10_near_copies(spark, sf_dir):
     return copies.near_copies(read(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query()
+def op7_toxicity(spark, sf_dir):
+    return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
