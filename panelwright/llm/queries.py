@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import toxicity
+from panelwright.llm import packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,3 +35,8 @@ def op10_near_copies(spark, sf_dir):
 @query()
 def op7_toxicity(spark, sf_dir):
     return toxicity.scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query()
+def op8_packing(spark, sf_dir):
+    return packing.packed(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
