@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import packing, toxicity
+from panelwright.llm import packing, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,19 @@ def op7_toxicity(spark, sf_dir):
 @query()
 def op8_packing(spark, sf_dir):
     return packing.packed(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("""
+with v as (
+  select vec_id, [cast(floor(64 * cast(x as double)) as bigint) for x in embedding] as p from embeddings
+  where vec_id is not null and len(embedding) > 0
+    and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id,
+         cast(list_sum([q.p[i] * c.p[i] for i in range(1, len(q.p) + 1)]) as bigint) as score
+  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id and len(c.p) = len(q.p)),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+             vec_id, score from s)
+select query_id, rank, vec_id, score from r where rank <= 20""")
+def op9_top_k(spark, sf_dir):
+    return topk.top_k(read(spark, sf_dir, "embeddings"))
