@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import packing, topk, toxicity
+from panelwright.llm import decontaminate, packing, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,8 @@ r as (select query_id, cast(row_number() over (partition by query_id order by sc
 select query_id, rank, vec_id, score from r where rank <= 20""")
 def op9_top_k(spark, sf_dir):
     return topk.top_k(read(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op3_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))

@@ -17,6 +17,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+_PARTED = np.arange(256, dtype=np.uint8)
+_PARTED[[b for b in range(33, 127) if not chr(b).isalnum()]] = 32
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
@@ -44,6 +46,11 @@ def buffers(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def without_punctuation(data: np.ndarray) -> np.ndarray:
+    """The bytes with blanks for ASCII punctuation."""
+    return _PARTED[data]
+
+
 def chunks(offsets: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
     """Ranges of texts of at most ``limit`` bytes together, or of one longer text."""
     first, count = 0, len(offsets) - 1
