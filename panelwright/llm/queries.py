@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import decontaminate, packing, topk, toxicity
+from panelwright.llm import decontaminate, licences, packing, pii, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,18 @@ def op9_top_k(spark, sf_dir):
 @query()
 def op3_decontamination(spark, sf_dir):
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query()
+def op2_personal_data(spark, sf_dir):
+    return pii.digest(pii.personal_data(read(spark, sf_dir, "documents")))
+
+
+@query(warc.sql())
+def op5_warc_derivatives(spark, sf_dir):
+    return warc.derivatives(warc.responses(read(spark, sf_dir, "pages")))
+
+
+@query(licences.sql())
+def op6_licence_scan(spark, sf_dir):
+    return licences.scan(read(spark, sf_dir, "documents"))
