@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import decontaminate, licences, packing, pii, topk, toxicity, warc
+from panelwright.llm import decontaminate, licences, packing, pii, repeats, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,8 @@ def op5_warc_derivatives(spark, sf_dir):
 @query(licences.sql())
 def op6_licence_scan(spark, sf_dir):
     return licences.scan(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_repeated_strings(spark, sf_dir):
+    return repeats.without_repeats(read(spark, sf_dir, "documents"))
