@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import decontaminate, licences, packing, pii, repeats, topk, toxicity, warc
+from panelwright.llm import decontaminate, licences, lines, packing, pii, repeats, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,3 +81,8 @@ def op6_licence_scan(spark, sf_dir):
 @query()
 def op4_repeated_strings(spark, sf_dir):
     return repeats.without_repeats(read(spark, sf_dir, "documents"))
+
+
+@query(lines.SQL)
+def op1_line_dedup(spark, sf_dir):
+    return lines.report(read(spark, sf_dir, "documents"))
