@@ -6,12 +6,17 @@ An item's BM25 score counts as a share of the score it gives itself, and all ite
 retrieved. A hit stands if the passage also holds at least ``overlap`` of the shingles of the item's question and
 of its answer.
 
+The index has blocks of ``BLOCK`` items and, by term and block, the highest weight. Their sums over a passage's rarer terms, and what
+the most frequent terms may add in a block, bound the scores of its items; only blocks that may hold a hit are
+searched, item by item with cursors that skip to the next pivot.
+
 Words are lower-cased, and ASCII punctuation parts them. The index covers a block of items of bounded size; more
 items are searched block by block, with document frequencies over all of them.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +29,7 @@ from panelwright.session import store
 
 U64 = np.uint64
 K1, B = 1.2, 0.75
-POSTINGS = 64
+BLOCK = 4
 SHINGLE = 5
 
 
@@ -45,33 +50,33 @@ def split_item(text: str) -> tuple[str, str]:
 
 @dataclass
 class Index:
-    """Postings by term: item numbers, weights as shares of the item's own score, and block maxima."""
+    """Postings by term (items, weights as shares of the item's own score) and block maxima of the rarer terms."""
 
     item_ids: np.ndarray
     terms: np.ndarray
     items: list[list[int]]
     weights: list[list[float]]
-    tops: list[list[float]]
-    top: np.ndarray
+    top: list[float]
+    first: np.ndarray
+    blocks: np.ndarray
+    maxima: np.ndarray
     common: np.ndarray
-    room: float
     questions: list[np.ndarray]
     answers: list[np.ndarray]
     sizes: list[tuple[int, int]]
     longest: int
 
 
-def build(rows: list, frequency: dict[int, int], total: int, average: float, threshold: float) -> Index:
-    """The index of (item_id, question, answer) rows, given document frequencies of their terms over all items."""
+def build(rows: list, frequency: dict[int, int], total: int, average: float, longest: int, threshold: float) -> Index:
+    """The index of (item_id, question, answer) rows, given what holds over all items: document frequencies of
+    their terms, the number of items, and their average and longest length in words."""
     both, _ = _words(pa.array([f"{r.question} {r.answer}" for r in rows], pa.string()))
     parts = [_words(pa.array([r[c] for r in rows], pa.string()))[0] for c in ("question", "answer")]
     postings: dict[int, list[tuple[int, float]]] = {}
-    longest = 1
     for i in range(len(rows)):
         own = both.hash[both.text == i]
         if not len(own):
             continue
-        longest = max(longest, len(own))
         terms, counts = np.unique(own, return_counts=True)
         n = np.array([frequency[t] for t in terms.tolist()])
         weight = np.log1p((total - n + 0.5) / (n + 0.5)) * counts * (K1 + 1) / (
@@ -81,21 +86,28 @@ def build(rows: list, frequency: dict[int, int], total: int, average: float, thr
     terms = np.array(sorted(postings), dtype=U64)
     items = [[i for i, _ in postings[t]] for t in terms.tolist()]
     weights = [[w for _, w in postings[t]] for t in terms.tolist()]
-    tops = [[max(w[k:k + POSTINGS]) for k in range(0, len(w), POSTINGS)] for w in weights]
-    top = np.array([max(t) for t in tops]) if tops else np.zeros(0)
-    # The most frequent terms, as many as leave every item below half of the threshold, can't find one alone.
-    order = sorted(range(len(terms)), key=lambda t: -len(items[t]))
+    # The most frequent terms, as many as leave every item below half of the threshold, count as a sum by block.
     share, common = np.zeros(len(rows)), np.zeros(len(terms), dtype=bool)
-    for t in order:
+    for t in sorted(range(len(terms)), key=lambda t: -len(items[t])):
         grown = share[items[t]] + weights[t]
         if (grown > threshold / 2).any():
             break
         share[items[t]] = grown
         common[t] = True
+    first, blocks, maxima = [0], [], []
+    for t in range(len(terms)):
+        if not common[t]:
+            best: dict[int, float] = {}
+            for i, w in zip(items[t], weights[t]):
+                best[i // BLOCK] = max(best.get(i // BLOCK, 0.0), w)
+            blocks += best.keys()
+            maxima += best.values()
+        first.append(len(blocks))
+    padded = np.append(share, np.zeros(-len(share) % BLOCK)).reshape(-1, BLOCK)
     grams = [[_shingles(p.hash[p.text == i]) for i in range(len(rows))] for p in parts]
     sizes = [(int((parts[0].text == i).sum()), int((parts[1].text == i).sum())) for i in range(len(rows))]
-    return Index(np.array([r.item_id for r in rows]), terms, items, weights, tops, top, common,
-                 threshold - (share.max() if len(share) else 0), *grams, sizes, longest)
+    return Index(np.array([r.item_id for r in rows]), terms, items, weights, [max(w) for w in weights],
+                 np.array(first), np.array(blocks, np.int64), np.array(maxima), padded.max(axis=1), *grams, sizes, longest)
 
 
 def _shingles(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
@@ -110,59 +122,61 @@ def _shingles(h: np.ndarray, size: int = SHINGLE) -> np.ndarray:
     return np.unique(value)
 
 
-def wand(index: Index, terms: list[int], threshold: float) -> list[tuple[int, float]]:
-    """All (item, score) of at least ``threshold``, for a passage's distinct terms (numbers of the index)."""
-    found = []
-    cursors = [[index.items[t][0], 0, t] for t in terms]  # item under the cursor, its place, term
-    least = threshold - 1e-12
+def wand(index: Index, terms: list[int], block: int, threshold: float) -> list[tuple[int, float]]:
+    """All (item, score) of a block of items of at least ``threshold``, for a passage's distinct terms."""
+    found, least, end = [], threshold - 1e-12, (block + 1) * BLOCK
+    cursors = []  # item under the cursor, its place in the postings, term
+    for t in terms:
+        place = bisect_left(index.items[t], block * BLOCK)
+        if place < len(index.items[t]) and index.items[t][place] < end:
+            cursors.append((index.items[t][place], place, t))
     while cursors:
         cursors.sort()
-        total, pivot = 0.0, -1
-        for k, (_, _, t) in enumerate(cursors):
+        total, pivot = 0.0, None
+        for item, _, t in cursors:
             total += index.top[t]
             if total >= least:
-                pivot = k
+                pivot = item
                 break
-        if pivot < 0:
+        if pivot is None:
             break
-        item = cursors[pivot][0]
-        while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == item:
+        if cursors[0][0] == pivot:
+            score = sum(index.weights[t][place] for item, place, t in cursors if item == pivot)
+            if score >= least:
+                found.append((pivot, score))
             pivot += 1
-        # Block maxima of the lists up to the pivot, each at the block that may hold the item.
-        bound, reach = 0.0, None
-        for _, place, t in cursors[:pivot + 1]:
-            items, block = index.items[t], place // POSTINGS
-            while (block + 1) * POSTINGS < len(items) and items[(block + 1) * POSTINGS - 1] < item:
-                block += 1
-            bound += index.tops[t][block]
-            end = items[min((block + 1) * POSTINGS, len(items)) - 1] + 1
-            reach = end if reach is None else min(reach, end)
-        if bound >= least:
-            if cursors[0][0] == item:
-                score = sum(index.weights[t][place] for _, place, t in cursors[:pivot + 1])
-                if score >= least:
-                    found.append((item, score))
-                target = item + 1
-            else:
-                target = item
-        else:
-            target = max(item + 1, reach)
-            if pivot + 1 < len(cursors):
-                target = max(item + 1, min(target, cursors[pivot + 1][0]))
         moved = []
-        for k, (at, place, t) in enumerate(cursors):
-            if k <= pivot and at < target:
-                items = index.items[t]
-                while place < len(items) and items[place] < target:
-                    place += 1
-                if place == len(items):
+        for item, place, t in cursors:
+            if item < pivot:
+                place = bisect_left(index.items[t], pivot, place)
+                if place == len(index.items[t]) or index.items[t][place] >= end:
                     continue
-                at = items[place]
-            moved.append([at, place, t])
+                item = index.items[t][place]
+            moved.append((item, place, t))
         cursors = moved
     return found
 
 
+def candidates(index: Index, cell: np.ndarray, term: np.ndarray, last: np.ndarray, threshold: float):
+    """(passage, block) whose bound reaches ``threshold``; passage k is cells k and k + 1 unless ``last[k]``.
+
+    ``cell`` and ``term`` are the words found in the index; a term counts once in a cell.
+    """
+    pair = np.unique(cell * len(index.terms) + term)
+    cell, term = pair // len(index.terms), pair % len(index.terms)
+    many = index.first[term + 1] - index.first[term]
+    at = np.repeat(index.first[term] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+    cell, block, weight = np.repeat(cell, many), index.blocks[at], index.maxima[at]
+    # A cell belongs to the passage it begins, and to the one before in the same text.
+    before = (cell > 0) & ~last[cell - 1]
+    key = np.concatenate((cell, cell[before] - 1)) * len(index.common) + np.concatenate((block, block[before]))
+    key, index_of = np.unique(key, return_inverse=True)
+    bound = np.bincount(index_of, np.concatenate((weight, weight[before])), len(key))
+    passage, block = key // len(index.common), key % len(index.common)
+    fit = bound + index.common[block] >= threshold - 1e-9
+    return passage[fit], block[fit]
+
+
 def search(docs: DataFrame, index: Index, threshold: float, overlap: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -170,7 +184,7 @@ def search(docs: DataFrame, index: Index, threshold: float, overlap: float) -> D
         ix = shared.value
         mark = np.zeros(1 << 16, dtype=bool)
         mark[(ix.terms >> U64(48)).astype(np.int64)] = True
-        stride, room = ix.longest, ix.room
+        stride = ix.longest
         asked = [set(x.tolist()) for x in ix.questions]
         told = [set(x.tolist()) for x in ix.answers]
         for batch in batches:
@@ -185,27 +199,27 @@ def search(docs: DataFrame, index: Index, threshold: float, overlap: float) -> D
                 term = np.searchsorted(ix.terms, found.hash[maybe])
                 hit = np.append(ix.terms, U64(0))[term] == found.hash[maybe]
                 place, term = maybe[hit], term[hit]
-                value = np.zeros(len(found.hash) + 1)
-                rare = ~ix.common[term]
-                value[place[rare] + 1] = ix.top[term[rare]]
-                total = np.cumsum(value)
-                # Passages of every text; one whose rarer terms can't reach what common ones leave has no pivot.
-                counts = np.maximum(1, -(-np.diff(bounds) // stride) - 1)
-                row = np.repeat(np.arange(last - first), counts)
-                start = bounds[row] + (np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)) * stride
-                stop = np.minimum(start + 2 * stride, bounds[row + 1])
-                left = np.flatnonzero(total[stop] - total[start] >= room - 1e-9)
-                low, high = np.searchsorted(place, start[left]), np.searchsorted(place, stop[left])
-                for k, a, b in zip(left.tolist(), low.tolist(), high.tolist()):
-                    for item, score in wand(ix, list(dict.fromkeys(term[a:b].tolist())), threshold):
-                        h = found.hash[start[k]:stop[k]]
+                # Cells of one stride; texts' cells are numbered on.
+                cells = np.maximum(1, -(-np.diff(bounds) // stride))
+                before = np.cumsum(cells) - cells
+                text = found.text[place]
+                cell = before[text] + (place - bounds[text]) // stride
+                final = np.zeros(int(cells.sum()), dtype=bool)
+                final[before + cells - 1] = True
+                for k, block in zip(*(x.tolist() for x in candidates(ix, cell, term, final, threshold))):
+                    row = int(np.searchsorted(before, k, "right")) - 1
+                    start = int(bounds[row]) + (k - int(before[row])) * stride
+                    stop = min(start + 2 * stride, int(bounds[row + 1]))
+                    a, b = np.searchsorted(place, (start, stop))
+                    for item, score in wand(ix, list(dict.fromkeys(term[a:b].tolist())), block, threshold):
+                        h = found.hash[start:stop]
                         shares = []
                         for wanted, size in ((asked[item], ix.sizes[item][0]), (told[item], ix.sizes[item][1])):
                             have = wanted.intersection(_shingles(h, min(SHINGLE, size)).tolist()) if size else wanted
                             shares.append(len(have) / len(wanted) if wanted else 1.0)
                         if min(shares) >= overlap:
-                            out.append((ids[first + row[k]], int(ix.item_ids[item]), score, *shares,
-                                        int(start[k] - bounds[row[k]]), int(stop[k] - start[k])))
+                            out.append((ids[first + row], int(ix.item_ids[item]), score, *shares,
+                                        start - int(bounds[row]), stop - start))
             columns = list(zip(*out)) if out else [()] * 7
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), *[pa.float64()] * 3, *[pa.int64()] * 2])],
@@ -246,7 +260,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.7, over
 
     parts = store(parts.where("item_id is not null"), "items")
     sets = parts.mapInArrow(term_sets, "terms array<long>, words long").where("words > 0")
-    total, average, size = sets.select(F.count("*"), F.avg("words")).first() + parts.select(
+    total, average, longest, size = sets.select(F.count("*"), F.avg("words"), F.max("words")).first() + parts.select(
         F.sum(F.length("question") * 4 + F.length("answer") * 4)).first()
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     blocks = max(1, -(-(size or 0) // block_bytes))
@@ -257,7 +271,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.7, over
         terms = own.mapInArrow(term_sets, "terms array<long>, words long").select(F.explode("terms").alias("term")).distinct()
         # Both hold one block of items at most.
         counts = {r.term & (1 << 64) - 1: r["count"] for r in frequency.join(terms, "term", "left_semi").collect()}
-        index = build(own.orderBy("item_id").collect(), counts, total, average or 1.0, threshold)
+        index = build(own.orderBy("item_id").collect(), counts, total, average or 1.0, longest or 1, threshold)
         found = search(docs, index, threshold, overlap)
         hits = found if hits is None else hits.union(found)
     best = F.max_by(F.struct("score", "question", "answer", "at"), F.struct("score", -F.col("at"))).alias("best")
