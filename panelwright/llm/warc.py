@@ -117,8 +117,8 @@ def derivatives(records: DataFrame) -> DataFrame:
 
 def write_records(records: DataFrame, path: str) -> None:
     """The records as gzipped WARC files."""
-    whole = F.concat("header", F.lit(CRLF), "block", F.lit(CRLF + CRLF))
-    records.select(whole.alias("value")).write.option("lineSep", "").option("compression", "gzip").text(path)
+    whole = F.concat("header", F.lit(CRLF), "block", F.lit(CRLF))
+    records.select(whole.alias("value")).write.option("lineSep", CRLF).option("compression", "gzip").text(path)
 
 
 def sql(date: str = "2024-01-01T00:00:00Z") -> str:
