@@ -43,12 +43,12 @@ class BoundedModel:
     keys: tuple[str, ...]
 
     def with_bias(self, df: DataFrame, out: str = "_bias") -> DataFrame:
-        """Adds the part of the linear score that is constant in a series."""
+        """Adds the part of the linear score that is constant in a series; null where a level wasn't in training."""
         bias = F.lit(self.intercept)
         for i, key in enumerate(self.keys):
             level = (self.effects.filter(F.col("key") == key)
                      .select(F.col("level").alias(key), F.col("effect").alias(f"_effect{i}")))
-            df = df.join(level, key)
+            df = df.join(level, key, "left")
             bias = bias + F.col(f"_effect{i}")
         return df.withColumn(out, bias).drop(*[f"_effect{i}" for i in range(len(self.keys))])
 

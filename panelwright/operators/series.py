@@ -36,8 +36,12 @@ def last_observation(df: DataFrame, spec: PanelSpec = CHILI) -> DataFrame:
 def latest_n(df: DataFrame, n: int = LAG, spec: PanelSpec = CHILI) -> DataFrame:
     """The latest ``n`` rows of every series.
 
-    Spark limits each series to ``n`` rows inside every input partition before the shuffle.
+    Up to its threshold, Spark limits each series to ``n`` rows inside every input partition before the
+    shuffle. For longer windows rows get their place in the series block by block, so no task holds a series.
     """
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        placed = positions(df, spec)
+        return tidy(placed.filter(F.col("pos") > F.col("n") - n)).drop("pos", "n")
     newest = Window.partitionBy(*spec.keys).orderBy(F.col(spec.time).desc())
     return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") <= n).drop("_rank")
 

@@ -30,17 +30,19 @@ def build_session(name: str = "panelwright", master: str | None = None, **conf:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, read from the session.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or what ``setCheckpointDir`` was given.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Only a session in one process without either gets a temporary folder of its own, one for the session.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = spark.sparkContext.getCheckpointDir()
-    return folder or tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +18,8 @@ HEADER_WORD = "Komoditas"
 HEADER_CELLS = 5
 ROW_CELLS = 3
 
-# Named character references of HTML that reports use; the ampersand comes last.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+# HTML's named characters; the no-break space counts as a blank.
+ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
 
 UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
@@ -24,18 +27,24 @@ CELL = r"(?is)<t([dh])\b[^>]*>(.*?)</t\1\s*>"
 
 
 def decode_entities(c: Column) -> Column:
-    """Named and numeric character references to characters."""
+    """Named and numeric character references to characters, each decoded once.
+
+    The text is cut at its references; what one decodes to is not looked at again.
+    """
     def char(ref: Column) -> Column:
-        hexed = F.lower(F.substr(ref, F.lit(1), F.lit(1))) == "x"
-        code = F.when(hexed, F.substr(ref, F.lit(2))).otherwise(F.conv(ref, 10, 16))
-        return F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+        hexed = F.lower(F.substr(ref, F.lit(2), F.lit(1))) == "x"
+        code = F.when(hexed, F.substr(ref, F.lit(3))).otherwise(F.conv(F.substr(ref, F.lit(2)), 10, 16))
+        numeric = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
+        named = F.coalesce(F.try_element_at(names, ref), F.concat(F.lit("&"), ref, F.lit(";")))
+        return F.when(F.startswith(ref, F.lit("#")), numeric).otherwise(named)
 
-    numeric = F.array_distinct(F.regexp_extract_all(c, F.lit(r"&#([0-9]{1,6}|[xX][0-9a-fA-F]{1,5});"), F.lit(1)))
-    text = F.aggregate(numeric, c, lambda acc, ref: F.replace(
-        acc, F.concat(F.lit("&#"), ref, F.lit(";")), char(ref)))
-    for name, value in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(value))
-    return text
+    names = F.map_from_arrays(F.split(F.lit(" ".join(ENTITIES)), " "),
+                              F.split(F.lit("\n".join(ENTITIES.values())), "\n"))
+    reference = r"&(#[0-9]{1,6}|#[xX][0-9a-fA-F]{1,5}|[A-Za-z][A-Za-z0-9]{1,7});"
+    between = F.split(c, reference)
+    found = F.regexp_extract_all(c, F.lit(reference), F.lit(1))
+    return F.array_join(F.transform(between, lambda text, i: F.concat(
+        text, F.coalesce(char(F.get(found, i)), F.lit("")))), "")
 
 
 def cell_text(c: Column) -> Column:
@@ -50,25 +59,26 @@ def page_cells(html: Column) -> Column:
 
 
 def report_rows(pages: DataFrame, names: DataFrame, spec: PanelSpec = CHILI, html: str = "html",
-                column: str = "name") -> DataFrame:
+                column: str = "name", keep: Sequence[str] = ()) -> DataFrame:
     """Long rows of report pages with a ``reason`` for rejects.
 
     ``pages`` has the item column and the page. The first row with the header word gives the dates from
     its third cell on; a page without one yields nothing. Provinces are matched by normalised name
-    against ``names``; rows of unknown provinces and cells without a date are not data.
+    against ``names``; rows of unknown provinces and cells without a date are not data. Columns of the
+    pages named in ``keep`` stay with their rows.
     """
     province, item = spec.keys
-    long = pages.select(item, page_cells(F.col(html)).alias("_cells"))
+    long = pages.select(item, *keep, page_cells(F.col(html)).alias("_cells"))
     heads = F.filter("_cells", lambda row: (F.size(row) >= HEADER_CELLS) & (
         F.contains(F.get(row, F.lit(0)), F.lit(HEADER_WORD))
         | F.contains(F.get(row, F.lit(1)), F.lit(HEADER_WORD))))
     rest = lambda row: F.slice(row, 3, F.greatest(F.size(row) - 2, F.lit(0)))
     long = long.withColumn("_head", F.get(heads, F.lit(0))).filter(F.col("_head").isNotNull())
-    long = long.select(item, F.transform(rest(F.col("_head")), S.header_date).alias("_dates"),
+    long = long.select(item, *keep, F.transform(rest(F.col("_head")), S.header_date).alias("_dates"),
                        F.explode(F.filter("_cells", lambda row: F.size(row) >= ROW_CELLS)).alias("_row"))
-    long = long.select(item, F.get("_row", F.lit(1)).alias("_province"), F.explode(F.arrays_zip(
+    long = long.select(item, *keep, F.get("_row", F.lit(1)).alias("_province"), F.explode(F.arrays_zip(
         F.col("_dates").alias("date"), rest(F.col("_row")).alias("price"))).alias("_pair"))
-    long = long.select(item, "_province", F.col("_pair.date").alias(spec.time),
+    long = long.select(item, *keep, "_province", F.col("_pair.date").alias(spec.time),
                        F.col("_pair.price").alias("harga_raw"))
     long = long.filter(F.col(spec.time).isNotNull() & F.col("harga_raw").isNotNull())
     long = canonical_names(long, names, "_province", province, column).drop("_province")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -14,18 +14,44 @@ from panelwright.session import cut_lineage
 from panelwright.sources.html import report_rows
 from panelwright.sources.sinks import PriceTable
 
+ARRIVAL = "_arrival"
+
 
 def snapshot_stream(spark: SparkSession, folder: str, schema: T.StructType, fmt: str = "parquet",
                     files_per_batch: int | None = None) -> DataFrame:
+    """The files of a folder as a stream, each row with where and when it arrived (``ARRIVAL``)."""
     reader = spark.readStream.format(fmt).schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(folder)
+    at = "_metadata.file_modification_time as at, _metadata.file_path as path, _metadata.file_block_start as start"
+    return reader.load(folder).selectExpr("*", f"struct({at}) as {ARRIVAL}")
+
+
+def in_arrival_order(batch: DataFrame, order: str) -> DataFrame:
+    """Adds ``order``: by ``fetched_at`` where records have it, then by the time of their file, its name and
+    their place in it. Never by the order of reading, as Spark packs files by size.
+
+    Only the parts of files are numbered in one place; a micro-batch has as many as the files its listing gave.
+    """
+    if ARRIVAL not in batch.columns:
+        raise ValueError(f"records need a column {order} or the arrival that snapshot_stream adds")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    batch = batch.withColumn("_place", place)
+    if "fetched_at" in batch.columns:
+        batch = batch.withColumn(ARRIVAL, F.struct(F.coalesce("fetched_at", f"{ARRIVAL}.at").alias("at"),
+                                                   f"{ARRIVAL}.path", f"{ARRIVAL}.start"))
+    batch = cut_lineage(batch)
+    parts = batch.groupBy(ARRIVAL).agg(F.max("_place").alias("_most")).withColumn(
+        "_part", F.row_number().over(Window.orderBy(F.col(ARRIVAL).asc_nulls_first())))
+    both = batch.join(parts, batch[ARRIVAL].eqNullSafe(parts[ARRIVAL])).drop(parts[ARRIVAL])
+    number = F.shiftleft(F.col("_part").cast("bigint"), 33) + F.col("_place")
+    return both.withColumn(order, number).drop("_part", "_place", "_most", ARRIVAL)
 
 
 def page_records(pages: DataFrame, names: DataFrame, table: PriceTable, column: str = "name") -> DataFrame:
-    """Valid price records of report pages."""
-    return passed(report_rows(pages, names, table.spec, column=column))
+    """Valid price records of report pages; a ``seq`` of the pages stays with them."""
+    keep = [c for c in ("seq",) if c in pages.columns]
+    return passed(report_rows(pages, names, table.spec, column=column, keep=keep))
 
 
 def ingest(stream: DataFrame, table: PriceTable, checkpoint: str, source: str,
@@ -35,14 +61,13 @@ def ingest(stream: DataFrame, table: PriceTable, checkpoint: str, source: str,
 
     ``source`` names the stream in the table's run log: a repeated micro-batch is applied once. A new
     checkpoint folder counts from zero again and needs a new name. Records without an ``order`` column
-    are taken in the order they are read. If a micro-batch holds no usable record, simulated rows go to
+    are taken in the order they arrived, and ``prepare`` gets it. If a micro-batch holds no usable record, simulated rows go to
     the ``fallback`` table, never among the real prices.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        records = prepare(batch) if prepare else batch
-        if order not in records.columns:
-            records = records.withColumn(order, F.monotonically_increasing_id())
-        records = cut_lineage(records)
+        if order not in batch.columns:
+            batch = in_arrival_order(batch, order)
+        records = cut_lineage(prepare(batch) if prepare else batch)
         if fallback and records.isEmpty():
             other, simulate = fallback
             rows = simulate().withColumn(order, F.monotonically_increasing_id())

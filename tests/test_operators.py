@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -12,7 +13,7 @@ from panelwright import schema
 from panelwright.operators import evaluate as E
 from panelwright.operators import joins as J
 from panelwright.operators import quality as Q
-from panelwright.operators.upsert import change_counts, merge_batch
+from panelwright.operators.upsert import change_counts, keyless, merge_batch
 from panelwright.sources import files, html, sinks, tables
 from panelwright.spec import CHILI, PanelSpec
 from panelwright.streaming import ingest as streams
@@ -91,14 +92,74 @@ def test_price_table_reads_and_rewrites_touched_periods_only(spark, tmp_path):
     prices = small_table(spark, tmp_path / "t")
     rows = [("a", dt.date(2025, m, 1), m, 0) for m in (1, 2, 3)]
     prices.upsert(spark.createDataFrame(rows, "k string, d date, v int, seq int"), 0)
-    before = {p: sorted(f.name for f in p.iterdir()) for p in (tmp_path / "t/data").glob("_period=*")}
+    written = lambda: {f"{p.parent.name}/{p.name}": sorted(f.name for f in p.iterdir())
+                       for p in (tmp_path / "t/data").glob("_version=*/_period=*")}
+    before = written()
     assert len(before) == 3
     prices.upsert(spark.createDataFrame([("a", dt.date(2025, 2, 1), 9, 0)], "k string, d date, v int, seq int"), 1)
-    after = {p: sorted(f.name for f in p.iterdir()) for p in before}
-    assert [p.name for p in before if before[p] != after[p]] == ["_period=2025-02"]
+    after = written()
+    assert {p: after[p] for p in before} == before
+    assert [p for p in after if p not in before] == ["_version=2/_period=2025-02"]
     assert sorted(r.v for r in prices.read().collect()) == [1, 3, 9]
 
 
+def records(spark, *rows):
+    return spark.createDataFrame([(*r, 0) for r in rows], "k string, d date, v int, seq int")
+
+
+def test_price_table_keeps_every_sources_rows(spark, tmp_path):
+    prices = small_table(spark, tmp_path / "t")
+    prices.upsert(records(spark, ("a", D, 1)), 0, source="A")
+    prices.upsert(records(spark, ("b", D, 2)), 0, source="B")
+    prices.upsert(records(spark, ("a", D, 1)), 0, source="A")  # as a stream does after a restart
+    assert {r.k: r.v for r in prices.read().collect()} == {"a": 1, "b": 2}
+    assert sorted((r.source, r.inserted) for r in prices.runs().collect()) == [("A", 1), ("B", 1)]
+
+
+def test_price_table_ignores_what_a_broken_off_upsert_left(spark, tmp_path, monkeypatch):
+    prices = small_table(spark, tmp_path / "t")
+    prices.upsert(records(spark, ("a", D, 1)), 0, source="A")
+
+    def broken(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "totals", broken)  # after the rows, before the commit record
+        with pytest.raises(RuntimeError):
+            prices.upsert(records(spark, ("a", D, 9), ("c", D, 3)), 1, source="A")
+    assert {r.k: r.v for r in prices.read().collect()} == {"a": 1}
+    prices.upsert(records(spark, ("b", D, 2)), 0, source="B")
+    assert {r.k: r.v for r in prices.read().collect()} == {"a": 1, "b": 2}
+    prices.upsert(records(spark, ("a", D, 9), ("c", D, 3)), 1, source="A")
+    assert {r.k: r.v for r in prices.read().collect()} == {"a": 9, "b": 2, "c": 3}
+
+
+def test_records_without_a_key_are_counted_and_left_out(spark, tmp_path):
+    prices = small_table(spark, tmp_path / "t")
+    rows = records(spark, ("a", D, 1), (None, D, 5), ("b", None, 6))
+    for run in (0, 1):
+        log = prices.upsert(rows, run).first()
+        assert (log.inserted, log.updated, log.rejected) == (1 - run, 0, 2)
+    assert [(r.k, r.v) for r in prices.read().collect()] == [("a", 1)]
+    assert [r.reason for r in keyless(rows, SPEC).collect()] == ["empty key"] * 2
+    assert tuple(change_counts(prices.read(), rows, SPEC).first()) == (0, 0)
+
+
+@pytest.mark.parametrize("large_first", [True, False])
+def test_the_newer_file_wins_whatever_its_size(spark, tmp_path, large_first):
+    prices, kind = small_table(spark, tmp_path / "t"), "k string, d date, v int"
+    more = [(f"x{i}", D, i) for i in range(20_000)]
+    for n, large in enumerate((large_first, not large_first)):
+        rows = [("k", D, 100 * (n + 1)), *(more if large else [])]
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        for f in (tmp_path / "in").glob("part-*"):
+            if not (tmp_path / f.name).exists():
+                (tmp_path / f.name).touch()
+                os.utime(f, (1_700_000_000 + 100 * n,) * 2)
+    stream = streams.snapshot_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], kind).schema)
+    streams.ingest(stream, prices, str(tmp_path / "c"), "test").awaitTermination()
+    assert [r.v for r in prices.read().where("k = 'k'").collect()] == [200]
+
+
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
     prices = small_table(spark, tmp_path / "t")
     source = str(tmp_path / "in")
@@ -132,6 +193,12 @@ def test_stream_of_pages_and_fallback(spark, tmp_path):
 
 # --- report pages -------------------------------------------------------------------------------
 
+def test_character_references_are_decoded_once(spark):
+    df = spark.createDataFrame([("a&#38;lt;b &ndash; &amp;amp; &unknown; &#x41;&#66;&nbsp;c &",), (None,), ("",)], "t string")
+    got = [r[0] for r in df.select(html.decode_entities(F.col("t"))).collect()]
+    assert got == ["a&lt;b – &amp; &unknown; AB c &", None, ""]
+
+
 PAGE = """<table><tr><th>No</th><th>Komoditas (Rp)</th><th>01/ 12/ 2025</th><th>02/12/2025</th><th>x</th></tr>
 <tr><td></td><td>Semua Provinsi</td><td>44.000</td><td>44.100</td><td>1</td></tr>
 <tr><td>1</td><td> dki&nbsp;jakarta </td><td>45.000</td><td>-</td><td>9</td></tr>
