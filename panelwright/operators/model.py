@@ -1,9 +1,9 @@
 """One global regressor with an output in (0, 1) over all series, and its multi-step rollout.
 
-Inputs are the scaled lags and one indicator per level of every key column. Up to ``GLM_FEATURES``
-features the fit is Spark's binomial GLM with a logit link on fractional labels. Beyond that, the same
-likelihood is maximised by logistic regression on sparse vectors, each row standing for its target's
-share of ones and of zeros.
+Inputs are the scaled lags and one indicator per level of every key column. The fit is logistic regression
+on sparse vectors, each row standing for its target's share of ones and of zeros. The lags enter by their
+principal components, which the regression scales: neighbouring lags are nearly equal, and without this the
+iteration would stop short of the optimum. Coefficients, one per lag and key level, are MLlib's and so the driver's.
 """
 
 from __future__ import annotations
@@ -14,8 +14,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GeneralizedLinearRegression
+from pyspark.ml.feature import PCA, OneHotEncoder, PCAModel, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +23,6 @@ from panelwright.operators.evaluate import bounds
 from panelwright.schema import LAG
 from panelwright.spec import CHILI, PanelSpec
 
-GLM_FEATURES = 4000
-
 
 def lag_names(lag: int = LAG) -> list[str]:
     """Oldest lag first, the order of the window and of every sum over it."""
@@ -61,8 +58,11 @@ def load_model(spark: SparkSession, path: str, keys: Sequence[str], lag: int = L
 
 
 def _unpack(spark: SparkSession, pipeline: PipelineModel, keys: tuple[str, ...], lag: int) -> BoundedModel:
-    indexer, fitted = pipeline.stages[0], pipeline.stages[-1]
-    weights = [float(w) for w in fitted.coefficients.toArray()]
+    indexer = next(s for s in pipeline.stages if isinstance(s, StringIndexerModel))
+    parts = next(s for s in pipeline.stages if isinstance(s, PCAModel)).pc.toArray()
+    fitted = pipeline.stages[-1]
+    weights = fitted.coefficients.toArray()
+    weights = [float(w) for w in (*parts @ weights[:lag], *weights[lag:])]
     rows, at = [], lag
     for key, labels in zip(keys, indexer.labelsArray):
         rows += [(key, label, weights[at + i]) for i, label in enumerate(labels)]
@@ -71,28 +71,27 @@ def _unpack(spark: SparkSession, pipeline: PipelineModel, keys: tuple[str, ...],
     return BoundedModel(pipeline, tuple(weights[:lag]), float(fitted.intercept), effects, keys)
 
 
-def fit_bounded(train: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG, max_iter: int = 50,
-                glm_features: int = GLM_FEATURES) -> BoundedModel:
-    """Fits the model on rows with scaled ``lag_*`` and a scaled target ``y`` in [0, 1]."""
+def fit_bounded(train: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG, max_iter: int = 300,
+                tol: float = 1e-12) -> BoundedModel:
+    """Fits the model on rows with scaled ``lag_*`` and a scaled target ``y`` in [0, 1].
+
+    Iterates until the loss changes by less than ``tol`` of itself.
+    """
     keys = spec.keys
     data = train.select(*keys, *lag_names(lag), "y")
-    levels = data.agg(*[F.count_distinct(k).alias(k) for k in keys]).first()
-    features = lag + sum(levels)
     index = [f"_{k}_idx" for k in keys]
     hot = [f"_{k}_hot" for k in keys]
     inputs = Pipeline(stages=[
+        VectorAssembler(inputCols=lag_names(lag), outputCol="_lags"),
+        PCA(k=lag, inputCol="_lags", outputCol="_parts"),
         StringIndexer(inputCols=list(keys), outputCols=index, stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCols=index, outputCols=hot, dropLast=False),
-        VectorAssembler(inputCols=[*lag_names(lag), *hot], outputCol="features"),
+        VectorAssembler(inputCols=["_parts", *hot], outputCol="features"),
     ]).fit(data)
-    ready = inputs.transform(data).select("features", "y")
-    if features <= glm_features:
-        regressor = GeneralizedLinearRegression(family="binomial", link="logit", labelCol="y", maxIter=max_iter)
-    else:
-        share = F.array(F.struct(F.lit(1.0).alias("label"), F.col("y").alias("weight")),
-                        F.struct(F.lit(0.0).alias("label"), (1.0 - F.col("y")).alias("weight")))
-        ready = ready.select("features", F.inline(share)).filter(F.col("weight") > 0)
-        regressor = LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter, tol=1e-9)
+    share = F.array(F.struct(F.lit(1.0).alias("label"), F.col("y").alias("weight")),
+                    F.struct(F.lit(0.0).alias("label"), (1.0 - F.col("y")).alias("weight")))
+    ready = inputs.transform(data).select("features", F.inline(share)).filter(F.col("weight") > 0)
+    regressor = LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter, tol=tol)
     # Every iteration reads the vectors; those of a lost executor are made again from the train rows.
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     fitted = regressor.fit(ready)
@@ -116,7 +115,7 @@ def weighted_sum(bias: Column, weights: Sequence[float], values: Sequence[Column
 
 
 def predict_one_step(model: BoundedModel, df: DataFrame, out: str = "prediction") -> DataFrame:
-    """Adds the scaled prediction of every row with scaled lags."""
+    """Adds the scaled prediction of every row with scaled lags; null for levels that weren't in training."""
     lags = [F.col(name) for name in lag_names(len(model.lags))]
     score = weighted_sum(F.col("_bias"), model.lags, lags)
     return model.with_bias(df).withColumn(out, link_value(score, "logit")).drop("_bias")

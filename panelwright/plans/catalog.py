@@ -396,6 +396,16 @@ def validated_requests(spark, sf):
     return joined.select("id", "region", "priority", "durasi", "reason", last.alias("last_day"))
 
 
+@query(REQUESTS_SQL + """
+select id, region, priority, durasi, coalesce(reason, 'insufficient data') as reason
+from checked left join (select region, priority, least(count(*), 7) as n from op group by all) using (region, priority)
+where reason is not null or n is null or n < 7""")
+def forecast_rejects(spark, sf):
+    """The requests that get no forecast, each with its reason."""
+    lost = forecasts.rejects(stored_panel(spark, sf), _checked(spark, sf), lag=7, spec=ORDERS)
+    return lost.select("id", "region", "priority", "durasi", "reason")
+
+
 @query(REQUESTS_SQL + " select coalesce(reason, 'ok') as reason, count(*) as n_rows from checked group by 1")
 def rejected_request_counts(spark, sf):
     return Q.count_reasons(_checked(spark, sf))
@@ -516,11 +526,10 @@ def file_stems(spark, sf):
         S.iso_date(F.date_add("o_orderdate", 3)).alias("later"))
 
 
-@query("""select region, priority, day, case region when 'AFRICA' then '1000' when 'ASIA' then '0100'
-  when 'EUROPE' then '0001' when 'AMERICA' then '0010' else '0000' end as slots from
+@query("""select region, priority, day, case region when 'AFRICA' then '1000' when 'ASIA' then '0010'
+  when 'EUROPE' then '0001' when 'AMERICA' then '0100' else '0000' end as slots from
   (select case region when 'AMERICA' then 'ASIA' when 'ASIA' then 'AMERICA' else region end as region,
-          priority, day from op)""".replace("'0100'", "'0010'").replace("when 'AMERICA' then '0010'",
-                                                                          "when 'AMERICA' then '0100'"))
+          priority, day from op)""")
 def one_hot_regions(spark, sf):
     swapped = (F.when(F.col("region") == "AMERICA", "ASIA").when(F.col("region") == "ASIA", "AMERICA")
                .otherwise(F.col("region")))
@@ -586,13 +595,12 @@ batch as (
 newest as (select region, priority, day, arg_max(price, seq) as price from batch group by all),
 merged as (select region, priority, day, coalesce(n.price, t.price)::bigint as price
            from target t full join newest n using (region, priority, day)),
-steps as (select *, coalesce(lag(b.price) over (partition by region, priority, day order by seq), t.price) as prev,
+steps as (select b.price as price, coalesce(lag(b.price) over (partition by region, priority, day order by seq), t.price) as prev,
                  t.price is null and seq = min(seq) over (partition by region, priority, day) as fresh
           from batch b left join target t using (region, priority, day)),
 counts as (select cast(count(*) filter (where fresh) as bigint) as inserted,
                   cast(count(*) filter (where not fresh and b_price is distinct from prev) as bigint) as updated
-           from (select fresh, prev, price as b_price from steps))""".replace(
-    "select *, coalesce(lag(b.price)", "select b.price as price, coalesce(lag(b.price)")
+           from (select fresh, prev, price as b_price from steps))"""
 
 
 @query(UPSERT_SQL + " select * from merged")
@@ -623,6 +631,36 @@ def stored_upsert(spark, sf):
     return prices.read().withColumn("inserted", log["inserted"]).withColumn("updated", log["updated"])
 
 
+@query(UPSERT_SQL + """, other as (select region || '-B' as region, priority, day, price from target)
+select * from merged union all select * from other""")
+def stored_upsert_two_sources(spark, sf):
+    """Two sources in turn, then the first one's runs again, as after a restart: nothing is lost or applied twice."""
+    prices = _table(spark, "two_sources")
+    target, batch = perturbed(stored_panel(spark, sf))
+    first = target.withColumn("seq", F.lit(0))
+    prices.upsert(first, 0, source="A")
+    prices.upsert(first.withColumn("region", F.concat("region", F.lit("-B"))), 0, source="B")
+    prices.upsert(batch, 1, source="A")
+    prices.upsert(first, 0, source="A")
+    prices.upsert(batch, 1, source="A")
+    return prices.read()
+
+
+@query("select region, priority, day, price + 1 as price from op")
+def stream_arrival_order(spark, sf):
+    """Two files of one micro-batch hold the same keys; the one that came later wins, and has no sequence column."""
+    prices, base = _table(spark, "stream_arrival"), scratch(spark, "arrivals")
+    panel = stored_panel(spark, sf).select(*ORDERS.columns)
+    for step in (0, 1):
+        at = F.lit(f"2024-01-0{step + 1} 00:00:00").cast("timestamp")
+        (panel.withColumn("price", F.col("price") + step).withColumn("fetched_at", at)
+         .coalesce(1 + step).write.mode("append").parquet(f"{base}/in"))
+    kind = panel.withColumn("fetched_at", F.current_timestamp()).schema
+    streams.ingest(streams.snapshot_stream(spark, f"{base}/in", kind), prices, f"{base}/checkpoint",
+                   "arrivals").awaitTermination()
+    return prices.read()
+
+
 @query(UPSERT_SQL + " select * from merged")
 def stream_upsert(spark, sf):
     """The same two loads as snapshot files that arrive one after the other in a watched folder."""

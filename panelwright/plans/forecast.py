@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from panelwright.functions import scalars as S
 from panelwright.operators.joins import requests_with_history
 from panelwright.operators.model import BoundedModel, forecast_rows, rollout
-from panelwright.operators.quality import passed
+from panelwright.operators.quality import passed, rejected
 from panelwright.operators.series import carry_forward, latest_windows, series_keys
 from panelwright.schema import LAG
 from panelwright.spec import CHILI, PanelSpec
@@ -43,9 +43,24 @@ def forecast(panel: DataFrame, requests: DataFrame, weights: Sequence[float], sc
 
 def forecast_with(model: BoundedModel, panel: DataFrame, requests: DataFrame, scaler: DataFrame,
                   as_of: Column | None = None, spec: PanelSpec = CHILI) -> DataFrame:
-    """Rolled-out requests of a fitted model."""
-    ready = passed(request_windows(panel, requests, as_of, len(model.lags), spec))
-    return rollout(model.with_bias(ready), model.lags, scaler, F.col("durasi"), F.col("_bias"), "logit")
+    """Rolled-out requests of a fitted model; ``rejects`` has those that can't be."""
+    ready = passed(_known(model, request_windows(panel, requests, as_of, len(model.lags), spec)))
+    return rollout(ready, model.lags, scaler, F.col("durasi"), F.col("_bias"), "logit")
+
+
+def _known(model: BoundedModel, requests: DataFrame) -> DataFrame:
+    unknown = F.when(F.col("_bias").isNull(), F.lit("unknown series"))
+    return model.with_bias(requests).withColumn("reason", F.coalesce("reason", unknown))
+
+
+def rejects(panel: DataFrame, requests: DataFrame, as_of: Column | None = None, lag: int = LAG,
+            spec: PanelSpec = CHILI, model: BoundedModel | None = None) -> DataFrame:
+    """Requests that get no forecast, each with its ``reason``: too little data, or, with a ``model``, a series
+    that wasn't in its training."""
+    windows = request_windows(panel, requests, as_of, len(model.lags) if model else lag, spec)
+    if model:
+        windows = _known(model, windows).drop("_bias")
+    return rejected(windows).drop("history")
 
 
 def report(rolled: DataFrame, spec: PanelSpec = CHILI, made_at: Column | None = None) -> DataFrame:

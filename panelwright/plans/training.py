@@ -28,6 +28,7 @@ class TrainingRun:
     metrics: DataFrame
     metrics_by_series: DataFrame
     train_loss: DataFrame
+    unscored: DataFrame
 
 
 def split_parts(panel: DataFrame, spec: PanelSpec = CHILI, min_rows: int = MIN_TRAIN_ROWS,
@@ -68,11 +69,13 @@ def train(panel: DataFrame, spec: PanelSpec = CHILI, spline: bool = True, lag: i
     windows = cut_lineage(windows)
     model = fit_bounded(windows.filter(F.col("split") == "train"), spec, lag)
     predicted = predict_one_step(model, windows)
-    scored = evaluation_frame(predicted.filter(F.col("split") == "test"), scaler)
+    missing = F.col("prediction").isNull()
+    scored = evaluation_frame(predicted.filter((F.col("split") == "test") & ~missing), scaler)
+    unscored = predicted.filter(missing).select(*spec.natural_key, F.lit("unknown series").alias("reason"))
     miss = F.col("y") - F.col("prediction")
     loss = predicted.filter(F.col("split") == "train").agg(F.avg(miss * miss).alias("final_train_loss_mse"))
     return TrainingRun(model, scaler, scored, error_metrics(scored, "aktual", "prediksi"),
-                       error_metrics(scored, "aktual", "prediksi", spec.keys), loss)
+                       error_metrics(scored, "aktual", "prediksi", spec.keys), loss, unscored)
 
 
 def log_run(run: TrainingRun, path: str, run_id: str, share: float = TRAIN_SHARE) -> None:
