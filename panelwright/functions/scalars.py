@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -129,9 +131,10 @@ def blank_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
-def to_date_or_null(c: Column) -> Column:
-    """ISO date text, with or without a time part, to a date; anything else is null."""
-    return strip(c).try_cast("date")
+def to_date_or_null(c: Column, formats: Sequence[str] = ()) -> Column:
+    """ISO date text, with or without a time part, or text of one of ``formats``, to a date; else null."""
+    text = strip(c)
+    return F.coalesce(text.try_cast("date"), *(F.try_to_timestamp(text, F.lit(f)).cast("date") for f in formats))
 
 
 def scale(c: Column, low: Column, high: Column) -> Column:

@@ -685,13 +685,16 @@ def split_counts(spark, sf):
     return rows.groupBy("region", "priority", "split").agg(F.count("*").alias("n_rows"))
 
 
-@query(POSITION_SQL + """ select replace(region, ' ', '_') as region_key, replace(priority, ' ', '_') as priority_key,
-  split, day, price from parted""")
+@query(POSITION_SQL + """ select case when region = 'ASIA' then 'AFRI_CA' when region = 'AFRICA' then 'AFRI CA'
+  else region end as region, priority, split, day, price from parted""")
 def split_export(spark, sf):
+    """Delimited files by part and bucket; names that would share a path keep their rows apart."""
     path = scratch(spark, "split_export")
-    sinks.export_splits(W.temporal_split(stored_panel(spark, sf), ORDERS), path, ORDERS)
-    schema = "day date, price bigint, region_key string, priority_key string, split string"
-    return spark.read.schema(schema).option("header", True).csv(path)
+    region = F.when(F.col("region") == "ASIA", "AFRI_CA").when(F.col("region") == "AFRICA", "AFRI CA")
+    rows = W.tidy(W.temporal_split(stored_panel(spark, sf), ORDERS))
+    sinks.export_splits(rows.withColumn("region", F.coalesce(region, "region")), path, ORDERS)
+    schema = "region string, priority string, day date, price bigint, split string, _bucket int"
+    return spark.read.schema(schema).option("header", True).csv(path).drop("_bucket")
 
 
 @query("select region, priority, day, price from op where region <> 'EUROPE' union all "
@@ -718,17 +721,20 @@ def series_folder(spark, sf):
 
 @query("""select region, priority, day,
   case when day(day) % 4 = 0 then null else price::double end as price
-from op where region <> 'AFRICA' and (region, priority) in
-  (select (region, priority) from op group by region, priority having count(*) >= 520)""")
+from op where day(day) <> 31 and region <> 'AFRICA' and (region, priority) in
+  (select (region, priority) from op where day(day) <> 31 group by region, priority having count(*) >= 500)""")
 def training_folder(spark, sf):
-    """The tolerant load: other header names, unknown keys, unreadable prices, short series."""
+    """The tolerant load: other header names, D/M/Y and unreadable dates, unknown keys, unreadable prices,
+    short series."""
     path, panel = scratch(spark, "series"), order_panel(spark, sf)
     text = F.when(F.day("day") % 4 == 0, F.lit("-")).otherwise(S.rupiah(F.col("price")))
-    out = panel.select(F.col("day").alias("Tgl Laporan"), F.substr(text, F.lit(3)).alias("Harga (Rp)"),
+    day = F.when(F.day("day") == 31, F.lit("31/02/2000")).otherwise(F.date_format("day", "d/M/yyyy"))
+    out = panel.select(day.alias("Tgl Laporan"), F.substr(text, F.lit(3)).alias("Harga (Rp)"),
                        F.concat_ws("_", "region", "priority").alias("series"))
     out.hint("rebalance", "series").write.partitionBy("series").option("header", True).csv(path)
     dims = {"region": regions(spark, sf).filter(F.col("name") != "AFRICA"), "priority": priorities(spark, sf)}
-    return files.load_training_folder(spark, path, dims, ORDERS, min_rows=520, in_folders=True).rows
+    return files.load_training_folder(spark, path, dims, ORDERS, min_rows=500, in_folders=True,
+                                      date_formats=["d/M/yyyy"]).rows
 
 
 @query("""select region, priority, case when region = 'AFRICA' then 'unknown name'

@@ -6,6 +6,7 @@ where its date and price are. All files of a folder are read by one distributed
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,8 @@ VALUE_WORDS = ("harga", "price")
 # Stems of exported splits, which are not source files.
 SPLIT_SUFFIXES = "_(train|test)$"
 
-COMMA = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+# A field with the comma in front of it; every character is looked at once.
+FIELD = r',\s*("[^"]*+(?:""[^"]*+)*+"|[^,]*+)'
 
 
 @dataclass(frozen=True)
@@ -35,7 +37,8 @@ class FolderLoad:
 
 def _fields(line: Column) -> Column:
     bare = lambda f: F.replace(F.regexp_replace(f, '^"|"$', ""), F.lit('""'), F.lit('"'))
-    return F.transform(F.split(line, COMMA, -1), lambda f: bare(S.strip(f)))
+    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(FIELD), F.lit(1))
+    return F.transform(fields, lambda f: bare(S.strip(f)))
 
 
 def _lines(spark: SparkSession, folder: str, pattern: str, in_folders: bool) -> tuple[DataFrame, DataFrame]:
@@ -77,9 +80,12 @@ def _load(lines: DataFrame, heads: DataFrame, spec: PanelSpec) -> DataFrame:
 
 
 def load_series_folder(spark: SparkSession, folder: str, spec: PanelSpec = CHILI,
-                       pattern: str = "*.csv", in_folders: bool = False) -> FolderLoad:
+                       pattern: str = "*.csv", in_folders: bool = False,
+                       date_formats: Sequence[str] = ()) -> FolderLoad:
     """Strict load: headers ``tanggal`` or ``date``, and the value's name; whole numbers out.
 
+    Dates are ISO or of one of ``date_formats``, the first that fits.
+
     A file with an unreadable date or price is left out whole; the others are loaded.
     """
     lines, heads = _lines(spark, folder, pattern, in_folders)
@@ -95,7 +101,7 @@ def load_series_folder(spark: SparkSession, folder: str, spec: PanelSpec = CHILI
 
     rows = _load(lines, heads, spec)
     blank = F.coalesce(F.col("_time"), F.lit("")) == ""
-    rows = (rows.withColumn(spec.time, S.to_date_or_null(F.col("_time")))
+    rows = (rows.withColumn(spec.time, S.to_date_or_null(F.col("_time"), date_formats))
             .withColumn(spec.value, S.round_int(S.number(F.col("_value"))))
             .withColumn("_bad", (~blank & F.col(spec.time).isNull()) | F.col(spec.value).isNull()))
     rows = store(rows.drop("_time", "_value"), "series_rows")
@@ -115,11 +121,13 @@ def stem_key_columns(spec: PanelSpec) -> list[Column]:
 
 def load_training_folder(spark: SparkSession, folder: str, dims: dict[str, DataFrame],
                          spec: PanelSpec = CHILI, pattern: str = "*.csv", column: str = "name",
-                         min_rows: int = MIN_FILE_ROWS, in_folders: bool = False) -> FolderLoad:
+                         min_rows: int = MIN_FILE_ROWS, in_folders: bool = False,
+                         date_formats: Sequence[str] = ()) -> FolderLoad:
     """Tolerant load: date and price columns found by name, keys checked against the dimensions.
 
-    Rows without a readable date are dropped, prices are cleaned to double or null, and series with
-    fewer than ``min_rows`` rows are left out. Files of exported splits are not looked at.
+    Dates are ISO or of one of ``date_formats``. Rows without a readable date are left out and counted as
+    ``n_undated`` of their file, prices are cleaned to double or null, and series with fewer than
+    ``min_rows`` rows are left out. Files of exported splits are not looked at.
     """
     lines, heads = _lines(spark, folder, pattern, in_folders)
     source = ~S.file_stem(F.col("file")).rlike(SPLIT_SUFFIXES)
@@ -140,13 +148,14 @@ def load_training_folder(spark: SparkSession, folder: str, dims: dict[str, DataF
     ).drop(*[f"_known_{key}" for key in dims])
 
     rows = (_load(lines, heads, spec)
-            .withColumn(spec.time, S.to_date_or_null(F.col("_time")))
-            .withColumn(spec.value, S.clean_price(F.col("_value")))
-            .filter(F.col(spec.time).isNotNull()))
+            .withColumn(spec.time, S.to_date_or_null(F.col("_time"), date_formats))
+            .withColumn(spec.value, S.clean_price(F.col("_value"))))
     rows = store(rows.drop("_time", "_value"), "training_rows")
-    totals = rows.groupBy("file").agg(F.count("*").alias("n_rows"))
+    totals = rows.groupBy("file").agg(F.count(spec.time).alias("n_rows"),
+                                      F.count_if(F.col(spec.time).isNull()).alias("n_undated"))
+    rows = rows.filter(F.col(spec.time).isNotNull())
     files = (heads.select("file", *spec.keys, "reason").join(totals, "file", "left")
-             .withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
+             .withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_rows", "n_undated")})
              .withColumn("reason", F.coalesce("reason", F.when(F.col("n_rows") < min_rows, "too short"))))
     long = totals.filter(F.col("n_rows") >= min_rows).select("file")
     good = rows.join(long, "file", "left_semi").select(*spec.columns)

@@ -6,13 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.functions import scalars as S
 from panelwright.operators.upsert import INSERTED, UPDATED, has_key, keyless, merge_counted, totals
 from panelwright.schema import PRICE_SCHEMA
 from panelwright.session import cut_lineage
 from panelwright.spec import CHILI, PanelSpec
 
-PERIOD, VERSION = "_period", "_version"
+PERIOD, VERSION, BUCKET = "_period", "_version", "_bucket"
 COMMITS = (f"{VERSION} bigint, source string, run_id bigint, periods array<string>, inserted bigint, "
            "updated bigint, rejected bigint")
 
@@ -26,20 +25,24 @@ def replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def export_splits(df: DataFrame, path: str, spec: PanelSpec = CHILI) -> None:
-    """The raw train and test rows of every series, one folder per series and part.
+def _by_series(df: DataFrame, spec: PanelSpec, buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64(*spec.keys), F.lit(buckets)))
 
-    The write is rebalanced: a long series is spread over several files, short ones share a task.
+
+def export_splits(df: DataFrame, path: str, spec: PanelSpec = CHILI, buckets: int = 64) -> None:
+    """The raw train and test rows of every series as delimited files, with their keys.
+
+    A folder holds one part of all series of a bucket, so the number of folders doesn't grow with the
+    series. The write is rebalanced: a long series is spread over several files, short ones share one.
     """
-    keys = {f"{key}_key": S.file_key(F.col(key)) for key in spec.keys}
-    out = df.select(*spec.columns, "split").withColumns(keys).drop(*spec.keys)
-    by = [*keys, "split"]
+    out = _by_series(df.select(*spec.columns, "split"), spec, buckets)
+    by = ["split", BUCKET]
     out.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).option("header", True).csv(path)
 
 
-def write_report(report: DataFrame, path: str, spec: PanelSpec = CHILI) -> None:
-    by = list(spec.keys)
-    report.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+def write_report(report: DataFrame, path: str, spec: PanelSpec = CHILI, buckets: int = 64) -> None:
+    out = _by_series(report, spec, buckets)
+    out.hint("rebalance", BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(path)
 
 
 def append_metrics(metrics: DataFrame, path: str, run_id: str) -> None:

@@ -13,6 +13,7 @@ from panelwright import schema
 from panelwright.operators import evaluate as E
 from panelwright.operators import joins as J
 from panelwright.operators import quality as Q
+from panelwright.operators.series import latest_n
 from panelwright.operators.upsert import change_counts, keyless, merge_batch
 from panelwright.sources import files, html, sinks, tables
 from panelwright.spec import CHILI, PanelSpec
@@ -276,6 +277,34 @@ def test_training_folder(spark, tmp_path):
     assert reasons == {"Aceh": None, "Bali": "too short", "Atlantis": "unknown name", "Riau": "missing column"}
 
 
+def test_dates_of_other_formats_and_undated_rows(spark, tmp_path):
+    body = "".join(f"{i}/2/2025,{i}\n" for i in range(1, 29))
+    write(tmp_path, Aceh_Cabai__Rawit__Merah="tanggal,harga\n" + body + "31/2/2025,5\n,6\n")
+    dims = {"provinsi": schema.dimension(spark, schema.PROVINCES)}
+    load = files.load_training_folder(spark, str(tmp_path), dims, date_formats=["d/M/yyyy"], min_rows=28)
+    assert sorted(r.tanggal.day for r in load.rows.collect()) == list(range(1, 29))
+    assert [(r.reason, r.n_rows, r.n_undated) for r in load.files.collect()] == [(None, 28, 2)]
+
+
+def test_delimited_fields(spark):
+    lines = {'a,b': ["a", "b"], '': [""], ',': ["", ""], ' "x, y" ,z': ["x, y", "z"], '"a ""q"" b",': ['a "q" b', ""],
+             '"open,b': ["open", "b"], 'a,' + '"' * 9000: None, ",".join("x" * 30_000): ["x"] * 30_000}
+    df = spark.createDataFrame([(k,) for k in lines], "t string")
+    for line, fields in df.select("t", files._fields(F.col("t"))).collect():
+        if lines[line] is not None:
+            assert fields == lines[line], line[:50]
+
+
+@pytest.mark.parametrize("n", [3, 1500])
+def test_latest_rows_of_any_number(spark, n):
+    rows = [("hot", D + dt.timedelta(days=i), i) for i in range(4000)] + [("b", D, 1)]
+    df = spark.createDataFrame(rows, "k string, d date, v int")
+    got = latest_n(df, n, SPEC)
+    assert got.columns == ["k", "d", "v"]
+    assert sorted(r.v for r in got.where("k = 'hot'").collect()) == list(range(4000 - n, 4000))
+    assert got.where("k = 'b'").count() == 1
+
+
 def test_parquet_folder(spark, tmp_path):
     df = spark.createDataFrame([(D, 5), (dt.date(2025, 12, 2), 6)], "` Tanggal` date, Harga int").coalesce(1)
     df.write.parquet(str(tmp_path / "out"))
