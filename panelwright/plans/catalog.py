@@ -22,7 +22,7 @@ from panelwright.plans import training
 from panelwright.plans.driver_panels import (
     EVENTS, ORDERS, event_panel, gappy_panel, nations, order_pages, order_panel, perturbed, priorities, regions,
     stored_panel, table)
-from panelwright.session import shared_dir
+from panelwright.session import work_dir
 from panelwright.sources import files, html, sinks, tables
 from panelwright.streaming import ingest as streams
 from panelwright.schema import substitutes
@@ -62,8 +62,8 @@ def query(sql: str | None = None, ctes: str = PANEL_SQL) -> Callable[[Query], Qu
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder on the shared storage of the session."""
-    return f"{shared_dir(spark)}/panelwright/{name}-{uuid.uuid4().hex}"
+    """A new folder on the shared storage of the session, until its ``release``."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # --- scans, filters, limits ---------------------------------------------------------------------

@@ -53,11 +53,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def work_dir(spark: SparkSession) -> str:
+    """Where this application keeps intermediate tables on the shared storage, until ``release``."""
+    return f"{shared_dir(spark)}/panelwright/{spark.sparkContext.applicationId}"
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it from there.
 
-    For frames that several branches of a plan read: each branch then scans just its columns.
+    For frames that several branches of a plan read: each branch then scans just its columns. The table
+    lives until ``release``.
     """
-    path = f"{shared_dir(df.sparkSession)}/panelwright/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Removes the application's intermediate tables; frames that still read them are no longer usable."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
