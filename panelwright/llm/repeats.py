@@ -108,7 +108,12 @@ def _shared_minimizers(docs: DataFrame, packs: int, length: int) -> DataFrame:
                  for x, s in zip(table["twice"].to_pylist(), sets)]
         every = np.sort(np.concatenate([*sets, *(s[t] for s, t in zip(sets, twice))]))
         several = np.unique(every[1:][every[1:] == every[:-1]])
-        found = [np.intersect1d(s, several, assume_unique=True) for s in sets]
+        joined = np.concatenate(sets)
+        spot = np.searchsorted(several, joined)
+        there = np.append(several, U64(0))[spot] == joined
+        there &= spot < len(several)
+        bounds = np.cumsum([0, *map(len, sets)])
+        found = [s[there[a:b]] for s, a, b in zip(sets, bounds, bounds[1:])]
         kept = [i for i, x in enumerate(found) if len(x)]
         return pa.table({"pack": table["pack"].take(pa.array(kept, pa.int64())),
                          "minimizers": pa.array([found[i].tobytes() for i in kept], pa.binary())})
