@@ -94,13 +94,15 @@ def word_counts(docs: DataFrame) -> DataFrame:
         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
-def gram_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
-    """(gram, length, tail, context, tail_context, top, toxic, ordinary) of each run of bytes in the words.
+def gram_counts(words: DataFrame, order: int, bits: int) -> DataFrame:
+    """(gram, tail, context, tail_context, toxic, ordinary) of each run of bytes in the words.
 
-    ``tail`` is the run without its first byte. ``top`` runs are the longest that end at some byte.
+    ``gram`` tells runs apart; the rest are buckets of counts: ``tail`` of the run without its first byte (null
+    for a single byte), and the contexts of both. Counts are of runs that are the longest that end at some byte.
     """
 
     def run(batches):
+        shift = U64(64 - bits)
         for batch in batches:
             data, offsets = T.buffers(batch["word"])
             places, room, value, context = _grams(data, offsets, order)
@@ -112,19 +114,19 @@ def gram_counts(words: DataFrame, order: int = ORDER) -> DataFrame:
                 top = (room[here] == n) | (n == order)
                 gram, at, index = np.unique(value[n][here], return_index=True, return_inverse=True)
                 at = here[at]
-                tails = [x[n - 1][at] if n > 1 else np.zeros(len(at), U64) for x in (value, context)]
+                none = np.full(len(at), n == 1)
+
+                def bucket(x, length, kind):
+                    return pa.array((_key(x, length, kind) >> shift).astype(np.int32), mask=none if length < n else None)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(_key(gram, n, 0).view(np.int64)), pa.array(np.full(len(gram), n, np.int32)),
-                    pa.array(_key(tails[0], n - 1, 0).view(np.int64)),
-                    pa.array(_key(context[n][at], n, 1).view(np.int64)),
-                    pa.array(_key(tails[1], n - 1, 1).view(np.int64)),
+                    pa.array(_key(gram, n, 0).view(np.int64)), bucket(value[n - 1][at], n - 1, 0),
+                    bucket(context[n][at], n, 1), bucket(context[max(n - 1, 1)][at], n - 1, 1),
                     pa.array(np.bincount(index, np.where(top, toxic[here], 0), len(gram)).astype(np.int64)),
                     pa.array(np.bincount(index, np.where(top, ordinary[here], 0), len(gram)).astype(np.int64)),
-                ], ["gram", "length", "tail", "context", "tail_context", "toxic", "ordinary"])
+                ], ["gram", "tail", "context", "tail_context", "toxic", "ordinary"])
 
-    grams = words.mapInArrow(run, "gram long, length int, tail long, context long, tail_context long, "
-                                  "toxic long, ordinary long")
-    return grams.groupBy("gram", "length", "tail", "context", "tail_context").agg(
+    grams = words.mapInArrow(run, "gram long, tail int, context int, tail_context int, toxic long, ordinary long")
+    return grams.groupBy("gram", "tail", "context", "tail_context").agg(
         F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
@@ -165,11 +167,10 @@ class Model:
 
 def fit(docs: DataFrame, bits: int = 20, order: int = ORDER) -> Model:
     """The two models from ``docs`` (text, toxic 0/1); all rows count."""
-    grams = store(gram_counts(word_counts(docs), order), "grams")
+    grams = store(gram_counts(word_counts(docs), order, bits), "grams")
     bucket = lambda c: F.shiftrightunsigned(c, 64 - bits)
-    top = grams.select(bucket("gram").alias("g"), bucket("context").alias("c"), "toxic", "ordinary")
-    tails = grams.where("length > 1").groupBy("tail", "tail_context").agg(F.count("*").alias("n")).select(
-        bucket("tail").alias("g"), bucket("tail_context").alias("c"), "n")
+    top = grams.select(bucket("gram").alias("g"), F.col("context").alias("c"), "toxic", "ordinary")
+    tails = grams.where("tail is not null").groupBy("tail", "tail_context").agg(F.count("*").alias("n")).toDF("g", "c", "n")
     tables = [top.groupBy("g").agg(F.sum("toxic"), F.sum("ordinary"), F.lit(0)),
               tails.groupBy("g").agg(F.lit(0), F.lit(0), F.sum("n")),
               top.groupBy("c").agg(F.sum("toxic"), F.sum("ordinary"), F.lit(0)),
@@ -259,7 +260,7 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = 50_000, bits: int =
     labels = labels.where("doc_id is not null and toxic is not null").groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     labels = labels.where(remainder(F.col("doc_id"), 5) != 0)
-    counted = remainder(F.col("doc_id"), 20) >= 5
+    counted = (remainder(F.col("doc_id"), 5) != 0) & (remainder(F.col("doc_id"), 20) >= 5)
     model = fit(docs.where(counted).join(labels.where(counted), "doc_id"), bits)
     found = store(features(docs, model), "features")
     chosen = found.join(labels.where(~counted), "doc_id").select("doc_id", *FEATURES, "toxic")
