@@ -1,45 +1,53 @@
 """Near-duplicate lines by an exact set-similarity join, in column functions only.
 
-A line is the set of its words (white space parts them, A-Z count as a-z). It goes if an earlier line - by doc_id, then
+A line is the set of its words (white space parts them, case doesn't count). It goes if an earlier line - by doc_id, then
 place in the text - has the same set or one of Jaccard similarity of at least ``percent``. Lines are judged on the
 input, not on what is left; lines without words stay.
 
-1. Words are counted over all texts in 2**16 hashed buckets, a table of fixed size. A line's words are ordered
+1. Words are counted over all texts in 2**18 hashed buckets, a table of fixed size. A line's words are ordered
    by rarity: by the bucket's count, then by hash. Any one order for all lines gives the right result; rare words
    first makes it fast.
-2. Lines of equal sets are one from here on; its place is its earliest one.
-3. Prefix filter: two similar sets share a word among the first n - ceil(t n) + 1 of each. Sets meet at these
-   words; the length filter and the positional filter (what can still be shared after the meeting word) thin
-   the pairs out; the rest is checked on the whole sets.
-4. A set needs one earlier match only. So sets first meet the earliest set of their three rarest words. Those that
-   match are settled, and pairs of two settled sets are not formed: a large group of near copies costs a few
+2. Lines of equal text are one from here on; its place is its earliest one. The distinct lines with their words' codes
+   are kept in memory, or on the executors' disks, partitioned by line; what is lost is made again.
+3. Prefix filter: two similar sets share a word among the first n - ceil(t n) + 1 of each. Lines meet at these
+   words; the length filter, the positional filter (what can still be shared after the meeting word) and a 64-bit
+   sketch (every bit in which two sketches differ is a word that one set lacks) thin the pairs out; the rest is
+   checked on the whole sets.
+4. A line needs one earlier match only. So lines first meet the earliest line of their rarest words. Those that
+   match are settled, and pairs of two settled lines are not formed: a large group of near copies costs a few
    pairs for each.
 
-Words of a pair are compared by 32-bit codes, sets told apart by two 64-bit hashes. Sets whose first hash
+Words of a pair are compared by 31-bit codes, lines told apart by two 64-bit hashes. Lines whose first hash
 collides are kept rather than removed.
 """
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BUCKETS = 1 << 16
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+from panelwright.session import store
+
+BITS = 18
 BLANK = r"[\x20\x09-\x0D]+"
-LEADS = 3
+LEADS = 2
 
 
 def words(text: Column) -> Column:
-    return F.split(F.btrim(F.translate(text, UPPER, LOWER), F.lit(" \t\n\x0b\x0c\r")), BLANK)
+    return F.split(F.btrim(F.lower(text), F.lit(" \t\n\x0b\x0c\r")), BLANK)
+
+
+def _bucket(h: Column) -> Column:
+    return h.bitwiseAND(F.lit((1 << BITS) - 1))
 
 
 def rarity(docs: DataFrame) -> Column:
     """An array of a rank by bucket of words, rising with how often they occur in ``docs``; one value for a query."""
     spark = docs.sparkSession
     found = docs.select(F.explode(words(F.col("text"))).alias("word")).where("word <> ''").groupBy(
-        F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).alias("id")).count()
-    full = spark.range(BUCKETS).join(found, "id", "left")
+        _bucket(F.xxhash64("word")).alias("id")).count()
+    full = spark.range(1 << BITS).join(found, "id", "left")
     return full.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("count", F.lit(0)).alias("n")))),
                                 lambda x: F.floor(F.log1p(x["n"]) * 600).cast("int"))).scalar()
 
@@ -48,70 +56,110 @@ def numbered(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, line_no, line) of every line of texts that aren't null, lines numbered from 0."""
     parts = docs.where("doc_id is not null and text is not null").select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("parts"))
-    return parts.select("doc_id", "text_hash", F.posexplode("parts").alias("line_no", "line"))
-
+    return parts.select("doc_id", "text_hash", F.posexplode("parts").alias("line_no", "line")).where(
+        F.btrim("line", F.lit(" \t\x0b\x0c\r")) != "").withColumn("id", F.xxhash64("line"))
+
+
+def distinct_lines(lines: DataFrame, ranks: Column) -> DataFrame:
+    """(id, place, sure, codes, n, sketch, wide0..3) of every distinct line; ``codes`` are its words', rarest first."""
+    hashes = F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
+    keys = F.transform("hashes", lambda h: F.shiftleft(F.get("ranks", _bucket(h).cast("int")).cast("long"), 48).bitwiseOR(
+        F.shiftrightunsigned(h, 16)))
+    codes = F.transform(F.sort_array(keys), lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    # The one value of ranks is merged into the expression that uses it; as a column it would be copied per line.
+    lines = lines.withColumn("hashes", hashes).withColumn("ranks", ranks).select(
+        "id", "doc_id", "text_hash", "line_no", F.xxhash64(F.lit(1), "line").alias("check"), codes.alias("codes"))
+    found = lines.groupBy("id").agg(
+        F.min(F.struct("doc_id", "text_hash", "line_no")).alias("place"), F.min("check").alias("low"),
+        F.max("check").alias("high"), F.first("codes").alias("codes"))
+    def bits(codes: Column) -> Column:
+        return F.aggregate(codes, F.lit(0).cast("long"), lambda x, c: x.bitwiseOR(
+            F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)))))
 
-def _with_sets(lines: DataFrame, ranks: Column) -> DataFrame:
-    """Adds set_id, check and codes: the words' codes, rarest first."""
-    def key(word: Column) -> Column:
-        h = F.xxhash64(word)
-        rank = F.element_at("ranks", (F.pmod(h, F.lit(BUCKETS)) + 1).cast("int"))
-        return F.shiftleft(rank.cast("long"), 48).bitwiseOR(F.shiftrightunsigned(h, 16))
-    keys = F.sort_array(F.array_distinct(F.transform(words(F.col("line")), key)))
-    lines = lines.where(F.btrim("line", F.lit(" \t\x0b\x0c\r")) != "").withColumn("ranks", ranks)
-    lines = lines.withColumn("keys", keys)
-    return lines.select("doc_id", "text_hash", "line_no", F.xxhash64("keys").alias("set_id"),
-                        F.xxhash64(F.lit(1), "keys").alias("check"),
-                        F.transform("keys", lambda k: F.shiftright(F.shiftleft(k, 32), 32).cast("int")).alias("codes"))
+    def quarter(i: int) -> Column:
+        return bits(F.filter("codes", lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(3)) == i)).alias(f"wide{i}")
+    return found.select("id", "place", (F.col("low") == F.col("high")).alias("sure"), "codes",
+                        F.size("codes").alias("n"), bits(F.col("codes")).alias("sketch"), *map(quarter, range(4)))
 
 
 def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, text_hash, lines): numbers of the lines that go, in order, of documents that lose any."""
-    ranks = rarity(docs)
-    lines = _with_sets(numbered(docs), ranks)
-    sets = lines.groupBy("set_id").agg(
-        F.min(F.struct("doc_id", "text_hash", "line_no")).alias("place"), F.min("check").alias("low"),
-        F.max("check").alias("high"), F.first("codes").alias("codes"))
-    sets = sets.select("set_id", "place", (F.col("low") == F.col("high")).alias("sure"), "codes",
-                       F.size("codes").alias("n"))
-    # A set of n can't be similar to another one if n / (n + 1) is below the threshold.
-    joining = sets.where(F.col("sure") & (100 * F.col("n") >= percent * (F.col("n") + 1)))
-
-    def alike(n, m):
-        return (100 * F.least(n, m) >= percent * F.greatest(n, m))
+    spark = docs.sparkSession
+    lines = numbered(docs)
+    # Joins on the line's id find the distinct lines where they are, if nobody merges their partitions.
+    fixed = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+    before = spark.conf.get(fixed, "true")
+    spark.conf.set(fixed, "false")
+    try:
+        sets = distinct_lines(lines, rarity(docs)).persist(StorageLevel.MEMORY_AND_DISK)
+        gone = _similar_to_earlier(sets.where("sure"), percent).withColumn("gone", F.lit(True))
+        verdict = sets.join(gone, "id", "left").select("id", "place", "sure", F.coalesce("gone", F.lit(False)).alias("gone"))
+        own = F.struct("doc_id", "text_hash", "line_no")
+        out = store(lines.select("doc_id", "text_hash", "line_no", "id").join(verdict, "id").where(
+            F.col("gone") | (F.col("sure") & (own > F.col("place")))).groupBy("doc_id", "text_hash").agg(
+            F.sort_array(F.collect_set("line_no")).alias("lines")), "removed_lines")
+        sets.unpersist()
+    finally:
+        spark.conf.set(fixed, before)
+    return out
+
+
+def _similar_to_earlier(sets: DataFrame, percent: int) -> DataFrame:
+    """(id) of the lines that are similar to a line of an earlier place."""
+    def alike(n, m, x, y):
+        # Sets that are similar differ in few words for their size.
+        return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
+                & ((100 + percent) * F.bit_count(x.bitwiseXOR(y)) <= (100 - percent) * (n + m)))
 
     def later(pairs: DataFrame) -> DataFrame:
-        """Of each pair (a, b) of sets that is similar, the set of the later place."""
-        a = joining.select(F.col("set_id").alias("a"), F.col("place").alias("place_a"), F.col("codes").alias("codes_a"))
-        b = joining.select(F.col("set_id").alias("b"), F.col("place").alias("place_b"), F.col("codes").alias("codes_b"))
+        """Of each pair (a, b) of lines that is similar, the line of the later place.
+
+        Long sets fill a 64-bit sketch, so pairs first meet sketches of 256 bits; few go on to the whole sets.
+        """
+        wide = [f"wide{i}" for i in range(4)]
+        x = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), *(F.col(c).alias(f"{c}_a") for c in wide))
+        y = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), *(F.col(c).alias(f"{c}_b") for c in wide))
+        differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in wide), F.lit(0))
+        pairs = pairs.join(x, "a").join(y, "b").where(
+            (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+        a = sets.select(F.col("id").alias("a"), F.col("place").alias("place_a"), F.col("codes").alias("codes_a"))
+        b = sets.select(F.col("id").alias("b"), F.col("place").alias("place_b"), F.col("codes").alias("codes_b"))
         both = pairs.join(a, "a").join(b, "b")
         common = F.size(F.array_intersect("codes_a", "codes_b"))
         size = F.size("codes_a") + F.size("codes_b")
         return both.where(100 * common >= percent * (size - common)).select(
-            F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("set_id")).distinct()
+            F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct()
 
-    rare = joining.select("set_id", "place", "n", F.explode(F.slice("codes", 1, LEADS)).alias("word"))
-    lead = rare.groupBy("word").agg(F.min(F.struct("place", "set_id", "n")).alias("lead")).select("word", "lead.set_id", "lead.n")
-    lead = lead.toDF("word", "a", "n_a")
-    settled = later(rare.join(lead, "word").where((F.col("a") != F.col("set_id")) & alike(F.col("n"), F.col("n_a"))).select(
-        "a", F.col("set_id").alias("b")).distinct())
+    rare = sets.select("id", F.col("place.doc_id").alias("doc_id"), F.col("place.line_no").alias("line_no"), "n", "sketch",
+                       F.explode(F.slice("codes", 1, LEADS)).alias("word"))
+    lead = rare.groupBy("word").agg(F.min(F.struct("doc_id", "line_no", "id", "n", "sketch")).alias("x")).select(
+        "word", F.col("x.id").alias("a"), F.col("x.n").alias("n_a"), F.col("x.sketch").alias("sketch_a"))
+    settled = store(later(rare.join(lead, "word").where(
+        (F.col("a") != F.col("id")) & alike(F.col("n"), F.col("n_a"), F.col("sketch"), F.col("sketch_a"))).select(
+        "a", F.col("id").alias("b")).distinct()), "settled")
 
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    marked = joining.join(settled.withColumn("settled", F.lit(True)), "set_id", "left")
-    meeting = marked.select("set_id", "n", F.col("settled").isNull().alias("open"),
-                            F.posexplode(F.slice("codes", F.lit(1), prefix)).alias("at", "word"))
-    a, b = (meeting.select("word", *(F.col(c).alias(f"{c}_{s}") for c in ("set_id", "n", "open", "at"))) for s in "ab")
-    rest = F.least(F.col("n_a") - F.col("at_a"), F.col("n_b") - F.col("at_b"))
+    marked = sets.join(settled.withColumn("settled", F.lit(True)), "id", "left").select(
+        "id", "n", "sketch", F.col("settled").isNull().cast("int").alias("open"),
+        F.slice("codes", F.lit(1), prefix).alias("first"))
+    # n, place of the word and whether the line is settled, in one number.
+    note = F.shiftleft(F.col("n").cast("long"), 32) + F.shiftleft(F.col("at").cast("long"), 1) + F.col("open").cast("long")
+    meeting = marked.select("id", "n", "sketch", "open", F.posexplode("first").alias("at", "word")).select(
+        "word", "id", note.alias("note"), "sketch")
+    # Dealt once and kept, as Spark would deal the same rows out for either side of the join.
+    partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    meeting = meeting.repartition(partitions, "word").persist(StorageLevel.MEMORY_AND_DISK)
+    a, b = (meeting.select("word", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "note", "sketch"))) for s in "ab")
+    n_a, n_b = (F.shiftright(f"note_{s}", 32) for s in "ab")
+    at_a, at_b = (F.shiftright(F.col(f"note_{s}").bitwiseAND(F.lit((1 << 32) - 1)), 1) for s in "ab")
+    either = F.col("note_a").bitwiseOR(F.col("note_b")).bitwiseAND(F.lit(1)) == 1
     pairs = a.join(b, "word").where(
-        (F.col("set_id_a") < F.col("set_id_b")) & (F.col("open_a") | F.col("open_b")) & alike(F.col("n_a"), F.col("n_b"))
-        & ((100 + percent) * rest >= percent * (F.col("n_a") + F.col("n_b")))).select(
-        F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
-    gone = settled.union(later(pairs)).distinct().withColumn("gone", F.lit(True))
-    verdict = sets.join(gone, "set_id", "left").select("set_id", "place", "sure", F.coalesce("gone", F.lit(False)).alias("gone"))
-    own = F.struct("doc_id", "text_hash", "line_no")
-    return lines.select("doc_id", "text_hash", "line_no", "set_id").join(verdict, "set_id").where(
-        F.col("gone") | (F.col("sure") & (own > F.col("place")))).groupBy("doc_id", "text_hash").agg(
-        F.sort_array(F.collect_set("line_no")).alias("lines"))
+        (F.col("id_a") < F.col("id_b")) & either & alike(n_a, n_b, F.col("sketch_a"), F.col("sketch_b"))
+        & ((100 + percent) * F.least(n_a - at_a, n_b - at_b) >= percent * (n_a + n_b))).select(
+        F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
+    out = store(settled.union(later(pairs)).distinct(), "similar")
+    meeting.unpersist()
+    return out
 
 
 def without_repeats(docs: DataFrame, percent: int = 80, drop_emptied: bool = False) -> DataFrame:
@@ -149,8 +197,7 @@ def report(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 SQL = r"""
 with l as (
-  select doc_id, line_no, [w for w in string_split_regex(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if w <> ''] as w
+  select doc_id, line_no, [w for w in string_split_regex(lower(line), '[\x20\x09-\x0D]+') if w <> ''] as w
   from (select doc_id, unnest(string_split(text, chr(10))) as line,
                unnest(range(len(string_split(text, chr(10))))) as line_no
         from documents where doc_id is not null and text is not null)),
