@@ -9,14 +9,15 @@ is common in toxic texts stands out, also by its stem alone.
 A text's length-normalised log-likelihood ratio, and the same over its strongest window of words, go through a
 logistic calibration fitted on training texts that the counts don't include.
 
-Counts cover all labelled training rows. They reach the scorers in tables of 2**bits buckets: their size is
-fixed, and two expressions in one bucket share their counts.
+Counts are exact and nowhere gathered as a whole. A run of up to ``ORDER`` bytes and its length are one 64-bit
+number. Texts go in packs; a pack asks once for each of its distinct runs. All that the probability of a run
+needs is counted from runs with the same two bytes before the last, so runs and counts meet in ``SHARDS`` groups by
+these bytes, and only the shared probabilities after at most one byte, 2**16 values, are the same for all. The
+answers go back to the pack. Groups that many packs ask are split, so none holds more than ``ASKERS`` packs' runs.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,6 +30,7 @@ U64 = np.uint64
 ORDER = 7
 DISCOUNT = 0.75
 WINDOWS = (1, 4, 16)
+PACK, SHARDS, ASKERS = 1 << 23, 256, 256
 
 
 def remainder(doc_id: Column, by: int) -> Column:
@@ -36,8 +38,8 @@ def remainder(doc_id: Column, by: int) -> Column:
 
 
 def _distinct(data: np.ndarray, words: T.Words):
-    """Distinct words, each in boundary bytes: (bytes, offsets, index of each word among them)."""
-    _, first, index = np.unique(words.hash, return_index=True, return_inverse=True)
+    """Distinct words, each in boundary bytes: (hashes, bytes, offsets, index of each word among them)."""
+    value, first, index = np.unique(words.hash, return_index=True, return_inverse=True)
     start, end = words.start[first], words.end[first]
     size = end - start + 2
     offsets = np.concatenate(([0], np.cumsum(size)))
@@ -45,182 +47,270 @@ def _distinct(data: np.ndarray, words: T.Words):
     out = T._LOWER[data[np.clip(source, 0, max(len(data) - 1, 0))]] if len(first) else np.zeros(0, np.uint8)
     out[offsets[:-1]] = 32
     out[offsets[1:] - 1] = 32
-    return out, offsets, index
+    return value, out, offsets, index
 
 
-def _grams(data: np.ndarray, offsets: np.ndarray, order: int):
-    """Hashes of the byte runs of each length up to ``order`` that end at each place but a word's first.
+def _pressed(values: np.ndarray) -> bytes:
+    """Numbers as differences, byte by byte, compressed."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if values.dtype.kind == "i" else values
+    raw = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
 
-    Gives places, the bytes of the word up to each, and, by length, the hash of the run and of its context.
-    """
+
+def _restored(data: bytes, dtype) -> np.ndarray:
+    dtype, size = np.dtype(dtype), int.from_bytes(data[:8], "little")
+    if not size:
+        return np.zeros(0, dtype)
+    raw = np.frombuffer(pa.decompress(data[8:], size, codec="zstd", asbytes=True), np.uint8)
+    values = np.ascontiguousarray(raw.reshape(dtype.itemsize, -1).T).view(dtype)[:, 0]
+    return np.cumsum(values, dtype=dtype) if dtype.kind == "i" else values
+
+
+def _runs(data: np.ndarray, offsets: np.ndarray):
+    """The longest run that ends at each place but a word's first, and the word of each place."""
     begin = np.repeat(offsets[:-1], np.diff(offsets))
     places = np.flatnonzero(np.arange(len(data)) != begin)
-    room = (places - begin[places]) + 1
-    value = np.zeros((order + 1, len(places)), U64)
-    with np.errstate(over="ignore"):
-        power = U64(1)
-        for n in range(1, order + 1):
-            value[n] = value[n - 1] + (data[np.maximum(places - n + 1, 0)].astype(U64) + U64(1)) * power
-            power = power * U64(T._BASE)
-        context = value - value[1]
-    return places, room, value, context
+    size = np.minimum(places - begin[places] + 1, ORDER)
+    run = size << 56
+    for n in range(ORDER):
+        run |= np.where(n < size, data[np.maximum(places - n, 0)].astype(np.int64) << (8 * n), 0)
+    return run, np.searchsorted(offsets, places, "right") - 1
+
+
+def _cut(run: np.ndarray, length: int) -> np.ndarray:
+    return run & ((1 << 8 * length) - 1)
+
 
+def _by_shard(run: np.ndarray):
+    """(distinct runs by shard and value, index of each run among them, bounds of the shards)."""
+    value, index = np.unique(run, return_inverse=True)
+    shard = (T.mix(_cut(value >> 8, 2).astype(U64)) % U64(SHARDS)).astype(np.int16)
+    order = np.argsort(shard, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    return value[order], place[index], np.searchsorted(shard[order], np.arange(SHARDS + 1))
 
-def _key(value: np.ndarray, length: int, kind: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return T.mix(value + U64(length * 8 + kind) * U64(0x632BE59BD9B4E019))
 
+PACKS = "doc_ids array<long>, sizes binary, labels binary, spelt binary, places binary, index binary"
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, toxic, ordinary) over all rows of ``docs`` (text, toxic)."""
+
+def packs(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` (doc_id, text, toxic), about ``PACK`` bytes of text in each pack.
+
+    A pack has the number of words and the label (-1 without one) of each row, its distinct words, and the number
+    of each word among them.
+    """
+
+    def pack(parts):
+        ids, sizes, labels, values, spelt, lengths, index = zip(*parts)
+        base = np.cumsum([0, *map(len, values)])
+        _, first, among = np.unique(np.concatenate(values), return_index=True, return_inverse=True)
+        length, data = np.concatenate(lengths), np.concatenate(spelt)
+        start = np.cumsum(length) - length
+        places = np.concatenate(([0], np.cumsum(length[first])))
+        data = data[np.repeat(start[first] - places[:-1], length[first]) + np.arange(places[-1])]
+        index = np.concatenate([among[i + b] for i, b in zip(index, base)])
+        ids = pa.concat_arrays(ids)
+        return pa.RecordBatch.from_arrays([
+            pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+            *(pa.array([_pressed(x)], pa.binary()) for x in (
+                np.concatenate(sizes), np.concatenate(labels), data, length[first], index.astype(np.uint32)))],
+            ["doc_ids", "sizes", "labels", "spelt", "places", "index"])
 
     def run(batches):
+        parts, size = [], 0
         for batch in batches:
             data, offsets = T.buffers(batch["text"])
-            label = batch["toxic"].to_numpy(zero_copy_only=False)
+            label = batch["toxic"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             for first, last in T.chunks(offsets, 1 << 20):
                 part, own = data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
                 found = T.words(part, own)
-                spelt, places, index = _distinct(part, found)
-                toxic = label[first:last][found.text] == 1
-                count = len(places) - 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.Array.from_buffers(pa.large_binary(), count, [
-                        None, pa.py_buffer(places.astype(np.int64).tobytes()), pa.py_buffer(spelt.tobytes())]).cast(pa.binary()),
-                    pa.array(np.bincount(index[toxic], minlength=count)),
-                    pa.array(np.bincount(index[~toxic], minlength=count))], ["word", "toxic", "ordinary"])
+                value, spelt, places, index = _distinct(part, found)
+                bounds = np.searchsorted(found.text, np.arange(last - first + 1))
+                parts.append((batch["doc_id"][first:last], np.diff(bounds), label[first:last], value, spelt,
+                              np.diff(places), index))
+                size += len(part)
+                if size >= PACK or sum(len(p[0]) for p in parts) >= 1 << 20:
+                    yield pack(parts)
+                    parts, size = [], 0
+        if parts:
+            yield pack(parts)
 
-    return docs.select("text", "toxic").mapInArrow(run, "word binary, toxic long, ordinary long").groupBy("word").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    return docs.select("doc_id", "text", "toxic").mapInArrow(run, PACKS).withColumn("owner", F.monotonically_increasing_id())
 
 
-def gram_counts(words: DataFrame, order: int, bits: int) -> DataFrame:
-    """(gram, tail, context, tail_context, toxic, ordinary) of each run of bytes in the words.
+def _unpacked(batch: pa.RecordBatch):
+    """Of each pack: (owner, words of each row, labels, bytes of the distinct words, their offsets, index)."""
+    for row in batch.to_pylist():
+        offsets = np.concatenate(([0], np.cumsum(_restored(row["places"], np.int64))))
+        yield (row["owner"], _restored(row["sizes"], np.int64), _restored(row["labels"], np.int64),
+               _restored(row["spelt"], np.uint8), offsets, _restored(row["index"], np.uint32).astype(np.int64))
 
-    ``gram`` tells runs apart; the rest are buckets of counts: ``tail`` of the run without its first byte (null
-    for a single byte), and the contexts of both. Counts are of runs that are the longest that end at some byte.
-    """
+
+def run_counts(packed: DataFrame) -> DataFrame:
+    """(shard, runs, toxic, ordinary): counts of the runs that occur in labelled rows, one row per shard."""
+
+    def parts(batches):
+        for batch in batches:
+            for _, sizes, labels, spelt, offsets, index in _unpacked(batch):
+                label = np.repeat(labels, sizes)
+                own, word = _runs(spelt, offsets)
+                by_word = [np.bincount(index[label == k], minlength=len(offsets) - 1)[word] for k in (1, 0)]
+                seen = by_word[0] + by_word[1] > 0
+                value, at, bounds = _by_shard(own[seen])
+                count = [np.bincount(at, b[seen], len(value)).astype(np.int64) for b in by_word]
+                full = np.flatnonzero(np.diff(bounds)).tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(
+                    [_pressed(x[bounds[k]:bounds[k + 1]]) for k in full], pa.binary()) for x in (value, *count))], names)
+
+    def total(table: pa.Table) -> pa.Table:
+        value, toxic, ordinary = _counts(table)
+        return pa.table([table["shard"].slice(0, 1), *(pa.array([_pressed(x)], pa.binary()) for x in (value, toxic, ordinary))],
+                        names)
+
+    names, schema = ["shard", "runs", "toxic", "ordinary"], "shard int, runs binary, toxic binary, ordinary binary"
+    return packed.mapInArrow(parts, schema).groupBy("shard").applyInArrow(total, schema)
+
+
+def _counts(table: pa.Table):
+    """Distinct runs of all rows and the sums of their counts."""
+    if not len(table):
+        return (np.zeros(0, np.int64),) * 3
+    every = [np.concatenate([_restored(x, np.int64) for x in table[c].to_pylist()]) for c in ("runs", "toxic", "ordinary")]
+    value, at = np.unique(every[0], return_inverse=True)
+    return value, *(np.bincount(at, x, len(value)).astype(np.int64) for x in every[1:])
+
+
+def short_runs(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shared probabilities of a byte alone, and after each byte: 2**8 and 2**16 values."""
 
     def run(batches):
-        shift = U64(64 - bits)
         for batch in batches:
-            data, offsets = T.buffers(batch["word"])
-            places, room, value, context = _grams(data, offsets, order)
-            word = np.searchsorted(offsets, places, "right") - 1
-            toxic = batch["toxic"].to_numpy()[word]
-            ordinary = batch["ordinary"].to_numpy()[word]
-            for n in range(1, order + 1):
-                here = np.flatnonzero(room >= n)
-                top = (room[here] == n) | (n == order)
-                gram, at, index = np.unique(value[n][here], return_index=True, return_inverse=True)
-                at = here[at]
-                none = np.full(len(at), n == 1)
-
-                def bucket(x, length, kind):
-                    return pa.array((_key(x, length, kind) >> shift).astype(np.int32), mask=none if length < n else None)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(_key(gram, n, 0).view(np.int64)), bucket(value[n - 1][at], n - 1, 0),
-                    bucket(context[n][at], n, 1), bucket(context[max(n - 1, 1)][at], n - 1, 1),
-                    pa.array(np.bincount(index, np.where(top, toxic[here], 0), len(gram)).astype(np.int64)),
-                    pa.array(np.bincount(index, np.where(top, ordinary[here], 0), len(gram)).astype(np.int64)),
-                ], ["gram", "tail", "context", "tail_context", "toxic", "ordinary"])
-
-    grams = words.mapInArrow(run, "gram long, tail int, context int, tail_context int, toxic long, ordinary long")
-    return grams.groupBy("gram", "tail", "context", "tail_context").agg(
-        F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
-
-
-@dataclass
-class Model:
-    """Counts by bucket: of runs (toxic, ordinary, shared) and of contexts (total and kinds of each)."""
-
-    bits: int
-    order: int
-    gram: np.ndarray
-    total: np.ndarray
-    kinds: np.ndarray
-
-    def ratios(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Log of the toxic over the ordinary probability of each word."""
-        places, room, value, context = _grams(data, offsets, self.order)
-        shared = np.full(len(places), 1 / 257)
-        p = [shared.copy(), shared.copy()]
-        shift = U64(64 - self.bits)
-        for n in range(1, self.order + 1):
-            here = np.flatnonzero(room >= n)
-            g = (_key(value[n][here], n, 0) >> shift).astype(np.int64)
-            c = (_key(context[n][here], n, 1) >> shift).astype(np.int64)
-            top = (room[here] == n) | (n == self.order)
-            for k in range(2):
-                total = self.total[k][c]
-                own = (np.maximum(self.gram[k][g] - DISCOUNT, 0) + DISCOUNT * self.kinds[k][c] * shared[here])
-                own = np.where(total > 0, own / np.maximum(total, 1), shared[here])
-                p[k][here[top]] = own[top]
-            total = self.total[2][c]
-            own = np.maximum(self.gram[2][g] - DISCOUNT, 0) + DISCOUNT * self.kinds[2][c] * shared[here]
-            shared = shared.copy()
-            shared[here] = np.where(total > 0, own / np.maximum(total, 1), shared[here])
-        ratio = np.log(np.maximum(p[0], 1e-12)) - np.log(np.maximum(p[1], 1e-12))
-        word = np.searchsorted(offsets, places, "right") - 1
-        return np.bincount(word, ratio, len(offsets) - 1)
-
-
-def fit(docs: DataFrame, bits: int = 20, order: int = ORDER) -> Model:
-    """The two models from ``docs`` (text, toxic 0/1); all rows count."""
-    grams = store(gram_counts(word_counts(docs), order, bits), "grams")
-    bucket = lambda c: F.shiftrightunsigned(c, 64 - bits)
-    top = grams.select(bucket("gram").alias("g"), F.col("context").alias("c"), "toxic", "ordinary")
-    tails = grams.where("tail is not null").groupBy("tail", "tail_context").agg(F.count("*").alias("n")).toDF("g", "c", "n")
-    tables = [top.groupBy("g").agg(F.sum("toxic"), F.sum("ordinary"), F.lit(0)),
-              tails.groupBy("g").agg(F.lit(0), F.lit(0), F.sum("n")),
-              top.groupBy("c").agg(F.sum("toxic"), F.sum("ordinary"), F.lit(0)),
-              tails.groupBy("c").agg(F.lit(0), F.lit(0), F.sum("n")),
-              top.groupBy("c").agg(F.sum((F.col("toxic") > 0).cast("int")), F.sum((F.col("ordinary") > 0).cast("int")),
-                                   F.lit(0)),
-              tails.groupBy("c").agg(F.lit(0), F.lit(0), F.count("*"))]
-    arrays = [np.zeros((3, 1 << bits), np.float32) for _ in range(3)]
-    for i, table in enumerate(tables):
-        # At most 2**bits rows, whatever the corpus holds.
-        rows = table.toDF("at", "a", "b", "c").where("a + b + c > 0").select(
-            "at", *(F.col(x).cast("float") for x in "abc")).toArrow()
-        at = rows["at"].to_numpy()
-        for k, x in enumerate("abc"):
-            arrays[i // 2][k][at] += rows[x].to_numpy()
-    return Model(bits, order, *arrays)
+            for x in batch["runs"].to_pylist():
+                runs = _restored(x, np.int64)
+                long = _cut(np.unique(_cut(runs[runs >> 56 >= 3], 3)), 2)
+                pair, at = np.unique(np.concatenate((long, _cut(runs[runs >> 56 == 2], 2))), return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(np.bincount(at[:len(long)], minlength=len(pair)))],
+                                                 ["pair", "n"])
+
+    rows = counts.select("runs").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    pair, n = rows["pair"].to_numpy(), rows["n"].to_numpy()
+    one = np.bincount(pair & 255, minlength=256)
+    two = np.zeros(1 << 16, np.int64)
+    two[pair] = n
+    alone = np.full(256, 1 / 257)
+    if one.sum():
+        alone = (np.maximum(one - DISCOUNT, 0) + DISCOUNT * (one > 0).sum() / 257) / one.sum()
+    grid = two.reshape(256, 256)
+    total, kinds = grid.sum(axis=1, keepdims=True), (grid > 0).sum(axis=1, keepdims=True)
+    after = (np.maximum(grid - DISCOUNT, 0) + DISCOUNT * kinds * alone) / np.maximum(total, 1)
+    return alone, np.where(total > 0, after, alone).reshape(-1)
+
+
+def _found(known: np.ndarray, wanted: np.ndarray, *values: np.ndarray) -> list[np.ndarray]:
+    """Values of the wanted among the known ones, which are sorted; 0 for others."""
+    if not len(known):
+        return [np.zeros(len(wanted), np.int64)] * len(values)
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return [np.where(known[at] == wanted, v[at], 0) for v in values]
+
+
+def ratios(wanted: np.ndarray, runs: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, alone: np.ndarray,
+           after: np.ndarray) -> np.ndarray:
+    """Log of the toxic over the ordinary probability of the last byte of each wanted run.
+
+    ``runs`` are distinct and hold all that share their last context of two bytes with a wanted one.
+    """
+    size = wanted >> 56
+    shared = np.where(size == 2, alone[_cut(wanted, 1)], after[_cut(wanted, 2)])
+    for n in range(3, ORDER):
+        longer = np.unique(_cut(runs[runs >> 56 > n], n + 1))
+        gram, ways = np.unique(_cut(longer, n), return_counts=True)
+        context, first = np.unique(gram >> 8, return_index=True)
+        totals = np.add.reduceat(ways, first) if len(first) else ways
+        kinds = np.diff(np.append(first, len(gram)))
+        here = np.flatnonzero(size > n)
+        key = _cut(wanted[here], n)
+        own, = _found(gram, key, ways)
+        total, kind = _found(context, key >> 8, totals, kinds)
+        value = (np.maximum(own - DISCOUNT, 0) + DISCOUNT * kind * shared[here]) / np.maximum(total, 1)
+        shared[here] = np.where(total > 0, value, shared[here])
+    outer = lambda x: (x >> 56 << 56) | (_cut(x, ORDER) >> 8)
+    context, at = np.unique(outer(runs), return_inverse=True)
+    p = []
+    for count in (toxic, ordinary):
+        total, kind = _found(context, outer(wanted), np.bincount(at, count, len(context)),
+                             np.bincount(at, count > 0, len(context)))
+        own, = _found(runs, wanted, count)
+        value = (np.maximum(own - DISCOUNT, 0) + DISCOUNT * kind * shared) / np.maximum(total, 1)
+        p.append(np.where(total > 0, value, shared))
+    return np.log(np.maximum(p[0], 1e-12)) - np.log(np.maximum(p[1], 1e-12))
 
 
 FEATURES = ["words", "mean", *(f"peak_{w}" for w in WINDOWS)]
 
 
-def features(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, words, mean, peak_w...): ratio per word over the text and over its strongest window of w words."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def answers(packed: DataFrame, counts: DataFrame) -> DataFrame:
+    """(owner, shard, ratios): for each pack, the ratios of its distinct runs by shard, in the order of ``_by_shard``."""
+    split = -(-packed.count() // ASKERS)
+    small = packed.sparkSession.sparkContext.broadcast(short_runs(counts))
 
-    def run(batches):
+    def ask(batches):
         for batch in batches:
-            data, offsets = T.buffers(batch["text"])
-            for first, last in T.chunks(offsets, 1 << 20):
-                part, own = data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
-                found = T.words(part, own)
-                spelt, places, index = _distinct(part, found)
-                ratio = shared.value.ratios(spelt, places)[index] if len(index) else np.zeros(0)
-                bounds = np.searchsorted(found.text, np.arange(last - first + 1))
-                count = np.diff(bounds)
-                total = np.concatenate(([0.0], np.cumsum(ratio)))
-                columns = [count, (total[bounds[1:]] - total[bounds[:-1]]) / np.maximum(count, 1)]
-                for w in WINDOWS:
-                    stop = np.minimum(np.arange(len(ratio)) + w, bounds[1:][found.text] if len(ratio) else 0)
-                    sums = np.concatenate((total[stop] - total[:-1], [-np.inf])) / w
-                    peak = np.full(last - first, 0.0)
-                    full = np.flatnonzero(count > 0)
-                    if len(full):
-                        peak[full] = np.maximum.reduceat(sums, bounds[:-1][full])
-                    columns.append(peak)
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc_id"][first:last], *(pa.array(c.astype(np.float64)) for c in columns)], names)
-
+            for owner, _, _, spelt, offsets, _ in _unpacked(batch):
+                value, _, bounds = _by_shard(_runs(spelt, offsets)[0])
+                full = np.flatnonzero(np.diff(bounds))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(full), owner)), pa.array(full, pa.int32()),
+                    pa.array([_pressed(value[bounds[k]:bounds[k + 1]]) for k in full.tolist()], pa.binary())],
+                    ["owner", "shard", "asked"])
+
+    def answer(asks: pa.Table, known: pa.Table) -> pa.Table:
+        asked = [_restored(x, np.int64) for x in asks["asked"].to_pylist()]
+        if not asked:
+            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int32(), pa.binary())], ["owner", "shard", "ratios"])
+        wanted, at = np.unique(np.concatenate(asked), return_inverse=True)
+        found = ratios(wanted, *_counts(known), *small.value).astype(np.float32)
+        bounds = np.cumsum([0, *map(len, asked)])
+        return pa.table([asks["owner"], asks["shard"], pa.array(
+            [_pressed(found[at[a:b]]) for a, b in zip(bounds, bounds[1:])], pa.binary())], ["owner", "shard", "ratios"])
+
+    asks = packed.select("owner", "spelt", "places", "sizes", "labels", "index").mapInArrow(
+        ask, "owner long, shard int, asked binary").withColumn("part", F.pmod(F.xxhash64("owner"), F.lit(max(split, 1))))
+    known = counts.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(split, 1) - 1).cast("long"))))
+    return asks.groupBy("shard", "part").cogroup(known.groupBy("shard", "part")).applyInArrow(
+        answer, "owner long, shard int, ratios binary")
+
+
+def features(packed: DataFrame) -> DataFrame:
+    """(doc_id, words, mean, peak_w...): ratio per word over the text and over its strongest window of w words."""
+    counts = store(run_counts(packed), "run_counts")
     names = ["doc_id", *FEATURES]
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+
+    def run(own: pa.Table, found: pa.Table) -> pa.Table:
+        (_, count, _, spelt, offsets, index), = _unpacked(own)
+        runs, word = _runs(spelt, offsets)
+        _, at, _ = _by_shard(runs)
+        by_run = np.concatenate([np.zeros(0, np.float32), *(
+            _restored(x, np.float32) for x in found.sort_by("shard")["ratios"].to_pylist())])
+        ratio = np.bincount(word, by_run[at], len(offsets) - 1)[index]
+        stop_of = np.cumsum(count)
+        text = np.repeat(np.arange(len(count)), count)
+        total = np.concatenate(([0.0], np.cumsum(ratio)))
+        columns = [count, (total[stop_of] - total[stop_of - count]) / np.maximum(count, 1)]
+        full = np.flatnonzero(count > 0)
+        for w in WINDOWS:
+            stop = np.minimum(np.arange(len(ratio)) + w, stop_of[text])
+            sums = (total[stop] - total[:-1]) / w
+            peak = np.zeros(len(count))
+            if len(full):
+                peak[full] = np.maximum.reduceat(sums, (stop_of - count)[full])
+            columns.append(peak)
+        ids = own["doc_ids"].combine_chunks()
+        return pa.table([ids.flatten() if isinstance(ids, pa.Array) else ids.chunk(0).flatten(),
+                         *(pa.array(c.astype(np.float64)) for c in columns)], names)
+
+    return packed.groupBy("owner").cogroup(answers(packed, counts).groupBy("owner")).applyInArrow(
         run, "doc_id long, " + ", ".join(f"{c} double" for c in FEATURES))
 
 
@@ -247,7 +337,7 @@ def calibrate(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndar
     return w, centre, scale
 
 
-def scores(docs: DataFrame, labels: DataFrame, sample: int = 50_000, bits: int = 20) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, sample: int = 50_000) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
 
     ``labels`` (doc_id, toxic) counts only where crc32(doc_id) mod 5 is not 0; a label that repeats counts once,
@@ -261,8 +351,8 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = 50_000, bits: int =
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     labels = labels.where(remainder(F.col("doc_id"), 5) != 0)
     counted = (remainder(F.col("doc_id"), 5) != 0) & (remainder(F.col("doc_id"), 20) >= 5)
-    model = fit(docs.where(counted).join(labels.where(counted), "doc_id"), bits)
-    found = store(features(docs, model), "features")
+    packed = store(packs(docs.join(labels.where(counted), "doc_id", "left")), "packs")
+    found = store(features(packed), "features")
     chosen = found.join(labels.where(~counted), "doc_id").select("doc_id", *FEATURES, "toxic")
     rows = chosen.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(sample).toArrow()
     x = np.column_stack([rows[c].to_numpy() for c in FEATURES])

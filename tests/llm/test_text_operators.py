@@ -296,6 +296,60 @@ def test_toxicity_without_labels(spark):
     assert toxicity.scores(empty(spark), none).count() == 0
 
 
+def plain_ratios(rows):
+    """Word -> log ratio, from dictionaries of all runs of the labelled words; ``rows`` are (words, label or None)."""
+    order, cut = toxicity.ORDER, toxicity.DISCOUNT
+    def spelt(w):
+        return b" " + lower(w).encode() + b" "
+    def places(b):
+        return [b[max(0, i + 1 - order):i + 1] for i in range(1, len(b))]
+    top = [collections.Counter(), collections.Counter()]
+    for own, label in rows:
+        for w in own if label is not None else ():
+            top[1 - label].update(places(spelt(w)))
+    runs = {r[-n:] for c in top for r in c for n in range(1, len(r) + 1)}
+    shared = collections.Counter(r[1:] for r in runs if len(r) > 1)
+    def by_context(counts):
+        total, kinds = collections.Counter(), collections.Counter()
+        for r, n in counts.items():
+            total[len(r), r[:-1]] += n
+            kinds[len(r), r[:-1]] += 1
+        return counts, total, kinds
+    top, shared = list(map(by_context, top)), by_context(shared)
+    def step(table, run, back):
+        counts, total, kinds = table
+        at = len(run), run[:-1]
+        return (max(counts[run] - cut, 0) + cut * kinds[at] * back) / total[at] if total[at] else back
+    def ratio(w):
+        out = 0.0
+        for run in places(spelt(w)):
+            back = 1 / 257
+            for n in range(1, len(run)):
+                back = step(shared, run[-n:], back)
+            out += math.log(step(top[0], run, back)) - math.log(step(top[1], run, back))
+        return out
+    return {w: ratio(w) for own, _ in rows for w in own}
+
+
+def test_toxicity_counts_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "ASKERS", 1)
+    rng = random.Random(6)
+    rows = [([("".join(rng.choice("abcdeé\0zñ日") for _ in range(rng.randint(1, 11)))) for _ in range(rng.randint(0, 60))],
+             rng.choice([0, 1, None])) for _ in range(400)]
+    want = plain_ratios(rows)
+    df = spark.createDataFrame([(i, " ".join(own), label) for i, (own, label) in enumerate(rows)],
+                               "doc_id long, text string, toxic int").repartition(3)
+    packed = spark.createDataFrame(toxicity.packs(df).collect(), toxicity.PACKS + ", owner long")
+    got = {r.doc_id: r for r in toxicity.features(packed).collect()}
+    assert len(got) == len(rows)
+    for i, (own, _) in enumerate(rows):
+        ratio = [want[w] for w in own]
+        assert got[i].words == len(own)
+        assert got[i].mean == pytest.approx(sum(ratio) / len(ratio) if own else 0, abs=1e-4)
+        assert got[i].peak_1 == pytest.approx(max(ratio, default=0), abs=1e-4)
+        assert got[i].peak_4 == pytest.approx(max((sum(ratio[k:k + 4]) / 4 for k in range(len(ratio))), default=0), abs=1e-4)
+
+
 # --- tokens and packing --------------------------------------------------------------------------
 
 def test_ids_are_those_of_the_library():
