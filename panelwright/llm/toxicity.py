@@ -91,18 +91,17 @@ def _by_shard(run: np.ndarray):
     return value[order], place[index], np.searchsorted(shard[order], np.arange(SHARDS + 1))
 
 
-PACKS = "doc_ids array<long>, sizes binary, labels binary, spelt binary, places binary, index binary"
+PACKS = "doc_ids array<long>, sizes binary, spelt binary, places binary, index binary"
 
 
 def packs(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` (doc_id, text, toxic), about ``PACK`` bytes of text in each pack.
+    """Rows of ``docs`` (doc_id, text), about ``PACK`` bytes of text in each pack.
 
-    A pack has the number of words and the label (-1 without one) of each row, its distinct words, and the number
-    of each word among them.
+    A pack has the number of words of each row, its distinct words, and the number of each word among them.
     """
 
     def pack(parts):
-        ids, sizes, labels, values, spelt, lengths, index = zip(*parts)
+        ids, sizes, values, spelt, lengths, index = zip(*parts)
         base = np.cumsum([0, *map(len, values)])
         _, first, among = np.unique(np.concatenate(values), return_index=True, return_inverse=True)
         length, data = np.concatenate(lengths), np.concatenate(spelt)
@@ -114,21 +113,19 @@ def packs(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
             *(pa.array([_pressed(x)], pa.binary()) for x in (
-                np.concatenate(sizes), np.concatenate(labels), data, length[first], index.astype(np.uint32)))],
-            ["doc_ids", "sizes", "labels", "spelt", "places", "index"])
+                np.concatenate(sizes), data, length[first], index.astype(np.uint32)))],
+            ["doc_ids", "sizes", "spelt", "places", "index"])
 
     def run(batches):
         parts, size = [], 0
         for batch in batches:
             data, offsets = T.buffers(batch["text"])
-            label = batch["toxic"].fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
             for first, last in T.chunks(offsets, 1 << 20):
                 part, own = data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
                 found = T.words(part, own)
                 value, spelt, places, index = _distinct(part, found)
                 bounds = np.searchsorted(found.text, np.arange(last - first + 1))
-                parts.append((batch["doc_id"][first:last], np.diff(bounds), label[first:last], value, spelt,
-                              np.diff(places), index))
+                parts.append((batch["doc_id"][first:last], np.diff(bounds), value, spelt, np.diff(places), index))
                 size += len(part)
                 if size >= PACK or sum(len(p[0]) for p in parts) >= 1 << 20:
                     yield pack(parts)
@@ -136,24 +133,26 @@ def packs(docs: DataFrame) -> DataFrame:
         if parts:
             yield pack(parts)
 
-    return docs.select("doc_id", "text", "toxic").mapInArrow(run, PACKS).withColumn("owner", F.monotonically_increasing_id())
+    return docs.select("doc_id", "text").mapInArrow(run, PACKS).withColumn("owner", F.monotonically_increasing_id())
 
 
 def _unpacked(batch: pa.RecordBatch):
-    """Of each pack: (owner, words of each row, labels, bytes of the distinct words, their offsets, index)."""
-    for row in batch.to_pylist():
+    """Of each pack: (owner, words of each row, bytes of the distinct words, their offsets, index)."""
+    for row in batch.select(["owner", "sizes", "spelt", "places", "index"]).to_pylist():
         offsets = np.concatenate(([0], np.cumsum(_restored(row["places"], np.int64))))
-        yield (row["owner"], _restored(row["sizes"], np.int64), _restored(row["labels"], np.int64),
+        yield (row["owner"], _restored(row["sizes"], np.int64),
                _restored(row["spelt"], np.uint8), offsets, _restored(row["index"], np.uint32).astype(np.int64))
 
 
-def run_counts(packed: DataFrame) -> DataFrame:
-    """(shard, runs, toxic, ordinary): counts of the runs that occur in labelled rows, one row per shard."""
+def run_counts(packed: DataFrame, labels: DataFrame) -> DataFrame:
+    """(shard, runs, toxic, ordinary): counts of the runs in rows that ``labels`` (doc_id, toxic) has; a row per shard."""
 
     def parts(batches):
         for batch in batches:
-            for _, sizes, labels, spelt, offsets, index in _unpacked(batch):
-                label = np.repeat(labels, sizes)
+            for k, (_, sizes, spelt, offsets, index) in enumerate(_unpacked(batch)):
+                label = np.full(len(sizes), -1)
+                label[np.asarray(batch["rows"][k].values)] = np.asarray(batch["toxic"][k].values)
+                label = np.repeat(label, sizes)
                 own, word = _runs(spelt, offsets)
                 by_word = [np.bincount(index[label == k], minlength=len(offsets) - 1)[word] for k in (1, 0)]
                 seen = by_word[0] + by_word[1] > 0
@@ -169,7 +168,10 @@ def run_counts(packed: DataFrame) -> DataFrame:
                         names)
 
     names, schema = ["shard", "runs", "toxic", "ordinary"], "shard int, runs binary, toxic binary, ordinary binary"
-    return packed.mapInArrow(parts, schema).groupBy("shard").applyInArrow(total, schema)
+    # Only ids meet the labels, not texts.
+    marks = packed.select("owner", F.posexplode("doc_ids").alias("row", "doc_id")).join(labels, "doc_id").groupBy("owner").agg(
+        F.collect_list(F.struct("row", "toxic")).alias("m")).select("owner", F.col("m.row").alias("rows"), "m.toxic")
+    return packed.drop("doc_ids").join(marks, "owner").mapInArrow(parts, schema).groupBy("shard").applyInArrow(total, schema)
 
 
 def _counts(table: pa.Table):
@@ -257,7 +259,7 @@ def answers(packed: DataFrame, counts: DataFrame) -> DataFrame:
 
     def ask(batches):
         for batch in batches:
-            for owner, _, _, spelt, offsets, _ in _unpacked(batch):
+            for owner, _, spelt, offsets, _ in _unpacked(batch):
                 value, _, bounds = _by_shard(_runs(spelt, offsets)[0])
                 full = np.flatnonzero(np.diff(bounds))
                 yield pa.RecordBatch.from_arrays([
@@ -275,20 +277,20 @@ def answers(packed: DataFrame, counts: DataFrame) -> DataFrame:
         return pa.table([asks["owner"], asks["shard"], pa.array(
             [_pressed(found[at[a:b]]) for a, b in zip(bounds, bounds[1:])], pa.binary())], ["owner", "shard", "ratios"])
 
-    asks = packed.select("owner", "spelt", "places", "sizes", "labels", "index").mapInArrow(
+    asks = packed.drop("doc_ids").mapInArrow(
         ask, "owner long, shard int, asked binary").withColumn("part", F.pmod(F.xxhash64("owner"), F.lit(max(split, 1))))
     known = counts.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(split, 1) - 1).cast("long"))))
     return asks.groupBy("shard", "part").cogroup(known.groupBy("shard", "part")).applyInArrow(
         answer, "owner long, shard int, ratios binary")
 
 
-def features(packed: DataFrame) -> DataFrame:
+def features(packed: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, words, mean, peak_w...): ratio per word over the text and over its strongest window of w words."""
-    counts = store(run_counts(packed), "run_counts")
+    counts = store(run_counts(packed, labels), "run_counts")
     names = ["doc_id", *FEATURES]
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
-        (_, count, _, spelt, offsets, index), = _unpacked(own)
+        (_, count, spelt, offsets, index), = _unpacked(own)
         runs, word = _runs(spelt, offsets)
         _, at, _ = _by_shard(runs)
         by_run = np.concatenate([np.zeros(0, np.float32), *(
@@ -341,8 +343,8 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = 50_000) -> DataFram
     """One row per row of ``docs`` (doc_id, text): doc_id, held_out, score, predicted.
 
     ``labels`` (doc_id, toxic) counts only where crc32(doc_id) mod 5 is not 0; a label that repeats counts once,
-    as the largest, a null one not at all. Three quarters of the training rows give the counts; at most ``sample``
-    rows of the rest, chosen by hash, the calibration. Without labels of both kinds there, every score is the share
+    as the largest, a null one not at all. Of a quarter of the training rows, at most ``sample``, chosen by hash, give
+    the calibration; all others give the counts. Without labels of both kinds there, every score is the share
     of toxic ones (one of either added). A null or empty text scores as one without words; rows with null doc_id
     are scored and not held out; repeated rows are scored alike; an empty table gives no rows.
     """
@@ -350,11 +352,16 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = 50_000) -> DataFram
     labels = labels.where("doc_id is not null and toxic is not null").groupBy(
         F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     labels = labels.where(remainder(F.col("doc_id"), 5) != 0)
-    counted = (remainder(F.col("doc_id"), 5) != 0) & (remainder(F.col("doc_id"), 20) >= 5)
-    packed = store(packs(docs.join(labels.where(counted), "doc_id", "left")), "packs")
-    found = store(features(packed), "features")
-    chosen = found.join(labels.where(~counted), "doc_id").select("doc_id", *FEATURES, "toxic")
-    rows = chosen.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id").limit(sample).toArrow()
+    order = F.struct(F.xxhash64("doc_id", F.lit(7)).alias("hash"), "doc_id")
+    apart = remainder(F.col("doc_id"), 20) < 5
+    first = docs.where(apart).select("doc_id").join(labels.where(apart), "doc_id").select(order.alias("order"))
+    # The rows before the one after the sample: whole documents, and no more rows than the sample has.
+    n, last = first.orderBy("order").limit(sample + 1).agg(F.count("*"), F.max("order")).first()
+    if n > sample:
+        apart = apart & (order < F.struct(F.lit(last["hash"]).cast("long").alias("hash"), F.lit(last["doc_id"]).cast("long").alias("doc_id")))
+    packed = store(packs(docs), "packs")
+    found = store(features(packed, labels.where(~apart)), "features")
+    rows = found.join(labels.where(apart), "doc_id").select("doc_id", *FEATURES, "toxic").toArrow()
     x = np.column_stack([rows[c].to_numpy() for c in FEATURES])
     y = rows["toxic"].to_numpy()
     if 0 < y.sum() < len(y):

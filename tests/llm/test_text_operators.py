@@ -340,7 +340,7 @@ def test_toxicity_counts_are_exact(spark, monkeypatch):
     df = spark.createDataFrame([(i, " ".join(own), label) for i, (own, label) in enumerate(rows)],
                                "doc_id long, text string, toxic int").repartition(3)
     packed = spark.createDataFrame(toxicity.packs(df).collect(), toxicity.PACKS + ", owner long")
-    got = {r.doc_id: r for r in toxicity.features(packed).collect()}
+    got = {r.doc_id: r for r in toxicity.features(packed, df.where("toxic is not null").select("doc_id", "toxic")).collect()}
     assert len(got) == len(rows)
     for i, (own, _) in enumerate(rows):
         ratio = [want[w] for w in own]
@@ -350,6 +350,20 @@ def test_toxicity_counts_are_exact(spark, monkeypatch):
         assert got[i].peak_4 == pytest.approx(max((sum(ratio[k:k + 4]) / 4 for k in range(len(ratio))), default=0), abs=1e-4)
 
 
+def test_toxicity_counts_all_but_the_calibration_rows(spark):
+    rng = random.Random(9)
+    apart = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 20 in (1, 2, 3, 4)]
+    rows = [(i, sentence(rng, 20) + (" vile" if i % 3 == 0 else "")) for i in range(3000)]
+    labels = [(i, int(i % 3 == 0)) for i in range(3000)]
+    # A word that only rows of the calibration's quarter hold.
+    rows = [(i, t.replace("vile", "zorgblat") if i in set(apart) else t) for i, t in rows]
+    probes = [i for i in range(5000, 5100) if held_out(i)]
+    rows += [(i, sentence(rng, 20) + (" zorgblat" if i % 2 else "")) for i in probes]
+    df, known = (spark.createDataFrame(x, s) for x, s in ((rows, "doc_id long, text string"), (labels, "doc_id long, toxic int")))
+    score = {r.doc_id: r.score for r in toxicity.scores(df, known, sample=100).collect()}
+    assert min(score[i] for i in probes if i % 2) > 0.9 > 0.1 > max(score[i] for i in probes if not i % 2)
+
+
 # --- tokens and packing --------------------------------------------------------------------------
 
 def test_ids_are_those_of_the_library():
