@@ -572,6 +572,40 @@ def test_personal_data(spark):
     assert hit / total > 0.9
 
 
+def added(model, text):
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    return pii.tagged(model, [(points, pii.triggers(text, points))], -0.3)[0]
+
+
+def test_each_altered_address_is_added():
+    rng = random.Random(12)
+
+    def name(n):
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, n)))
+    texts = [" ".join(["".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(1, 8))) for _ in range(9)]
+                      + [f"{name(9)}.{name(9)}@{name(9)}.{rng.choice(['com', 'org', 'net'])}", "at home to the dot and rest"])
+             for _ in range(250)]
+    model = tagger.Tagger(len(pii.KINDS))
+    model.train(*(x[:900] for x in pii.examples(texts)))
+    for address in ("jane.doe@example.com", "maria.hernandez@northwind.org", "benedict.applewood@granthamsmith.net"):
+        for turn, sign in enumerate((" at ", "(at)", "@")):
+            text = f"please write some lines to {pii.altered(address, 0, turn)} and then wait for the rest of them"
+            at = text.index(sign, text.index("to") + 3)
+            assert any(k == 0 and a < at < b for a, b, k in added(model, text)), text
+
+
+def test_spans_longer_than_a_window_are_added():
+    class Model:
+        def decode(self, rows):
+            inside = (rows == ord("x")) | (rows == ord("7"))
+            tags = np.where(inside, 2, 0)
+            tags[:, 1:][inside[:, 1:] & ~inside[:, :-1]] = 1
+            return tags, np.zeros(rows.shape)
+    for n in (10, 25, 50, 200):
+        text = "a " * 60 + "x" * n + "7" + "x" * n + " a" * 60
+        assert added(Model(), text) == [(120, 121 + 2 * n, 0)]
+
+
 def test_personal_data_of_an_empty_table(spark):
     assert pii.personal_data(empty(spark)).count() == 0
 
