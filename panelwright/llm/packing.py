@@ -1,11 +1,10 @@
 """Hierarchical multi-length packing of tokenised documents.
 
 A document is its token ids and an end id. Its full windows of ``length`` ids are sequences of their own; the
-rest, shorter than a window, is routed to a tier: the context size, a power of two, that it needs. Windows are
-opened for the longest tier first. Gaps are filled, best fit first, from the same tier and then from
-shorter ones, so short documents pad long windows. What a shard leaves open at the end is one window. A
-sequence counts as its tier's window where it holds exactly a power of two of ids, else it is padded to
-``length``.
+rest, shorter than a window, is routed to a tier: the context size, a power of two, that it needs. Windows of a
+tier's own size are opened for the longest tier first. Gaps are filled, best fit first, from the same tier and then
+from shorter ones, so short documents pad long windows. A short window is closed only where it is exactly full;
+what is in the others is merged into windows of ``length``, the only ones with padding.
 
 Sequences of one shard and tier are dealt to step groups of ``group`` sequences by falling token count, to and
 fro, so the steps of a tier carry nearly the same number of ids.
@@ -71,7 +70,7 @@ def pieces(docs: DataFrame, tokenizer: str, length: int, end: int = END) -> Data
 
 
 def pack(sizes: np.ndarray, length: int, tiers: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """(sequence, offset) of each rest; sequences are numbered from 0.
+    """(sequence, offset) of each rest in windows of ``length``; sequences are numbered from 0.
 
     Works by falling size: windows are opened for the longest rest that is left, and each is filled with the
     largest rest that still fits until none does.
@@ -106,6 +105,42 @@ def pack(sizes: np.ndarray, length: int, tiers: tuple[int, ...]) -> tuple[np.nda
     return sequence, offset
 
 
+def tiered(sizes: np.ndarray, length: int, tiers: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sequence, offset) of each rest and the window size of each sequence."""
+    order = np.argsort(-sizes, kind="stable")
+    stacks: dict[int, list[int]] = {}
+    for i in order[::-1].tolist():
+        stacks.setdefault(int(sizes[i]), []).append(i)
+    there = sorted(stacks)
+    sequence, offset, window, loose = np.full(len(sizes), -1), np.zeros(len(sizes), np.int64), [], []
+
+    def take(at: int) -> int:
+        size = there[at]
+        item = stacks[size].pop()
+        if not stacks[size]:
+            del there[at]
+        return item
+
+    own = sorted({t for t in tiers if t < length}, reverse=True)
+    for tier, floor in zip([length, *own], [*own, 0]):
+        while there and there[-1] > floor:
+            items, used = [], 0
+            while used < tier and (at := bisect_left(there, tier - used + 1) - 1) >= 0:
+                items.append(take(at))
+                used += int(sizes[items[-1]])
+            if used < tier:
+                loose += items
+                continue
+            sequence[items] = len(window)
+            offset[items] = np.cumsum([0, *sizes[items[:-1]]])
+            window.append(tier)
+    if loose:
+        more, offset[loose] = pack(sizes[loose], length, tiers)
+        sequence[loose] = len(window) + more
+        window += [length] * (int(more.max()) + 1)
+    return sequence, offset, np.array(window, np.int64)
+
+
 def packed(docs: DataFrame, tokenizer: str, length: int = 2048, tiers: tuple[int, ...] = (256, 512, 1024, 2048),
            group: int = 64, per_shard: int = 50_000, end: int = END) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group.
@@ -122,16 +157,12 @@ def packed(docs: DataFrame, tokenizer: str, length: int = 2048, tiers: tuple[int
         size = table["length"].to_numpy()
         full = size == length
         sequence, offset = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
-        sequence[~full], offset[~full] = pack(size[~full], length, tiers)
-        count = int(sequence[~full].max()) + 1 if (~full).any() else 0
-        sequence[full] = count + np.arange(full.sum())
+        sequence[~full], offset[~full], tier = tiered(size[~full], length, tiers)
+        sequence[full] = len(tier) + np.arange(full.sum())
+        tier = np.concatenate((tier, np.full(full.sum(), length)))
         used = np.bincount(sequence, size).astype(np.int64)
-        longest = np.zeros(len(used), np.int64)
-        np.maximum.at(longest, sequence, size)
-        sizes = np.array(sorted(tiers))
-        tier = sizes[np.minimum(np.searchsorted(sizes, longest), len(sizes) - 1)]
         step = np.zeros(len(used), np.int64)
-        for t in sizes:
+        for t in np.unique(tier):
             own = np.flatnonzero(tier == t)
             steps = max(1, len(own) // group)
             turn = np.arange(len(own))

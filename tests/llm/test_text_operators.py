@@ -415,6 +415,23 @@ def test_packing_leaves_little_padding():
     assert used.max() <= 2048 and used.sum() / (2048 * len(used)) > 0.99
 
 
+@pytest.mark.parametrize("most", [120, 2047])
+def test_tiers_have_windows_of_their_own(most):
+    rng = np.random.default_rng(2)
+    sizes = np.minimum(rng.lognormal(4.5, 1.2, 5000).astype(int) + 1, most)
+    sequence, offset, window = packing.tiered(sizes, 2048, (256, 512, 1024, 2048))
+    used = np.bincount(sequence, sizes)
+    assert len(used) == len(window) and (used <= window).all()
+    assert (used[window < 2048] == window[window < 2048]).all() and (window < 2048).any()
+    assert sum((window - used)[window == 2048]) < 0.02 * used.sum()
+    for k in range(len(window)):
+        own = np.flatnonzero(sequence == k)
+        own = own[np.argsort(offset[own])]
+        assert offset[own].tolist() == np.cumsum([0, *sizes[own]])[:-1].tolist()
+    one = packing.tiered(sizes, 2048, (2048,))
+    assert set(one[2]) == {2048} and one[0].tolist() != sequence.tolist()
+
+
 # --- exact top-k ---------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("per_shard", [100_000, 150])
