@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import decontaminate, licences, lines, packing, pii, repeats, topk, toxicity, warc
+from panelwright.llm import collocations, decontaminate, licences, lines, packing, pii, repeats, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -86,3 +86,8 @@ def op4_repeated_strings(spark, sf_dir):
 @query(lines.SQL)
 def op1_line_dedup(spark, sf_dir):
     return lines.report(read(spark, sf_dir, "documents"))
+
+
+@query(collocations.SQL)
+def op11_collocations(spark, sf_dir):
+    return collocations.collocations(read(spark, sf_dir, "documents"))
