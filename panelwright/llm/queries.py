@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import collocations, decontaminate, licences, lines, packing, pii, repeats, topk, toxicity, warc
+from panelwright.llm import collocations, decontaminate, licences, lines, packing, periodic, pii, repeats, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,3 +91,9 @@ def op1_line_dedup(spark, sf_dir):
 @query(collocations.SQL)
 def op11_collocations(spark, sf_dir):
     return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    docs = periodic.with_repetitions(read(spark, sf_dir, "documents"))
+    return periodic.digest(periodic.periodic_runs(docs))
