@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import near_copies as copies
-from panelwright.llm import collocations, decontaminate, licences, lines, packing, periodic, pii, repeats, topk, toxicity, warc
+from panelwright.llm import collocations, decontaminate, licences, lines, mixing, packing, periodic, pii, repeats, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,8 @@ def op11_collocations(spark, sf_dir):
 def op12_periodic_runs(spark, sf_dir):
     docs = periodic.with_repetitions(read(spark, sf_dir, "documents"))
     return periodic.digest(periodic.periodic_runs(docs))
+
+
+@query(mixing.SQL)
+def op13_source_mix(spark, sf_dir):
+    return mixing.by_source(read(spark, sf_dir, "documents"))
