@@ -30,8 +30,8 @@ from panelwright.session import store
 U64 = np.uint64
 CUTS = b".,;:!?\n\x0b\x0c\r"
 LONGEST = 4
-CHUNK = 1 << 23
-PER_BUCKET = 600_000
+CHUNK = 1 << 22
+PER_BUCKET = 400_000
 _CUT = S.table(CUTS)
 _BREAK = S.table([*CUTS, *S.BLANKS])
 
