@@ -8,8 +8,9 @@ edge. So each word gives one edge, and a shorter phrase's count is the sum of th
   travel as one run of words; a path is cut where its edges belong to different buckets.
 * An edge's bucket depends on its first two words only: on the one that comes first in the order of hashes. So all
   edges of a pair meet in one bucket and the flow is summed there. Words with more than a fixed share of all
-  occurrences choose no bucket: if both are such words, the third one decides too, and the pair's partial sums are
-  added up afterwards. At most ``most_common`` words can have that share; they are what is broadcast.
+  occurrences choose no bucket: if both are such words, the pair does. What the rarer one's count says may be too much for a
+  bucket is dealt to several by the third word, and the pair's partial sums are added up afterwards. At most
+  ``most_common`` words can have that share; they and their counts are what is broadcast.
 * Buckets give phrases that are frequent enough and nothing else. Scores and containment are joins of these phrases.
 
 Words are told apart by 64-bit hashes within a bucket.
@@ -123,21 +124,24 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
 
-def paths(texts: DataFrame, common: list[tuple[str, str]], buckets: int) -> DataFrame:
+def paths(texts: DataFrame, common: list[tuple[str, str, int]], buckets: int, per_bucket: int) -> DataFrame:
     """(bucket, langs, words, marks): unary paths of every chunk, packed per bucket.
 
     ``words`` are the paths, one a line; ``marks`` has four numbers for each: edges, weight, place of its lang in
-    ``langs``, and whether all of it starts with two common words.
+    ``langs``, and whether its pairs are dealt to several buckets. ``common`` are words with their lang and count.
     """
-    apart = {}
-    for lang, word in common:
-        apart.setdefault(lang, []).append(word.encode())
-    # Travels by value: hashes of the common words per lang.
+    apart: dict[str, list[tuple[bytes, int]]] = {}
+    for lang, word, f in common:
+        apart.setdefault(lang, []).append((word.encode(), f))
+    # Hashes and counts of the common words per lang.
     heavy = {}
-    for lang, words in apart.items():
-        data = np.frombuffer(b" ".join(words), np.uint8)
-        ends = np.cumsum([len(w) + 1 for w in words]) - 1
-        heavy[lang] = np.sort(S.hashes(data, ends - np.array([len(w) for w in words]), ends))
+    for lang, found in apart.items():
+        data = np.frombuffer(b" ".join(w for w, _ in found), np.uint8)
+        size = np.array([len(w) for w, _ in found])
+        ends = np.cumsum(size + 1) - 1
+        own = S.hashes(data, ends - size, ends)
+        order = np.argsort(own)
+        heavy[lang] = own[order], np.array([f for _, f in found])[order]
     shared = texts.sparkSession.sparkContext.broadcast(heavy)
 
     def run(batches):
@@ -149,34 +153,36 @@ def paths(texts: DataFrame, common: list[tuple[str, str]], buckets: int) -> Data
                 code = S.codes(*(e.ahead(e.word, step) for step in range(LONGEST)))
                 _, first, group = np.unique(code, return_index=True, return_inverse=True)
                 weight = np.bincount(group)[group]
+                # A word alone is counted already.
                 chosen = np.zeros(len(code), dtype=bool)
-                chosen[first] = True
-                common_word = np.zeros(len(code), dtype=bool)
+                chosen[first] = e.size[first] > 1
+                often = np.zeros(len(code), np.int64)
                 for i, name in enumerate(names):
                     if name in shared.value:
-                        common_word |= (e.lang == i) & np.isin(e.hash, shared.value[name])
+                        known, f = shared.value[name]
+                        at = np.minimum(np.searchsorted(known, e.hash), len(known) - 1)
+                        often[(e.lang == i) & (known[at] == e.hash)] = f[at][(e.lang == i) & (known[at] == e.hash)]
+                rarer = np.minimum(often, np.append(often[1:], 0))
+                parts = -(-rarer // max(per_bucket // 2, 1))
                 nothing = U64((1 << 64) - 1)
                 with np.errstate(over="ignore"):
                     seed = np.array([T.hashes(np.frombuffer(x.encode() or b" ", np.uint8), np.array([0]),
                                               np.array([max(len(x.encode()), 1)]))[0] for x in names], U64)[e.lang]
                     own = T.mix(e.hash ^ seed)
-                    key = np.where(common_word, nothing, own)
-                    second = np.append(key[1:], nothing)
-                    second[e.size < 2] = nothing
-                    low = np.minimum(key, second)
-                    # Both common: the pair and what follows it.
-                    whole = own.copy()
-                    for step in (1, 2):
-                        more = np.zeros(len(own), U64)
-                        more[:len(own) - step] = own[step:] if step < len(own) else own[:0]
-                        more[e.size <= step] = U64(step)
-                        whole = T.mix(whole * U64(3) + more)
-                both = low == nothing
-                bucket = (np.where(both, whole, low) % U64(buckets)).astype(np.int64)
+                    key = np.where(often > 0, nothing, own)
+                    low = np.minimum(key, np.append(key[1:], nothing))
+                    after = np.append(own[1:], U64(0))
+                    third = np.append(own[2:], np.zeros(min(2, len(own)), U64))
+                    third[e.size < 3] = 0
+                    pair = T.mix(T.mix(own * U64(3) + after) + third % np.maximum(parts, 1).astype(U64))
+                both = parts > 1
+                bucket = (np.where(rarer > 0, pair, low) % U64(buckets)).astype(np.int64)
                 keep = np.zeros(len(code), dtype=bool)
                 keep[1:] = (chosen[1:] & chosen[:-1] & e.follows[1:-1] & (weight[1:] == weight[:-1])
                             & (bucket[1:] == bucket[:-1]) & (both[1:] == both[:-1]))
                 head = np.flatnonzero(chosen & ~keep)
+                if not len(head):
+                    continue
                 until = np.append(keep[1:], False)
                 tail = np.flatnonzero(chosen & ~until)
                 order = np.argsort(bucket[head], kind="stable")
@@ -282,8 +288,8 @@ def phrase_counts(docs: DataFrame, least: int = 30, most_common: int = 1 << 20,
     buckets = max(1, -(-total // per_bucket))
     # A word with this share or more of all occurrences; there can't be more than ``most_common`` of them.
     share = max(-(-total // most_common), per_bucket // 8, 1)
-    common = [tuple(r) for r in words.where(F.col("f") >= share).select("lang", "phrase").collect()]
-    found = store(flows(paths(texts, common, buckets), least), "phrases")
+    common = [tuple(r) for r in words.where(F.col("f") >= share).select("lang", "phrase", "f").collect()]
+    found = store(flows(paths(texts, common, buckets, per_bucket), least), "phrases")
     pairs = found.where("partial").groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f"))
     longer = found.where("not partial").drop("partial").unionByName(pairs.where(F.col("f") >= least))
     return words.unionByName(longer), n
