@@ -24,6 +24,7 @@ from panelwright.plans.driver_panels import (
     stored_panel, table)
 from panelwright.session import work_dir
 from panelwright.sources import files, html, sinks, tables
+from panelwright.sources.price_table import PriceTable
 from panelwright.streaming import ingest as streams
 from panelwright.schema import substitutes
 
@@ -615,9 +616,9 @@ def upsert_counts(spark, sf):
     return change_counts(target, batch, ORDERS)
 
 
-def _table(spark: SparkSession, name: str) -> sinks.PriceTable:
+def _table(spark: SparkSession, name: str) -> PriceTable:
     schema = spark.createDataFrame([], "region string, priority string, day date, price bigint").schema
-    return sinks.PriceTable(spark, scratch(spark, name), schema, ORDERS, period="yyyy")
+    return PriceTable(spark, scratch(spark, name), schema, ORDERS, period="yyyy")
 
 
 @query(UPSERT_SQL + " select merged.*, inserted, updated from merged, counts")
@@ -646,6 +647,67 @@ def stored_upsert_two_sources(spark, sf):
     return prices.read()
 
 
+CORRECTED_SQL = UPSERT_SQL.replace("target as (select * from op", """target as (
+  select region, priority, day, case when day(day) % 7 = 0 then price + 7 else price end as price from op""")
+
+
+@query(CORRECTED_SQL + " select merged.*, inserted, updated, false as first_try from merged, counts")
+def stored_upsert_two_writers(spark, sf):
+    """While one writer works out a batch, another commits corrections to the same periods. The first one's commit is refused,
+    and its upsert starts again from the corrected prices: every row of both is there, and counted."""
+    prices = _table(spark, "two_writers")
+    target, batch = perturbed(stored_panel(spark, sf))
+    prices.upsert(target.withColumn("seq", F.lit(0)), 0, source="A")
+    late = prices.begin(prices.prepare(batch, 1, source="A"))
+    corrections = target.where(F.day("day") % 7 == 0).withColumn("price", F.col("price") + 7)
+    prices.upsert(corrections.withColumn("seq", F.lit(0)), 0, source="B")
+    done = prices.finish(late)
+    prices.upsert(batch, 1, source="A")
+    log = prices.runs().where("source = 'A' and run_id = 1").select(F.struct("inserted", "updated")).scalar()
+    return prices.read().withColumns({
+        "inserted": log["inserted"], "updated": log["updated"], "first_try": F.lit(done)})
+
+
+def _loaded(spark: SparkSession, sf: str, name: str) -> PriceTable:
+    """A stored table after a first load and a batch on top of it, not compacted."""
+    prices = _table(spark, name)
+    target, batch = perturbed(stored_panel(spark, sf))
+    prices.upsert(target.withColumn("seq", F.lit(0)), 0)
+    prices.upsert(batch, 1)
+    return prices
+
+
+@query(UPSERT_SQL + """ select *, 2 as parts_before, 1 as parts_after from merged""")
+def stored_compaction(spark, sf):
+    """The rows of a table after its periods were made one part each and the old parts removed."""
+    prices = _loaded(spark, sf, "compaction")
+    most = lambda: F.lit(max(len(parts) for parts in prices.state().by_period().values()))
+    before = most()
+    prices.compact()
+    prices.vacuum()
+    return prices.read().withColumns({"parts_before": before, "parts_after": most()})
+
+
+@query(UPSERT_SQL + """ select * from merged
+qualify row_number() over (partition by region, priority order by day desc) <= 7""")
+def stored_latest(spark, sf):
+    """The newest rows of every series; only the periods that hold them are opened."""
+    return _loaded(spark, sf, "latest").latest(7)
+
+
+@query(UPSERT_SQL + " select * from merged where region = 'ASIA' and priority = '2-HIGH'")
+def stored_lookup(spark, sf):
+    """One series of the stored table, from the files that hold it."""
+    return _loaded(spark, sf, "lookup").lookup(region="ASIA", priority="2-HIGH")
+
+
+@query(UPSERT_SQL + """ select region, priority, count(*) as n_rows, min(day) as first, max(day) as last
+from merged group by all""")
+def stored_series(spark, sf):
+    """What the zones of the stored table know of its series."""
+    return _loaded(spark, sf, "series").series()
+
+
 @query("select region, priority, day, price + 1 as price from op")
 def stream_arrival_order(spark, sf):
     """Two files of one micro-batch hold the same keys; the one that came later wins, and has no sequence column."""

@@ -1,4 +1,4 @@
-"""Writers: plain tables, the keyed price table, split export, reports, metrics and scalers."""
+"""Writers: plain tables, split export, reports, metrics and scalers."""
 
 from __future__ import annotations
 
@@ -6,14 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelwright.operators.upsert import INSERTED, UPDATED, has_key, keyless, merge_counted, totals
-from panelwright.schema import PRICE_SCHEMA
-from panelwright.session import cut_lineage
 from panelwright.spec import CHILI, PanelSpec
 
-PERIOD, VERSION, BUCKET = "_period", "_version", "_bucket"
-COMMITS = (f"{VERSION} bigint, source string, run_id bigint, periods array<string>, inserted bigint, "
-           "updated bigint, rejected bigint")
+BUCKET = "_bucket"
 
 
 def append(df: DataFrame, path: str) -> None:
@@ -65,75 +60,3 @@ def save_scaler(scaler: DataFrame, path: str) -> None:
 
 def load_scaler(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
-
-
-class PriceTable:
-    """A price panel on shared storage with a unique natural key, in versions of the periods of its date.
-
-    An upsert writes the new content of the periods its batch touches once, as the next version of these
-    periods, and then one commit record: version, source, run, periods and counts. A period's content is
-    that of its newest committed version, so readers see a batch whole or not at all. What a broken-off
-    upsert has left has no commit record and is written over by the next one, whoever that is. A run that
-    is committed never writes again, in whatever order sources and repeats come. One writer at a time.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType = PRICE_SCHEMA,
-                 spec: PanelSpec = CHILI, period: str = "yyyy-MM"):
-        self.spark, self.spec, self.period = spark, spec, period
-        self.data, self.log = f"{path}/data", f"{path}/commits"
-        self.schema = T.StructType([schema[c] for c in spec.columns])
-        counted = [T.StructField(INSERTED, T.IntegerType()), T.StructField(UPDATED, T.LongType())]
-        self.stored = T.StructType([*self.schema, *counted, T.StructField(VERSION, T.LongType()),
-                                    T.StructField(PERIOD, T.StringType())])
-        spark.createDataFrame([], self.stored).write.mode("ignore").partitionBy(VERSION, PERIOD).parquet(self.data)
-        spark.createDataFrame([], COMMITS).write.mode("ignore").parquet(self.log)
-
-    def _period_of(self):
-        return F.coalesce(F.date_format(self.spec.time, self.period), F.lit("none"))
-
-    def commits(self) -> DataFrame:
-        return self.spark.read.schema(COMMITS).option("recursiveFileLookup", True).parquet(self.log)
-
-    def _content(self) -> DataFrame:
-        """Rows of the newest committed version of every period; only their folders are read."""
-        newest = self.commits().select(VERSION, F.explode("periods").alias(PERIOD)).groupBy(PERIOD).agg(
-            F.max(VERSION).alias(VERSION))
-        rows = self.spark.read.schema(self.stored).parquet(self.data)
-        return rows.join(newest, [VERSION, PERIOD], "left_semi")
-
-    def read(self) -> DataFrame:
-        return self._content().select(*self.spec.columns)
-
-    def runs(self) -> DataFrame:
-        return self.commits().select("source", "run_id", "inserted", "updated", "rejected")
-
-    def upsert(self, batch: DataFrame, run_id: int, order: str = "seq", source: str = "batch") -> DataFrame:
-        """Applies the batch and returns its one log row (source, run_id, inserted, updated, rejected).
-
-        ``rejected`` counts records without a whole natural key. A run at or below the newest one of its
-        source changes nothing.
-        """
-        version, newest = self.commits().agg(
-            F.max(VERSION), F.max(F.when(F.col("source") == source, F.col("run_id")))).first()
-        if newest is None or newest < run_id:
-            self._commit(batch, run_id, order, source, (version or 0) + 1)
-        return self.runs().filter((F.col("source") == source) & (F.col("run_id") == run_id))
-
-    def _commit(self, batch: DataFrame, run_id: int, order: str, source: str, version: int) -> None:
-        kind = {c: self.schema[c].dataType for c in self.spec.columns}
-        batch = cut_lineage(batch.select(*[F.col(c).cast(kind[c]).alias(c) for c in self.spec.columns], order))
-        good = batch.filter(has_key(self.spec))
-        # The touched periods are calendar periods, so their number is bounded by the calendar.
-        touched = [r[0] for r in good.select(self._period_of().alias(PERIOD)).distinct().collect()]
-        old = self._content().filter(F.col(PERIOD).isin(touched))
-        folder = f"{self.data}/{VERSION}={version}"
-        merged = merge_counted(old, good, self.spec, order).withColumn(PERIOD, self._period_of())
-        (merged.hint("rebalance", PERIOD).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(PERIOD).parquet(folder))
-        done = totals(self.spark.read.schema(merged.schema).parquet(folder))
-        rejected = keyless(batch, self.spec).agg(F.count("*")).scalar()
-        record = done.select(
-            F.lit(version).cast("bigint").alias(VERSION), F.lit(source).alias("source"),
-            F.lit(run_id).cast("bigint").alias("run_id"), F.lit(touched).cast("array<string>").alias("periods"),
-            "inserted", "updated", rejected.alias("rejected"))
-        record.coalesce(1).write.mode("error").parquet(f"{self.log}/{version}")

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from panelwright.operators.numbering import numbered
 from panelwright.operators.quality import passed
 from panelwright.session import cut_lineage
 from panelwright.sources.html import report_rows
-from panelwright.sources.sinks import PriceTable
+from panelwright.sources.price_table import PriceTable
 
 ARRIVAL = "_arrival"
 
@@ -31,21 +32,15 @@ def in_arrival_order(batch: DataFrame, order: str) -> DataFrame:
     """Adds ``order``: by ``fetched_at`` where records have it, then by the time of their file, its name and
     their place in it. Never by the order of reading, as Spark packs files by size.
 
-    Only the parts of files are numbered in one place; a micro-batch has as many as the files its listing gave.
+    The records are numbered by ranges of that order, in as many tasks as there are ranges.
     """
     if ARRIVAL not in batch.columns:
         raise ValueError(f"records need a column {order} or the arrival that snapshot_stream adds")
     place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    batch = batch.withColumn("_place", place)
-    if "fetched_at" in batch.columns:
-        batch = batch.withColumn(ARRIVAL, F.struct(F.coalesce("fetched_at", f"{ARRIVAL}.at").alias("at"),
-                                                   f"{ARRIVAL}.path", f"{ARRIVAL}.start"))
-    batch = cut_lineage(batch)
-    parts = batch.groupBy(ARRIVAL).agg(F.max("_place").alias("_most")).withColumn(
-        "_part", F.row_number().over(Window.orderBy(F.col(ARRIVAL).asc_nulls_first())))
-    both = batch.join(parts, batch[ARRIVAL].eqNullSafe(parts[ARRIVAL])).drop(parts[ARRIVAL])
-    number = F.shiftleft(F.col("_part").cast("bigint"), 33) + F.col("_place")
-    return both.withColumn(order, number).drop("_part", "_place", "_most", ARRIVAL)
+    at = F.coalesce("fetched_at", f"{ARRIVAL}.at") if "fetched_at" in batch.columns else F.col(f"{ARRIVAL}.at")
+    batch = batch.withColumns({"_at": at, "_path": F.col(f"{ARRIVAL}.path"), "_start": F.col(f"{ARRIVAL}.start"), "_seat": place})
+    by = ["_at", "_path", "_start", "_seat"]
+    return numbered(batch, [F.col(c).asc_nulls_first() for c in by], order).drop(*by, ARRIVAL)
 
 
 def page_records(pages: DataFrame, names: DataFrame, table: PriceTable, column: str = "name") -> DataFrame:

@@ -16,6 +16,7 @@ from panelwright.operators import quality as Q
 from panelwright.operators.series import latest_n
 from panelwright.operators.upsert import change_counts, keyless, merge_batch
 from panelwright.sources import files, html, sinks, tables
+from panelwright.sources.price_table import PriceTable
 from panelwright.spec import CHILI, PanelSpec
 from panelwright.streaming import ingest as streams
 
@@ -75,7 +76,7 @@ def test_upsert_equals_sequential_replay(spark, seed):
 
 def small_table(spark, path):
     kind = spark.createDataFrame([], "k string, d date, v int").schema
-    return sinks.PriceTable(spark, str(path), kind, SPEC)
+    return PriceTable(spark, str(path), kind, SPEC)
 
 
 def test_price_table_repeats_a_run_safely(spark, tmp_path):
@@ -94,13 +95,13 @@ def test_price_table_reads_and_rewrites_touched_periods_only(spark, tmp_path):
     rows = [("a", dt.date(2025, m, 1), m, 0) for m in (1, 2, 3)]
     prices.upsert(spark.createDataFrame(rows, "k string, d date, v int, seq int"), 0)
     written = lambda: {f"{p.parent.name}/{p.name}": sorted(f.name for f in p.iterdir())
-                       for p in (tmp_path / "t/data").glob("_version=*/_period=*")}
+                       for p in (tmp_path / "t/data").glob("_attempt=*/_period=*")}
     before = written()
     assert len(before) == 3
     prices.upsert(spark.createDataFrame([("a", dt.date(2025, 2, 1), 9, 0)], "k string, d date, v int, seq int"), 1)
     after = written()
     assert {p: after[p] for p in before} == before
-    assert [p for p in after if p not in before] == ["_version=2/_period=2025-02"]
+    assert [p.split("/")[1] for p in after if p not in before] == ["_period=2025-02"]
     assert sorted(r.v for r in prices.read().collect()) == [1, 3, 9]
 
 
@@ -124,7 +125,7 @@ def test_price_table_ignores_what_a_broken_off_upsert_left(spark, tmp_path, monk
     def broken(*_):
         raise RuntimeError("lost")
     with monkeypatch.context() as m:
-        m.setattr(sinks, "totals", broken)  # after the rows, before the commit record
+        m.setattr(PriceTable, "_publish", broken)  # after the rows, before the commit record
         with pytest.raises(RuntimeError):
             prices.upsert(records(spark, ("a", D, 9), ("c", D, 3)), 1, source="A")
     assert {r.k: r.v for r in prices.read().collect()} == {"a": 1}
@@ -175,7 +176,7 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
 
 def test_stream_of_pages_and_fallback(spark, tmp_path):
     def table(name):
-        return sinks.PriceTable(spark, str(tmp_path / name), schema.PRICE_SCHEMA)
+        return PriceTable(spark, str(tmp_path / name), schema.PRICE_SCHEMA)
 
     prices, simulated = table("prices"), table("simulated")
     names = schema.dimension(spark, schema.PROVINCES)
