@@ -32,7 +32,7 @@ U64 = np.uint64
 CUTS = b".,;:!?\n\x0b\x0c\r"
 LONGEST = 4
 CHUNK = 1 << 22
-PER_BUCKET = 400_000
+PER_BUCKET = 300_000
 _CUT = S.table(CUTS)
 _BREAK = S.table([*CUTS, *S.BLANKS])
 
@@ -69,7 +69,7 @@ class Edges:
         self.data = T._LOWER[data]
         self.start, self.end, text = S.bounds(self.data, offsets, _BREAK)
         self.lang = lang[text]
-        piece = np.cumsum(_CUT[self.data], dtype=np.int64)[self.start] if len(self.start) else self.start
+        piece = np.cumsum(_CUT[self.data], dtype=np.int32)[self.start] if len(self.start) else self.start
         self.follows = np.zeros(len(self.start) + 1, dtype=bool)
         self.follows[1:-1] = (text[1:] == text[:-1]) & (piece[1:] == piece[:-1])
         self.hash = S.hashes(self.data, self.start, self.end)

@@ -8,6 +8,7 @@ from panelwright.llm import textbytes as T
 
 BLANKS = (9, 32)
 LINE_ENDS = (10, 11, 12, 13)
+BLOCK = 1 << 16
 
 
 def table(separators) -> np.ndarray:
@@ -49,7 +50,9 @@ def joined(data: np.ndarray, start: np.ndarray, end: np.ndarray, last: np.ndarra
     ends = np.cumsum(size + gap)
     out = np.full(int(ends[-1]) if len(ends) else 0, between, np.uint8)
     at = ends - size - gap
-    out[ranges(at, size)] = data[ranges(start, size)]
+    for low in range(0, len(at), BLOCK):
+        some = slice(low, low + BLOCK)
+        out[ranges(at[some], size[some])] = data[ranges(start[some], size[some])]
     if behind is not None:
         out[(ends - 1)[last]] = behind
     return out, ends
