@@ -1,26 +1,36 @@
 """One global regressor with an output in (0, 1) over all series, and its multi-step rollout.
 
-Inputs are the scaled lags and one indicator per level of every key column. The fit is logistic regression
-on sparse vectors, each row standing for its target's share of ones and of zeros. The lags enter by their
-principal components, which the regression scales: neighbouring lags are nearly equal, and without this the
-iteration would stop short of the optimum. Coefficients, one per lag and key level, are MLlib's and so the driver's.
+Inputs are the scaled lags and one effect per level of every key column; the fit is the maximum of the binomial likelihood
+of the targets' shares (logistic regression). Newton's method on tables: only the weights of the lags, and sums as many as their
+pairs, are on the driver. Effects are columns of a table of series, so their number has no bound there.
+
+* A pass over the rows gives every series its gradient, its curvature and its curvature with each lag. Rows are partitioned
+  by series and time block once; passes send them no more than a number per block.
+* The Newton equations of the effects are solved on the series alone, for the gradient and for each lag at once: per key, the
+  sums of each level, taking turns until ``sweeps`` is reached. With a complete panel two rounds are all but exact, and what
+  is left is made up for by the next step.
+* What remains is a system as small as the number of lags.
 """
 
 from __future__ import annotations
 
+import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import PCA, OneHotEncoder, PCAModel, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelwright.functions import scalars as S
+from panelwright.operators.blocks import attach, group, tag
 from panelwright.operators.evaluate import bounds
 from panelwright.schema import LAG
+from panelwright.session import store
+from panelwright.sources.storage import Folder
 from panelwright.spec import CHILI, PanelSpec
 
 
@@ -33,70 +43,136 @@ def lag_names(lag: int = LAG) -> list[str]:
 class BoundedModel:
     """Coefficients of a fitted model; ``effects`` has one row (key, level, effect) per key level."""
 
-    pipeline: PipelineModel
     lags: tuple[float, ...]
     intercept: float
     effects: DataFrame
     keys: tuple[str, ...]
 
     def with_bias(self, df: DataFrame, out: str = "_bias") -> DataFrame:
-        """Adds the part of the linear score that is constant in a series; null where a level wasn't in training."""
+        """Adds the part of the linear score that is constant in a series; null where a level wasn't in training.
+
+        Effects are looked up once per series, and rows then join their series.
+        """
+        series = df.select(*self.keys).distinct()
         bias = F.lit(self.intercept)
         for i, key in enumerate(self.keys):
             level = (self.effects.filter(F.col("key") == key)
-                     .select(F.col("level").alias(key), F.col("effect").alias(f"_effect{i}")))
-            df = df.join(level, key, "left")
+                     .select(F.col("level").alias("_level"), F.col("effect").alias(f"_effect{i}")))
+            series = series.join(level, F.col(key).cast("string") == F.col("_level"), "left").drop("_level")
             bias = bias + F.col(f"_effect{i}")
-        return df.withColumn(out, bias).drop(*[f"_effect{i}" for i in range(len(self.keys))])
+        series = series.select(*[F.col(k).alias(f"_key_{k}") for k in self.keys], bias.alias(out))
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in self.keys])
+        return df.join(series, same, "left").drop(*[f"_key_{k}" for k in self.keys])
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
-
-
-def load_model(spark: SparkSession, path: str, keys: Sequence[str], lag: int = LAG) -> BoundedModel:
-    return _unpack(spark, PipelineModel.load(path), tuple(keys), lag)
-
-
-def _unpack(spark: SparkSession, pipeline: PipelineModel, keys: tuple[str, ...], lag: int) -> BoundedModel:
-    indexer = next(s for s in pipeline.stages if isinstance(s, StringIndexerModel))
-    parts = next(s for s in pipeline.stages if isinstance(s, PCAModel)).pc.toArray()
-    fitted = pipeline.stages[-1]
-    weights = fitted.coefficients.toArray()
-    weights = [float(w) for w in (*parts @ weights[:lag], *weights[lag:])]
-    rows, at = [], lag
-    for key, labels in zip(keys, indexer.labelsArray):
-        rows += [(key, label, weights[at + i]) for i, label in enumerate(labels)]
-        at += len(labels)
-    effects = spark.createDataFrame(rows, "key string, level string, effect double")
-    return BoundedModel(pipeline, tuple(weights[:lag]), float(fitted.intercept), effects, keys)
-
-
-def fit_bounded(train: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG, max_iter: int = 300,
-                tol: float = 1e-12) -> BoundedModel:
-    """Fits the model on rows with scaled ``lag_*`` and a scaled target ``y`` in [0, 1].
-
-    Iterates until the loss changes by less than ``tol`` of itself.
+        """Effects as a table, the other coefficients as one file, which comes last."""
+        self.effects.write.mode("overwrite").parquet(f"{path}/effects")
+        folder = Folder(self.effects.sparkSession, path)
+        folder.remove("weights.json")
+        folder.create("weights.json", json.dumps({"lags": self.lags, "intercept": self.intercept, "keys": self.keys}))
+
+
+def load_model(spark: SparkSession, path: str) -> BoundedModel:
+    found = json.loads(Folder(spark, path).read("weights.json"))
+    effects = spark.read.schema("key string, level string, effect double").parquet(f"{path}/effects")
+    return BoundedModel(tuple(found["lags"]), found["intercept"], effects, tuple(found["keys"]))
+
+
+def _row_sums(rows: DataFrame, weights: np.ndarray, names: list[str]) -> list[Column]:
+    """Sums of a pass: loss, gradient and curvature, alone and with the lags."""
+    score = reduce(lambda a, b: a + b, [F.lit(float(w)) * F.col(n) for w, n in zip(weights, names)], F.col("_bias"))
+    share = 1.0 / (1.0 + F.exp(-score))
+    miss, bend = F.col("y") - share, share * (1.0 - share)
+    loss = F.log1p(F.exp(-F.abs(score))) + F.greatest(score, F.lit(0.0)) - F.col("y") * score
+    out = [F.sum(loss).alias("_loss"), F.sum(miss).alias("_r0"), F.sum(bend).alias("_h"), F.count("*").alias("_n")]
+    for i, a in enumerate(names):
+        out += [F.sum(miss * F.col(a)).alias(f"_g{i}"), F.sum(bend * F.col(a)).alias(f"_r{i + 1}")]
+        out += [F.sum(bend * F.col(a) * F.col(b)).alias(f"_a{i}_{j}") for j, b in enumerate(names) if j <= i]
+    return out
+
+
+def _solved(stats: DataFrame, keys: Sequence[str], sides: int, sweeps: int) -> DataFrame:
+    """Adds ``_c{key}_{side}``: the effects that answer right side ``_r{side}``, by turns over the keys."""
+    made = {f"_c{k}_{c}": F.lit(0.0) for k in range(len(keys)) for c in range(sides)}
+    stats = stats.withColumns(made)
+    turns = [k for _ in range(sweeps if len(keys) > 1 else 1) for k in range(len(keys))]
+    for k in turns:
+        left = [F.col(f"_r{c}") - F.col("_h") * reduce(lambda a, b: a + b, [F.col(f"_c{i}_{c}") for i in range(len(keys))])
+                for c in range(sides)]
+        level = stats.groupBy(keys[k]).agg(*[(F.sum(x) / F.greatest(F.sum("_h"), F.lit(1e-300))).alias(f"_d{c}")
+                                             for c, x in enumerate(left)])
+        stats = stats.join(level, keys[k]).withColumns(
+            {f"_c{k}_{c}": F.col(f"_c{k}_{c}") + F.col(f"_d{c}") for c in range(sides)}).drop(
+            *[f"_d{c}" for c in range(sides)])
+    return stats
+
+
+def fit_bounded(train: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG, max_iter: int = 60,
+                tol: float = 1e-12, sweeps: int = 2) -> BoundedModel:
+    """Fits the model on rows with keys, time, scaled ``lag_*`` and a scaled target ``y`` in [0, 1].
+
+    Iterates until the loss changes by less than ``tol`` of itself; a step that makes it worse is halved.
     """
-    keys = spec.keys
-    data = train.select(*keys, *lag_names(lag), "y")
-    index = [f"_{k}_idx" for k in keys]
-    hot = [f"_{k}_hot" for k in keys]
-    inputs = Pipeline(stages=[
-        VectorAssembler(inputCols=lag_names(lag), outputCol="_lags"),
-        PCA(k=lag, inputCol="_lags", outputCol="_parts"),
-        StringIndexer(inputCols=list(keys), outputCols=index, stringOrderType="alphabetAsc"),
-        OneHotEncoder(inputCols=index, outputCols=hot, dropLast=False),
-        VectorAssembler(inputCols=["_parts", *hot], outputCol="features"),
-    ]).fit(data)
-    share = F.array(F.struct(F.lit(1.0).alias("label"), F.col("y").alias("weight")),
-                    F.struct(F.lit(0.0).alias("label"), (1.0 - F.col("y")).alias("weight")))
-    ready = inputs.transform(data).select("features", F.inline(share)).filter(F.col("weight") > 0)
-    regressor = LogisticRegression(labelCol="label", weightCol="weight", maxIter=max_iter, tol=tol)
-    # Every iteration reads the vectors; those of a lost executor are made again from the train rows.
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
-    fitted = regressor.fit(ready)
-    ready.unpersist()
-    return _unpack(train.sparkSession, PipelineModel([*inputs.stages, fitted]), keys, lag)
+    spark, keys, names = train.sparkSession, list(spec.keys), lag_names(lag)
+    rows = tag(train.select(*spec.natural_key, *names, "y"), spec).drop(spec.time)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Every pass reads the rows where they are; those of a lost executor are made again from the train rows.
+    rows = rows.repartition(parts, *group(spec)).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = store(rows.select(*group(spec)).distinct(), "blocks")
+    weights, step = np.zeros(lag), np.zeros(lag)
+    at = blocks.select(*keys).distinct().withColumns({f"_e{k}": F.lit(0.0) for k in range(len(keys))})
+    best, share, halved, before = math.inf, 1.0, 0, None
+    effect = [F.col(f"_e{k}") for k in range(len(keys))]
+    for _ in range(max_iter):
+        now = weights + share * step
+        if before is not None:
+            # The last solution's effects, moved along with the weights.
+            effect = [F.col(f"_e{k}") + share * (F.col(f"_c{k}_0") - reduce(lambda a, b: a + b, [
+                F.lit(float(d)) * F.col(f"_c{k}_{j + 1}") for j, d in enumerate(step)])) for k in range(len(keys))]
+        moved = at.select(*keys, *[e.alias(f"_e{k}") for k, e in enumerate(effect)])
+        bias = reduce(lambda a, b: a + b, [F.col(f"_e{k}") for k in range(len(keys))])
+        sent = blocks.join(moved.select(*keys, bias.alias("_bias")), keys)
+        sums = _row_sums(rows, now, names)
+        passed = attach(rows, sent, spec).groupBy(*group(spec)).agg(*sums)
+        added = [c for c in passed.columns if c.startswith("_") and c not in group(spec)]
+        stats = passed.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in added])
+        stats = store(stats.join(moved, keys), "model_stats")
+        solved = store(_solved(stats, keys, lag + 1, sweeps), "model_solved")
+        total = [reduce(lambda a, b: a + b, [F.col(f"_c{k}_{c}") for k in range(len(keys))]) for c in range(lag + 1)]
+        row = solved.agg(
+            F.sum("_loss"), F.sum("_n"),
+            F.array(*[F.sum(F.col(f"_g{i}") - F.col(f"_r{i + 1}") * total[0]) for i in range(lag)]),
+            F.array(*[F.sum(F.col(f"_a{max(i, j)}_{min(i, j)}") - F.col(f"_r{i + 1}") * total[j + 1])
+                      for i in range(lag) for j in range(lag)])).first()
+        loss = row[0]
+        if loss is None:
+            raise ValueError("no training rows")
+        if loss > best and halved < 20 and best - loss < -tol * abs(best):
+            share, halved = share / 2, halved + 1
+            continue
+        done = abs(best - loss) <= tol * abs(loss)
+        weights, best, share, halved, before, at = now, loss, 1.0, 0, solved, solved
+        if done:
+            break
+        bend = np.array(row[3]).reshape(lag, lag)
+        step = np.linalg.lstsq((bend + bend.T) / 2, np.array(row[2]), rcond=1e-14)[0]
+    rows.unpersist()
+    levels = [at.groupBy(F.col(key).cast("string").alias("level")).agg(F.first(f"_e{k}").alias("effect"))
+              .select(F.lit(key).alias("key"), "level", "effect") for k, key in enumerate(keys)]
+    effects = store(reduce(DataFrame.unionByName, levels), "effects")
+    return BoundedModel(tuple(float(w) for w in weights), 0.0, effects, tuple(keys))
+
+
+def score_sums(scored: DataFrame, spec: PanelSpec = CHILI, lag: int = LAG) -> DataFrame:
+    """(term, level, n, target, predicted) of training rows with ``prediction``: at the optimum, targets and predictions have the
+    same sum at every key level, and the same sum with every lag."""
+    parts = [scored.groupBy(F.col(key).cast("string").alias("level")).agg(
+        F.count("*").alias("n"), F.sum("y").alias("target"), F.sum("prediction").alias("predicted"))
+        .select(F.lit(key).alias("term"), "level", "n", "target", "predicted") for key in spec.keys]
+    sums = [F.struct(F.lit(n).alias("term"), F.lit(None).cast("string").alias("level"), F.count("*").alias("n"),
+                     F.sum(F.col("y") * F.col(n)).alias("target"), F.sum(F.col("prediction") * F.col(n)).alias("predicted"))
+            for n in lag_names(lag)]
+    return reduce(DataFrame.unionByName, [*parts, scored.agg(F.array(*sums).alias("_all")).select(F.inline("_all"))])
 
 
 def link_value(score: Column, link: str) -> Column:

@@ -14,7 +14,7 @@ from panelwright.operators import joins as J
 from panelwright.operators import quality as Q
 from panelwright.operators import series as W
 from panelwright.operators.blocks import positions
-from panelwright.operators.model import forecast_nested, forecast_rows
+from panelwright.operators.model import forecast_nested, forecast_rows, predict_one_step, score_sums
 from panelwright.operators.spline import fill_spline
 from panelwright.operators.upsert import change_counts, merge_batch
 from panelwright.plans import forecast as forecasts
@@ -25,6 +25,7 @@ from panelwright.plans.driver_panels import (
 from panelwright.session import work_dir
 from panelwright.sources import files, html, sinks, tables
 from panelwright.sources.price_table import PriceTable
+from panelwright.sources.registry import RunRegistry
 from panelwright.streaming import ingest as streams
 from panelwright.schema import substitutes
 
@@ -893,3 +894,47 @@ def glm_forecast(spark, sf):
     run = training.train(panel, ORDERS, spline=False)
     requests = forecasts.every_series(panel, 7, ORDERS)
     return forecast_rows(forecasts.forecast_with(run.model, panel, requests, run.scaler, spec=ORDERS), ORDERS)
+
+
+RUN_SQL = """
+, cleaned as (select region, priority, day, round_even(price / 100.0::double, 0) * 100.0::double as price,
+    row_number() over s as pos, count(*) over (partition by region, priority) as n
+  from op window s as (partition by region, priority order by day)),
+parts as (select *, case when pos <= floor(n * 0.7::double) then 'train' else 'test' end as split from cleaned where n >= 17),
+sc as (select min(price) as vmin, max(price) as vmax from parts where split = 'train'),
+win as (select region, priority, split, (price - vmin) / (vmax - vmin) as y,
+    LAGS
+  from parts, sc),
+train as (select * from win where split = 'train' and lag_7 is not null),
+scores as (
+  select 'region' as name, region as level, count(*) as n, sum(y) as v from train group by region union all
+  select 'priority', priority, count(*), sum(y) from train group by priority SUMS)
+select 'score' as part, name, level, n, round(v, 3) as target, round(v, 3) as found from scores
+union all select 'scaler', 'vmin', null, 1, vmin, vmin from sc
+union all select 'scaler', 'vmax', null, 1, vmax, vmax from sc
+union all select 'params', 'lag', null, 1, 7, 7
+union all select 'params', 'split_ratio', null, 1, 0.7, 0.7
+union all select 'params', 'total_features', null, 1, f, f from (
+  select (7 + count(distinct region) + count(distinct priority))::double as f from train)
+""".replace("LAGS", ", ".join(
+                f"lag((price - vmin) / (vmax - vmin), {i}) over (partition by region, priority order by day) as lag_{i}"
+                for i in range(7, 0, -1))).replace("SUMS", " ".join(
+                    f"union all select 'lag_{i}', null, count(*), sum(y * lag_{i}) from train" for i in range(7, 0, -1)))
+
+
+@query(RUN_SQL)
+def trained_run(spark, sf):
+    """A training run, logged and read back: parameters, scaler, and the score equations of the stored model. At the optimum of
+    the likelihood, predictions and targets have the same sum at every key level and with every lag."""
+    run = training.train(stored_panel(spark, sf), ORDERS, spline=False)
+    registry = RunRegistry(spark, scratch(spark, "registry"))
+    training.log_run(run, registry, "first")
+    found = registry.current()
+    scores = score_sums(predict_one_step(found.model, run.fitted.drop("prediction")), ORDERS)
+    sums = [F.round(c, 3).alias(name) for c, name in (("target", "target"), ("predicted", "found"))]
+    scores = scores.select(F.lit("score").alias("part"), F.col("term").alias("name"), "level", "n", *sums)
+    value = F.col("value").cast("double")
+    rest = found.scaler.unpivot([], ["vmin", "vmax"], "name", "value").select(F.lit("scaler").alias("part"), "name", value.alias("v"))
+    rest = rest.unionByName(found.params.select(F.lit("params").alias("part"), "name", value.alias("v")))
+    return scores.unionByName(rest.select("part", "name", F.lit(None).cast("string").alias("level"), F.lit(1).cast("long").alias("n"),
+                                          F.col("v").alias("target"), F.col("v").alias("found")))

@@ -16,7 +16,7 @@ from panelwright.operators.series import fill_linear, supervised, temporal_split
 from panelwright.operators.spline import fill_spline
 from panelwright.schema import LAG, TRAIN_SHARE
 from panelwright.session import cut_lineage
-from panelwright.sources.sinks import append_metrics, append_params, save_scaler
+from panelwright.sources.registry import RunRegistry
 from panelwright.spec import CHILI, PanelSpec
 
 
@@ -29,6 +29,7 @@ class TrainingRun:
     metrics_by_series: DataFrame
     train_loss: DataFrame
     unscored: DataFrame
+    fitted: DataFrame
 
 
 def split_parts(panel: DataFrame, spec: PanelSpec = CHILI, min_rows: int = MIN_TRAIN_ROWS,
@@ -73,20 +74,19 @@ def train(panel: DataFrame, spec: PanelSpec = CHILI, spline: bool = True, lag: i
     scored = evaluation_frame(predicted.filter((F.col("split") == "test") & ~missing), scaler)
     unscored = predicted.filter(missing).select(*spec.natural_key, F.lit("unknown series").alias("reason"))
     miss = F.col("y") - F.col("prediction")
-    loss = predicted.filter(F.col("split") == "train").agg(F.avg(miss * miss).alias("final_train_loss_mse"))
+    fitted = predicted.filter(F.col("split") == "train")
+    loss = fitted.agg(F.avg(miss * miss).alias("final_train_loss_mse"))
     return TrainingRun(model, scaler, scored, error_metrics(scored, "aktual", "prediksi"),
-                       error_metrics(scored, "aktual", "prediksi", spec.keys), loss, unscored)
+                       error_metrics(scored, "aktual", "prediksi", spec.keys), loss, unscored, fitted)
 
 
-def log_run(run: TrainingRun, path: str, run_id: str, share: float = TRAIN_SHARE) -> None:
-    """Appends the run's metrics and parameters to the tables ``metrics`` and ``params`` under ``path``
-    and stores its scaler and model beside them."""
+def log_run(run: TrainingRun, registry: RunRegistry, run_id: str, share: float = TRAIN_SHARE) -> bool:
+    """Logs metrics, parameters, scaler and model of the run together and makes it the current one; False if its name is taken."""
     names = {"mape": "global_mape", "rmse": "global_rmse", "mae": "global_mae"}
     found = run.metrics.select(*[F.col(c).alias(name) for c, name in names.items()])
-    append_metrics(run.train_loss, f"{path}/metrics", run_id)
-    append_metrics(found, f"{path}/metrics", run_id)
     levels = run.model.effects.count()
     params = {"lag": len(run.model.lags), "split_ratio": share, "total_features": len(run.model.lags) + levels}
-    append_params(run.scaler.sparkSession, params, f"{path}/params", run_id)
-    save_scaler(run.scaler, f"{path}/scalers/{run_id}")
-    run.model.save(f"{path}/models/{run_id}")
+    new = registry.log(run_id, [run.train_loss, found], params, run.scaler, run.model)
+    if new:
+        registry.promote(run_id)
+    return new
