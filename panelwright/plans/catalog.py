@@ -256,12 +256,62 @@ def event_interp(spark, sf):
     return W.tidy(W.fill_linear(panel, spec)).withColumn("value", F.round("value", 6))
 
 
-@query()
+def spline_sql(part: str) -> str:
+    """The spline of every series (or of its parts): the tridiagonal system by elimination down the known points and
+    substitution back, one recursion each."""
+    label = "split" if part else "''"
+    return fill_sql(part) + f""",
+known as (
+  select region, priority, {label} as part, pos::double as x, price::double as y,
+         row_number() over w as i, count(*) over (partition by region, priority, {label}) as k
+  from parted where price is not null window w as (partition by region, priority, {label} order by pos)),
+steps as (select *, x - lag(x) over w as h0, lead(x) over w - x as h1,
+                 (lead(y) over w - y) / (lead(x) over w - x) - (y - lag(y) over w) / (x - lag(x) over w) as bend
+          from known where k >= 4 window w as (partition by region, priority, part order by i)),
+coef as materialized (
+  select region, priority, part, i, k, 6 * bend as r,
+         case when i = 2 then 0 else h0 - case when i = k - 1 then h1 * h1 / h0 else 0 end end as l,
+         case when i = k - 1 then 0 else h1 - case when i = 2 then h0 * h0 / h1 else 0 end end as u,
+         2 * (h0 + h1) + case when i = 2 then h0 + h0 * h0 / h1 else 0 end
+           + case when i = k - 1 then h1 + h1 * h1 / h0 else 0 end as d
+  from steps where i between 2 and k - 1),
+down as (
+  select region, priority, part, i, k, u / d as c, r / d as e from coef where i = 2
+  union all
+  select n.region, n.priority, n.part, n.i, n.k, n.u / (n.d - n.l * p.c) as c, (n.r - n.l * p.e) / (n.d - n.l * p.c) as e
+  from down p join coef n on n.region = p.region and n.priority = p.priority and n.part = p.part and n.i = p.i + 1),
+eliminated as materialized (select * from down),
+back as (
+  select region, priority, part, i, e as m from eliminated where i = k - 1
+  union all
+  select n.region, n.priority, n.part, n.i, n.e - n.c * p.m as m
+  from back p join eliminated n on n.region = p.region and n.priority = p.priority and n.part = p.part and n.i = p.i - 1),
+inner_m as (select s.*, b.m from steps s left join back b using (region, priority, part, i)),
+curve as (
+  select region, priority, part, x, coalesce(m,
+    case when i = 1 then lead(m) over w - h1 / lead(h1) over w * (lead(m, 2) over w - lead(m) over w)
+         when i = k then lag(m) over w - h0 / lag(h0) over w * (lag(m, 2) over w - lag(m) over w) end) as m
+  from inner_m window w as (partition by region, priority, part order by i)),
+bent as (
+  select f.*, coalesce(s.price::double, a * pval + b * nval + ((a * a * a - a) * p.m + (b * b * b - b) * q.m) * (npos - ppos) * (npos - ppos) / 6.0) as cubic,
+         ppos is not null and npos is not null as inside
+  from (select *, (npos - pos)::double / nullif(npos - ppos, 0) as a, (pos - ppos)::double / nullif(npos - ppos, 0) as b from seen) s
+  join filled f using (region, priority, day)
+  left join curve p on p.region = s.region and p.priority = s.priority and p.part = {label.replace("split", "s.split")} and p.x = s.ppos
+  left join curve q on q.region = s.region and q.priority = s.priority and q.part = {label.replace("split", "s.split")} and q.x = s.npos),
+judged as (select *, coalesce(bool_or(inside and (cubic is null or cubic < 0 or cubic > 500000))
+                              over (partition by region, priority{part}), false) as bad from bent)
+select region, priority, day, {"split, " if part else ""}pos, n,
+       round_even(case when bad or not inside then price else cubic end / 100.0::double, 0) * 100.0::double as price
+from judged"""
+
+
+@query(spline_sql(""), GAPPY_SQL)
 def spline_interp(spark, sf):
     return W.tidy(fill_spline(gappy_panel(spark, sf), ORDERS, step=100))
 
 
-@query()
+@query(spline_sql(", split"), GAPPY_SQL)
 def spline_interp_by_split(spark, sf):
     rows = W.temporal_split(gappy_panel(spark, sf), ORDERS)
     return W.tidy(fill_spline(rows, ORDERS, part="split", step=100))

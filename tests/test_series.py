@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from panelwright.operators import series as W
 from panelwright.operators.blocks import positions
-from panelwright.operators.spline import curvature, fill_spline
+from panelwright.operators.spline import fill_spline, solve
 from panelwright.spec import PanelSpec
 
 SPEC = PanelSpec(("k",), "d", "v")
@@ -112,9 +112,15 @@ def test_lags_of_the_whole_series_give_the_first_test_windows(spark):
     assert [(r.lag_7, r.lag_1, r.y) for r in got] == [(1, 7, 8), (2, 8, 9)]
 
 
-def test_curvature_of_a_cubic_is_exact():
-    x = np.array([0.0, 1.0, 2.5, 4.0, 7.0, 7.5])
-    assert curvature(x, x ** 3 - 2 * x ** 2 + 5) == pytest.approx(6 * x - 4)
+def test_systems_that_follow_each_other_are_solved_at_once():
+    rng = np.random.default_rng(1)
+    sizes = [1, 2, 3, 7, 64, 65, 200]
+    lower, upper = rng.random((2, sum(sizes)))
+    main, right = 4 + rng.random(sum(sizes)), rng.random((sum(sizes), 2))
+    start = np.cumsum([0, *sizes[:-1]])
+    lower[start], upper[np.cumsum(sizes) - 1] = 0, 0
+    want = np.linalg.solve(np.diag(main) + np.diag(lower[1:], -1) + np.diag(upper[:-1], 1), right)
+    np.testing.assert_allclose(solve(lower, main, upper, right), want, rtol=1e-13)
 
 
 def whole_spline(y: list) -> list:
@@ -138,14 +144,50 @@ def whole_spline(y: list) -> list:
     return out
 
 
-def test_spline_in_pieces_equals_the_whole_spline(spark):
+@pytest.mark.parametrize("piece", [1, 2, 7, 8192])
+def test_spline_in_pieces_equals_the_whole_spline(spark, piece):
     rng = np.random.default_rng(3)
     known = (250000 + np.cumsum(rng.normal(0, 300, 900))).tolist()
     gappy = [None if rng.random() < 0.4 and 5 < i < 890 else v for i, v in enumerate(known)]
     df = panel(spark, {"a": gappy})
     spec = PanelSpec(("k",), "d", "v", width=37)
-    got = values(fill_spline(df, spec, piece=70, halo=64))
-    assert got == pytest.approx(whole_spline(gappy), abs=1e-6)
+    got = values(fill_spline(df, spec, piece=piece))
+    assert got == pytest.approx(whole_spline(gappy), abs=1e-8)
+
+
+def test_spline_of_parts_and_many_series(spark):
+    """Parts of any length side by side, some too short for a spline; each as if it were alone."""
+    rng = np.random.default_rng(5)
+    series = {}
+    for i in range(12):
+        y = (2000 + np.cumsum(rng.normal(0, 3, 10 + 7 * i))).tolist()
+        series[f"s{i}"] = [None if rng.random() < 0.5 else v for v in y]
+    rows = W.temporal_split(panel(spark, series), PanelSpec(("k",), "d", "v", width=11), share=0.4)
+    got = fill_spline(rows, PanelSpec(("k",), "d", "v", width=11), part="split", piece=5)
+    for key, y in series.items():
+        cut = int(len(y) * 0.4)
+        want = []
+        for some in (y[:cut], y[cut:]):
+            count = sum(v is not None for v in some)
+            want += whole_spline(some) if count > 3 else pd.Series(some, dtype=float).interpolate(limit_direction="both").tolist()
+        filled = [np.nan if v is None else v for v in values(got, key=key)]
+        assert filled == pytest.approx(want, abs=1e-8, nan_ok=True)
+
+
+def test_spline_solver_has_one_step_per_doubling():
+    """All points take part in each step: nothing loops over them."""
+    steps = []
+
+    class Counted(np.ndarray):
+        def any(self, *args, **options):
+            steps.append(len(self))
+            return bool(np.asarray(self).any())
+    n = 5000
+    one = np.ones(n)
+    lower = one.copy().view(Counted)
+    lower[0] = 0
+    solve(lower, 4 * one, np.append(one[1:], 0.0), one[:, None])
+    assert len(steps) <= 14
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
