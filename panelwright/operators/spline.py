@@ -67,12 +67,13 @@ def _equations(known: DataFrame, spec: PanelSpec, part: str | None) -> DataFrame
     A part of fewer than four known points has no rows. The third derivative is continuous at the second and the last but one.
     """
     columns = ["pos", spec.value, *([part] if part else [])]
-    rows = supervised(known, 2, 3, spec, columns, drop_incomplete=False)
-    here = {side: F.col(f"pos_{side}").isNotNull() for side in ("lag_1", "lag_2", "lead_1", "lead_2")}
+    known = known.withColumn("_point", F.struct(*columns)).select(*group(spec), spec.time, "_point", *columns)
+    rows = supervised(known, 2, 3, spec, ["_point"], drop_incomplete=False)
+    here = {side: F.col(side)["pos"].isNotNull() for side in ("lag_1", "lag_2", "lead_1", "lead_2")}
     if part:
-        here = {side: there & F.col(f"{part}_{side}").eqNullSafe(F.col(part)) for side, there in here.items()}
-    at = {side: F.when(there, F.col(f"pos_{side}")).cast("double") for side, there in here.items()}
-    v = {side: F.col(f"{spec.value}_{side}").cast("double") for side in here}
+        here = {side: there & F.col(side)[part].eqNullSafe(F.col(part)) for side, there in here.items()}
+    at = {side: F.when(there, F.col(side)["pos"]).cast("double") for side, there in here.items()}
+    v = {side: F.col(side)[spec.value].cast("double") for side in here}
     x, y = F.col("pos").cast("double"), F.col(spec.value).cast("double")
     before, after = x - at["lag_1"], at["lead_1"] - x
     rows = rows.withColumns({
@@ -195,6 +196,7 @@ def fill_spline(df: DataFrame, spec: PanelSpec = CHILI, part: str | None = None,
     rows = cut_lineage(rows.withColumn(spec.value, F.col(spec.value).cast("double")))
     points = _with_curvature(rows.filter(known), spec, part, piece)
     curves = points.groupBy(*group(spec)).agg(F.sort_array(F.collect_list(F.struct("pos", "_m"))).alias("_curve"))
+    curves = store(curves, "curves")
     upto = in_block(spec).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = attach(spread(rows, spec), curves, spec, "left")
     place = (F.count_if(known).over(upto) - 1).cast("int")

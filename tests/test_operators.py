@@ -287,13 +287,35 @@ def test_dates_of_other_formats_and_undated_rows(spark, tmp_path):
     assert [(r.reason, r.n_rows, r.n_undated) for r in load.files.collect()] == [(None, 28, 2)]
 
 
-def test_delimited_fields(spark):
-    lines = {'a,b': ["a", "b"], '': [""], ',': ["", ""], ' "x, y" ,z': ["x, y", "z"], '"a ""q"" b",': ['a "q" b', ""],
-             '"open,b': ["open", "b"], 'a,' + '"' * 9000: None, ",".join("x" * 30_000): ["x"] * 30_000}
-    df = spark.createDataFrame([(k,) for k in lines], "t string")
-    for line, fields in df.select("t", files._fields(F.col("t"))).collect():
-        if lines[line] is not None:
-            assert fields == lines[line], line[:50]
+def test_delimited_records(spark, tmp_path):
+    """Quoted line breaks, commas and quotes, blank lines, a byte order mark, short and long records, line ends of both kinds."""
+    texts = {
+        "Aceh_A": '\ufeff"tang""gal,\n x",tanggal, "harga"\r\n"a\nb, ""c""\n",2025-01-01,5\r\n\r\n  \n,"2025-01-02", "6"\n',
+        "Bali_A": "\n\nx,tanggal,harga\n1,2025-01-01,7,more\n1,2025-01-02,8\n",
+        "Riau_A": "tanggal,x,harga\n2025-01-01,1\n",
+        "Bali_B": "tanggal,harga\n2025-01-01,9",
+        "Bali_C": "", "Bali_D": "tanggal,harga\n", "Bali_[E]": "harga,tanggal\n4,2025-01-01\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode())
+    load = files.load_series_folder(spark, str(tmp_path))
+    assert sorted((r.provinsi, r.jenis_cabai, r.tanggal.day, r.harga) for r in load.rows.collect()) == [
+        ("Aceh", "A", 1, 5), ("Aceh", "A", 2, 6), ("Bali", "A", 1, 7), ("Bali", "A", 2, 8), ("Bali", "B", 1, 9), ("Bali", "[E]", 1, 4)]
+    reasons = {r.file.rsplit("/", 1)[1]: (r.reason, r.n_rows) for r in load.files.collect()}
+    assert reasons == {"Aceh_A.csv": (None, 2), "Bali_A.csv": (None, 2), "Riau_A.csv": ("unreadable row", 0), "Bali_B.csv": (None, 1),
+                       "Bali_D.csv": (None, 0), "Bali_[E].csv": (None, 1)}
+
+
+def test_a_folder_is_one_scan_per_kind_of_header(spark, tmp_path):
+    for i in range(12):
+        head = ("tanggal,harga", "date,harga", "harga,tanggal")[i % 3]
+        (tmp_path / f"P{i}_A.csv").write_text(f"{head}\n" + ("5,2025-01-01\n" if i % 3 == 2 else "2025-01-01,5\n"))
+    listed = files._listing(spark, str(tmp_path), "*.csv", False)
+    assert len(listed) == 12 and {x.header for x in listed} == {("tanggal", "harga"), ("date", "harga"), ("harga", "tanggal")}
+    usable = {x.file: (2, 1) if x.header[0] == "harga" else (1, 2) for x in listed}
+    rows = files._scan(spark, listed, usable, CHILI, False)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2 and "FileScan text" not in plan and "Join" not in plan
+    assert rows.count() == 12
 
 
 @pytest.mark.parametrize("n", [3, 1500])
