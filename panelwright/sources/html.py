@@ -21,9 +21,13 @@ ROW_CELLS = 3
 # HTML's named characters; the no-break space counts as a blank.
 ENTITIES = {name: chr(code) for name, code in name2codepoint.items()} | {"nbsp": " ", "apos": "'"}
 
-UNSEEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-ROW = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
-CELL = r"(?is)<t([dh])\b[^>]*>(.*?)</t\1\s*>"
+NAMES = "table|thead|tbody|tfoot|tr|td|th"
+REST = r"""(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+# What isn't shown, tags that make no table, and those that do.
+UNSEEN = r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
+OTHER = rf"(?i)<(?!/?(?:{NAMES})[\s/>])/?[a-z!?][^\s/>]*+{REST}"
+TAG = rf"(?i)</?({NAMES}){REST}"
+CELLS, ROWS, SECTIONS = ("td", "th"), ("tr", "td", "th"), ("thead", "tbody", "tfoot", "tr", "td", "th")
 
 
 def decode_entities(c: Column) -> Column:
@@ -47,15 +51,64 @@ def decode_entities(c: Column) -> Column:
         text, F.coalesce(char(F.get(found, i)), F.lit("")))), "")
 
 
-def cell_text(c: Column) -> Column:
-    return S.strip(decode_entities(F.regexp_replace(c, r"(?s)<[^>]*>", "")))
+def _spans(tags: Column, end: Column) -> Column:
+    """(tag, first, last, start, stop) of every row and cell: the places of its tags among the tags, and of its text in the page's.
 
-
-def page_cells(html: Column) -> Column:
-    """All table rows of a page, each an array of cell texts."""
-    rows = F.regexp_extract_all(F.regexp_replace(html, UNSEEN, ""), F.lit(ROW), F.lit(1))
-    return F.transform(rows, lambda row: F.transform(
-        F.regexp_extract_all(row, F.lit(CELL), F.lit(2)), cell_text))
+    ``tags`` are (at, tag, closing, gap), gap being the length of the text before it, folded with a stack of open elements;
+    ``end`` is that of the text behind the last one. A cell ends with the next cell or row of its table and a row with the next
+    row, whether their end tags are there or not; a table inside a cell has rows of its own, and its tags end nothing outside it.
+    """
+    open_ = "array<struct<tag:string,at:int,start:int>>"
+    done = "array<struct<tag:string,first:int,last:int,start:int,stop:int>>"
+    begin = F.struct(F.lit(0).alias("pos"), F.array().cast(open_).alias("open"), F.array().cast(done).alias("done"))
+    names = lambda tags_: F.array(*[F.lit(t) for t in tags_])
+
+    def closed(elements: Column, at: Column, pos: Column) -> Column:
+        kept = F.filter(elements, lambda x: x["tag"].isin(*ROWS))
+        return F.transform(kept, lambda x: F.struct(x["tag"].alias("tag"), x["at"].alias("first"), at.alias("last"),
+                                                    x["start"].alias("start"), pos.alias("stop")))
+
+    def step(state: Column, token: Column) -> Column:
+        stack, tag, pos = state["open"], token["tag"], state["pos"] + token["gap"]
+        table = F.coalesce(F.array_max(F.transform(stack, lambda x, k: F.when(x["tag"] == "table", k))), F.lit(-1))
+        ended = (F.when(tag.isin(*CELLS) & token["closing"], F.array(tag)).when(tag.isin(*CELLS), names(CELLS))
+                 .when(tag == "tr", names(ROWS)).otherwise(names(SECTIONS)))
+        inner = F.array_min(F.transform(stack, lambda x, k: F.when((k > table) & F.array_contains(ended, x["tag"]), k)))
+        whole = F.when(tag == "table", F.when(token["closing"] & (table >= 0), table)).otherwise(inner)
+        keep = F.coalesce(whole, F.size(stack))
+        pushed = F.when(token["closing"], F.array().cast(open_)).otherwise(
+            F.array(F.struct(tag.alias("tag"), token["at"].alias("at"), pos.alias("start"))))
+        popped = F.slice(stack, keep + 1, F.size(stack))
+        return F.struct(pos.alias("pos"), F.concat(F.slice(stack, F.lit(1), keep), pushed).alias("open"),
+                        F.concat(state["done"], closed(popped, token["at"], pos)).alias("done"))
+
+    return F.aggregate(tags, begin, step, lambda state: F.concat(
+        state["done"], closed(state["open"], F.size(tags), state["pos"] + end)))
+
+
+def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is worked out once: the optimiser doesn't copy a generator into what refers to it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def page_cells(pages: DataFrame, html: str, out: str) -> DataFrame:
+    """Adds all table rows of a page, each an array of cell texts. A row has the cells of tables inside it as well, a cell their text."""
+    pages = _held(pages, "_page", F.regexp_replace(F.regexp_replace(html, UNSEEN, ""), OTHER, ""))
+    pages = _held(pages, "_texts", F.transform(F.split("_page", TAG), decode_entities))
+    tags = F.transform(F.regexp_extract_all("_page", F.lit(TAG), F.lit(0)), lambda t, i: F.struct(
+        i.alias("at"), F.lower(F.regexp_extract(t, TAG, 1)).alias("tag"), F.startswith(t, F.lit("</")).alias("closing"),
+        F.length(F.get("_texts", i)).alias("gap")))
+    pages = _held(pages, "_tags", tags)
+    pages = _held(pages, "_spans", F.array_sort(F.transform(
+        _spans(F.col("_tags"), F.length(F.element_at("_texts", -1))),
+        lambda x: F.struct(x["first"], x["last"], x["start"], x["stop"], x["tag"]))))
+    pages = _held(pages, "_shown", F.array_join("_texts", ""))
+    cell = lambda x: F.struct(x["first"].alias("first"), S.strip(F.substr(
+        F.col("_shown"), x["start"] + 1, x["stop"] - x["start"])).alias("text"))
+    pages = _held(pages, "_cell", F.transform(F.filter("_spans", lambda x: x["tag"] != "tr"), cell))
+    cells = F.transform(F.filter("_spans", lambda x: x["tag"] == "tr"), lambda row: F.transform(
+        F.filter("_cell", lambda c: (c["first"] > row["first"]) & (c["first"] < row["last"])), lambda c: c["text"]))
+    return _held(pages, out, cells).drop("_page", "_texts", "_tags", "_spans", "_shown", "_cell")
 
 
 def report_rows(pages: DataFrame, names: DataFrame, spec: PanelSpec = CHILI, html: str = "html",
@@ -68,7 +121,7 @@ def report_rows(pages: DataFrame, names: DataFrame, spec: PanelSpec = CHILI, htm
     pages named in ``keep`` stay with their rows.
     """
     province, item = spec.keys
-    long = pages.select(item, *keep, page_cells(F.col(html)).alias("_cells"))
+    long = page_cells(pages.select(item, *keep, F.col(html).alias("_html")), "_html", "_cells").drop("_html")
     heads = F.filter("_cells", lambda row: (F.size(row) >= HEADER_CELLS) & (
         F.contains(F.get(row, F.lit(0)), F.lit(HEADER_WORD))
         | F.contains(F.get(row, F.lit(1)), F.lit(HEADER_WORD))))

@@ -229,6 +229,25 @@ def test_report_page_markup(spark):
     assert parsed(spark, "<!-- <tr><td>1</td><td>Bali</td><td>9</td></tr> --><script>'<tr>'</script>" + noisy) == PARSED
 
 
+@pytest.mark.parametrize("page", [
+    PAGE.replace("</tr></table>", ""), PAGE.replace("</tr></table>", "</table>"), PAGE.replace("</tr>", ""),
+    PAGE.replace("</td>", "").replace("</th>", ""), PAGE.replace("</td>", "").replace("</th>", "").replace("</tr>", ""),
+    "<table><tr><td>Menu<table><tr><td>x<td>y</table></td></tr></table>" + PAGE,
+    PAGE.replace("Aceh", "Aceh<table><tr></tr></table>").replace("<td>1</td>", "<td>1<p></td>"),
+    PAGE.replace("<table>", "<table title='a > b' data-x=\"<tr>\"><thead>").replace("<tr><td></td>", "<tbody><tr><td></td>"),
+    PAGE.replace("<td>45.000</td>", "</b></div><td>45.000</td></td></tbody>"),
+    PAGE + "</table></tr><!-- cut off", PAGE.replace("40.000", "40.<!-- </td> -->000").replace("<tr>", "<tr\n>")])
+def test_report_page_with_missing_or_implied_tags(spark, page):
+    """Row and cell ends that are missing, tables inside cells, tags in values and comments."""
+    assert parsed(spark, page) == PARSED
+
+
+def test_a_row_has_the_cells_of_tables_inside_it(spark):
+    inner = "<tr><td>a<table><tr><td>b</td><td>c<td>d</table>e</td><td>f</td></tr>"
+    rows = html.page_cells(spark.createDataFrame([(inner,), (None,), ("",)], "t string"), "t", "cells").collect()
+    assert [r.cells for r in rows] == [[["abcde", "b", "c", "d", "f"], ["b", "c", "d"]], None, []]
+
+
 def test_page_without_header_gives_nothing(spark):
     assert parsed(spark, PAGE.replace("Komoditas", "Barang"), "", "<p>") == set()
 
@@ -315,7 +334,7 @@ def test_a_folder_is_one_scan_per_kind_of_header(spark, tmp_path):
     rows = files._scan(spark, listed, usable, CHILI, False)
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan csv") == 2 and "FileScan text" not in plan and "Join" not in plan
-    assert rows.count() == 12
+    assert len(rows.collect()) == 12
 
 
 @pytest.mark.parametrize("n", [3, 1500])
