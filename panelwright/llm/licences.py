@@ -67,6 +67,11 @@ def _template_bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:])))
 
 
+def _held(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is worked out once a row: the optimiser doesn't copy a generator into what refers to it."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def scan(docs: DataFrame, templates=TEMPLATES, least: float = 0.9) -> DataFrame:
     """One row per unit that matches: doc_id, unit, position, template, licence, n_common, dice.
 
@@ -89,16 +94,21 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = 0.9) -> DataFrame:
                      several)
     units = docs.where(text.isNotNull()).select(
         F.col("doc_id").cast("long"), F.explode(F.concat(lines, paragraphs, whole)).alias("u")).select("doc_id", "u.*")
-    units = units.withColumn("grams", bigrams(words(F.col("text")))).drop("text")
+    units = _held(units, "_words", words(F.col("text"))).drop("text").where(F.size("_words") > 1)
+    units = _held(units, "grams", bigrams(F.col("_words"))).drop("_words")
     size = F.size("grams")
     ratio = (2 - least) / least
     units = units.where((size > 0) & (size <= most * ratio))
     fits = F.filter(known, lambda t: (F.size(t["grams"]) <= F.size("grams") * ratio) & (F.size("grams") <= F.size(t["grams"]) * ratio))
-    scored = F.transform(fits, lambda t: F.struct(
-        (-F.size(F.array_intersect("grams", t["grams"])) * 2.0 / (F.size("grams") + F.size(t["grams"]))).alias("order"),
-        t["template"].alias("template"), t["licence"].alias("licence"),
+    units = _held(units, "_fits", fits).where(F.size("_fits") > 0)
+    common = F.transform("_fits", lambda t: F.struct(
+        t["template"].alias("template"), t["licence"].alias("licence"), F.size(t["grams"]).alias("size"),
         F.size(F.array_intersect("grams", t["grams"])).alias("n_common")))
-    best = units.select("doc_id", "unit", "position", F.array_min(scored).alias("best")).where(F.col("best.order") <= -least)
+    scored = F.transform(F.col("_common"), lambda t: F.struct(
+        (-t["n_common"] * 2.0 / (F.size("grams") + t["size"])).alias("order"),
+        t["template"].alias("template"), t["licence"].alias("licence"), t["n_common"].alias("n_common")))
+    units = _held(_held(units, "_common", common), "best", F.array_min(scored))
+    best = units.select("doc_id", "unit", "position", "best").where(F.col("best.order") <= -least)
     return best.select("doc_id", "unit", "position", "best.template", "best.licence", "best.n_common",
                        F.round(-F.col("best.order"), 9).alias("dice"))
 
