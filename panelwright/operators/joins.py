@@ -21,17 +21,18 @@ def canonical_names(df: DataFrame, names: DataFrame, raw: str, out: str, column:
     return df.withColumn("_norm", S.normalize_name(F.col(raw))).join(official, "_norm", how).drop("_norm")
 
 
-def name_set(df: DataFrame, column: str) -> Column:
-    """The distinct values of a dimension column as one sorted array, computed inside the plan."""
-    return df.agg(F.sort_array(F.collect_set(column))).scalar()
+def dims_by_days(provinces: DataFrame, items: DataFrame | Column, days: Column, spec: PanelSpec = CHILI) -> DataFrame:
+    """Every province with every item on every day; ``days`` is an array, ``items`` a dimension or, for a few, an array.
 
-
-def dims_by_days(provinces: DataFrame, items: Column, days: Column, spec: PanelSpec = CHILI) -> DataFrame:
-    """Every province with every item on every day; ``items`` and ``days`` are arrays."""
+    The result has as many rows by definition; no task holds a whole dimension.
+    """
     province, item = spec.keys
-    return (provinces.select(province)
-            .withColumn(item, F.explode(items))
-            .withColumn(spec.time, F.explode(days)))
+    grid = provinces.select(province)
+    if isinstance(items, DataFrame):
+        grid = grid.crossJoin(items.select(item))
+    else:
+        grid = grid.withColumn(item, F.explode(items))
+    return grid.withColumn(spec.time, F.explode(days))
 
 
 def last_days(as_of: Column, days: int = 3) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelwright.functions import scalars as S
 from panelwright.operators.blocks import (
     BLOCK, across_blocks, attach, blocked, group, in_block, neighbours, positions)
+from panelwright.operators.quality import require_history_limit
 from panelwright.schema import LAG, TRAIN_SHARE
 from panelwright.spec import CHILI, PanelSpec
 
@@ -73,7 +74,8 @@ def window_rows(windows: DataFrame, spec: PanelSpec = CHILI) -> DataFrame:
 
 def price_history(df: DataFrame, spec: PanelSpec = CHILI, limit: int = 10,
                   case_insensitive: bool = False, **filters: str | None) -> DataFrame:
-    """Newest rows first, with optional equality filters on key columns; an empty filter is no filter."""
+    """Newest rows first, 1 to 100 of them, with optional equality filters on key columns; an empty filter is no filter."""
+    require_history_limit(limit)
     for column, value in filters.items():
         if value:
             df = df.filter(S.same_text(F.col(column), value, case_insensitive))

@@ -197,6 +197,15 @@ def long_enough_customers(spark, sf):
     return Q.long_enough(orders, 10, ORDERS.with_keys("o_custkey"))
 
 
+@query(POSITION_SQL + """ select region, priority, day, price, split from parted where (region, priority) in
+  (select (region, priority) from parted group by region, priority
+   having count(*) filter (where split = 'train') >= 365 and count(*) filter (where split = 'test') >= 157)""")
+def split_long_enough(spark, sf):
+    """The series both of whose parts have enough rows."""
+    rows = W.tidy(W.temporal_split(stored_panel(spark, sf), ORDERS))
+    return Q.split_long_enough(rows, ORDERS, train=365, test=157).drop("pos", "n")
+
+
 # --- gap filling --------------------------------------------------------------------------------
 
 def fill_sql(part: str) -> str:
@@ -601,7 +610,7 @@ def dims_cross_days(spark, sf):
     spec = ORDERS.with_keys("nation", "priority")
     names = table(spark, sf, "nation").select(F.col("n_name").alias("nation"))
     as_of = orders.agg(F.max("o_orderdate").cast("date")).scalar()
-    return J.dims_by_days(names, J.name_set(orders, "o_orderpriority"), J.last_days(as_of), spec)
+    return J.dims_by_days(names, priorities(spark, sf).withColumnRenamed("name", "priority"), J.last_days(as_of), spec)
 
 
 @query("""select n_name as nation, o_orderpriority as priority, day,
@@ -618,7 +627,7 @@ def simulated_panel(spark, sf):
     names = table(spark, sf, "nation").select(F.col("n_name").alias("nation"))
     as_of = orders.agg(F.max("o_orderdate").cast("date")).scalar()
     ranges = {"1-URGENT": (40_000, 80_000), "2-HIGH": (30_000, 55_000)}
-    return tables.simulated_panel(names, J.name_set(orders, "o_orderpriority"), as_of, 3, 42, spec, ranges)
+    return tables.simulated_panel(names, priorities(spark, sf).withColumnRenamed("name", "priority"), as_of, 3, 42, spec, ranges)
 
 
 @query(f"""

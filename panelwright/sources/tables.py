@@ -56,7 +56,7 @@ def price_range(item: Column, ranges: dict[str, tuple[int, int]] = PRICE_RANGES,
     return low, high
 
 
-def simulated_panel(provinces: DataFrame, items: Column, as_of: Column, days: int = 3, seed: int = 42,
+def simulated_panel(provinces: DataFrame, items: DataFrame | Column, as_of: Column, days: int = 3, seed: int = 42,
                     spec: PanelSpec = CHILI, ranges: dict[str, tuple[int, int]] = PRICE_RANGES) -> DataFrame:
     """Prices for the last days of every province and item, uniform in the item's range, marked as simulated.
 

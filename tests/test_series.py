@@ -250,3 +250,9 @@ def test_price_history_filters_only_by_given_values(spark):
     assert [r.v for r in W.price_history(df, SPEC, 3).collect()] == [2.0, 4.0, 1.0]
     assert [r.v for r in W.price_history(df, SPEC, 3, k="b").collect()] == [4.0, 3.0]
     assert W.price_history(df, SPEC, 3, k="").count() == 3
+
+
+@pytest.mark.parametrize("limit", [0, 101, -1])
+def test_price_history_has_its_limit(spark, limit):
+    with pytest.raises(ValueError, match="1 to 100"):
+        W.price_history(panel(spark, {"a": [1]}), SPEC, limit)
