@@ -48,11 +48,23 @@ class Tree:
         return node
 
     def search(self, queries: np.ndarray, own: np.ndarray, floor: np.ndarray, k: int):
-        """(query number, ids, scores) of each query's k best of at least its floor; ``own`` ids are left out."""
-        bounds = np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        """(query number, ids, scores) of each query's k best of at least its floor; ``own`` ids are left out.
+
+        Doubles multiply faster and are used where every sum is exact in them. Larger whole numbers are multiplied as
+        such, which is exact as long as the score itself fits; their bounds get room for rounding.
+        """
+        largest = np.maximum(np.abs(self.low), np.abs(self.high)).astype(float)
+        exact = largest.max(initial=0) * np.abs(queries).max(initial=0).astype(float) * queries.shape[1] < 1 << 53
+        points, low, high = queries.astype(float), self.low.astype(float), self.high.astype(float)
+        bounds = np.maximum(points, 0) @ high.T + np.minimum(points, 0) @ low.T
+        if exact:
+            queries, vectors = points, self.vectors.astype(float)
+        else:
+            vectors = self.vectors
+            bounds += 1e-12 * (np.abs(points) @ largest.T) + 1
         for number, (query, me) in enumerate(zip(queries, own)):
-            bound, kth = bounds[number], float(floor[number]) if floor[number] != NONE else -np.inf
-            ids, scores = np.zeros(0, np.int64), np.zeros(0)
+            bound, kth = bounds[number].tolist(), int(floor[number])
+            ids, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
             heap = [(-bound[0], 0)]
             while heap and -heap[0][0] >= kth:
                 node = heapq.heappop(heap)[1]
@@ -62,7 +74,7 @@ class Tree:
                             heapq.heappush(heap, (-bound[child], child))
                     continue
                 rows = self.rows[node]
-                score = self.vectors[rows] @ query
+                score = (vectors[rows] @ query).astype(np.int64)
                 fit = (score >= kth) & (self.ids[rows] != me)
                 if fit.any():
                     ids = np.concatenate((ids, self.ids[rows[fit]]))
@@ -71,15 +83,13 @@ class Tree:
                         best = np.lexsort((ids, -scores))[:k]
                         ids, scores = ids[best], scores[best]
                     if len(ids) == k:
-                        kth = max(kth, scores.min())
+                        kth = max(kth, int(scores.min()))
             yield number, ids, scores
 
 
 def _matrix(values: pa.ListArray) -> np.ndarray:
     flat = values.flatten().to_numpy(zero_copy_only=False)
-    flat = flat.reshape(len(values), -1)
-    # Doubles multiply faster; whole numbers use them where every sum is exact.
-    return flat.astype(np.float64)
+    return flat.reshape(len(values), -1)
 
 
 def _searcher(k: int, home: bool):
@@ -95,7 +105,7 @@ def _searcher(k: int, home: bool):
                 for number, ids, scores in tree.search(points, own, floor, k):
                     out["query_id"].append(np.full(len(ids), own[number]))
                     out["vec_id"].append(ids)
-                    out["score"].append(scores.astype(np.int64))
+                    out["score"].append(scores)
         return pa.table({c: pa.array(np.concatenate(v) if v else np.zeros(0, np.int64), pa.int64())
                          for c, v in out.items()})
     return run
@@ -112,15 +122,13 @@ def top_k(rows: DataFrame, k: int = 20, every: int = 20, scale: int = 64, per_sh
     ``rows`` has vec_id and embedding; components become floor(scale * x), scores are their inner products. Ties
     go to the smaller vec_id. Null vectors, empty ones and those with a null or non-finite component take no part, nor do
     rows with null vec_id; a query has only vectors of its own length as candidates, and none of its own vec_id. Of
-    rows that repeat a vec_id all are candidates, and the smallest vector is the query. Components beyond 2**20
-    in size are rejected with an error, as sums of doubles might not be exact. An empty table gives no rows.
+    rows that repeat a vec_id all are candidates, and the smallest vector is the query. Components may have any size as
+    long as scores fit a long. An empty table gives no rows.
     """
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where("vec_id is not null and size(embedding) > 0").where(~bad).select(
         F.col("vec_id").cast("long"), whole_vectors(rows, "embedding", scale).alias("vector"))
-    big = F.exists("vector", lambda x: F.abs(x) > 1 << 20)
-    rows = rows.withColumn("vector", F.when(big, F.raise_error(F.lit("component too large for exact sums"))).otherwise(
-        F.col("vector"))).withColumn("width", F.size("vector"))
+    rows = rows.withColumn("width", F.size("vector"))
     rows = store(rows, "vectors")
     shards = max(1, -(-rows.count() // per_shard))
     part = F.struct("width", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(shards)).alias("shard"))

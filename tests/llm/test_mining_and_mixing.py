@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright.llm import collocations, mixing, periodic
+from panelwright.llm import collocations, mixing, periodic, topk
 
 CLASHING = "doc_id long, text string, lang string, source string, word string, bucket long, part string, size int, f long"
 
@@ -274,3 +275,20 @@ def test_a_mix_of_nothing(spark):
     assert mixing.by_source(awkward(spark, [(1, "a", "en", "s")]).limit(0)).collect() == []
     only = mixing.by_source(awkward(spark, [(1, None, "en", "s")])).collect()
     assert [tuple(r) for r in only] == [(1, 0, 0, 0.0, 0)]
+
+
+# --- top k of large components -------------------------------------------------------------------
+
+@pytest.mark.parametrize("size", [1e6, 1.5e7])
+def test_components_of_any_size(spark, size):
+    """Beyond 2**53 sums of doubles are not exact; scores are, and ties of their roundings are told apart."""
+    rng = random.Random(int(size))
+    rows = [(i, [rng.choice([1, -1]) * rng.choice([size, size + rng.randint(0, 2) / 64, rng.random()]) for _ in range(6)])
+            for i in range(240)] + [(500, [20000.0] * 6)]
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in topk.top_k(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>"), per_shard=70).collect()}
+    whole = {i: [math.floor(64 * x) for x in v] for i, v in rows}
+    for q in whole:
+        if q % 20 == 0:
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], v)), i) for i, v in whole.items() if i != q)
+            assert [got[q, k + 1] for k in range(20)] == [(i, -s) for s, i in scores[:20]]
