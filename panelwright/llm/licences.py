@@ -52,7 +52,8 @@ TEMPLATES = (
 def words(text: Column) -> Column:
     """Lower-case words of ASCII letters and digits."""
     clean = F.trim(F.regexp_replace(F.translate(text, UPPER, LOWER), "[^a-z0-9]+", " "))
-    return F.filter(F.split(clean, " "), lambda w: w != "")
+    # Nothing but single blanks is left between words; a text without words is one empty one, which pairs with nothing.
+    return F.split(clean, " ")
 
 
 def bigrams(w: Column) -> Column:
@@ -94,10 +95,13 @@ def scan(docs: DataFrame, templates=TEMPLATES, least: float = 0.9) -> DataFrame:
                      several)
     units = docs.where(text.isNotNull()).select(
         F.col("doc_id").cast("long"), F.explode(F.concat(lines, paragraphs, whole)).alias("u")).select("doc_id", "u.*")
-    units = _held(units, "_words", words(F.col("text"))).drop("text").where(F.size("_words") > 1)
+    ratio = (2 - least) / least
+    fewest = min(len(_template_bigrams(t)) for _, t in templates)
+    # A unit has fewer distinct pairs than words, and all its distinct words but one end a pair of their own.
+    units = _held(units, "_words", words(F.col("text"))).drop("text").where(F.size("_words") > F.greatest(
+        F.lit(1.0), F.lit(fewest / ratio))).where(F.size(F.array_distinct("_words")) - 1 <= most * ratio)
     units = _held(units, "grams", bigrams(F.col("_words"))).drop("_words")
     size = F.size("grams")
-    ratio = (2 - least) / least
     units = units.where((size > 0) & (size <= most * ratio))
     fits = F.filter(known, lambda t: (F.size(t["grams"]) <= F.size("grams") * ratio) & (F.size("grams") <= F.size(t["grams"]) * ratio))
     units = _held(units, "_fits", fits).where(F.size("_fits") > 0)
