@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from panelwright.llm import decontaminate, lines, packing, toxicity
 from panelwright.llm.near_copies import near_copies
-from panelwright.session import store
+from panelwright.session import store_alone
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "byte_bpe_50k.json"
@@ -61,7 +61,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. A stage's inner tables go once its own is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), name)
+        docs = store_alone(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name)
     return docs

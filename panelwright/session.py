@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Paths of the tables stored since ``store_alone`` began, if it is at work.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def build_session(name: str = "panelwright", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are planned for.
@@ -65,11 +70,33 @@ def store(df: DataFrame, name: str) -> DataFrame:
     lives until ``release``.
     """
     path = f"{work_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    if _made.get() is not None:
+        _made.get().append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """Stores what ``make`` returns and removes the tables that were stored on the way, also if it fails."""
+    spark, found, token = SparkSession.getActiveSession(), [], _made.set([])
+    try:
+        result = store(make(), name)
+        found = _made.get()[-1:]
+        return result
+    finally:
+        inner = [path for path in _made.get() if path not in found]
+        _made.reset(token)
+        if _made.get() is not None:
+            _made.get().extend(found)
+        for path in inner:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Removes the application's intermediate tables; frames that still read them are no longer usable."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, work_dir(spark))

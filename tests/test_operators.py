@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from panelwright import schema
+from panelwright import schema, session
 from panelwright.operators import evaluate as E
 from panelwright.operators import joins as J
 from panelwright.operators import quality as Q
@@ -17,6 +17,7 @@ from panelwright.operators.series import latest_n
 from panelwright.operators.upsert import change_counts, keyless, merge_batch
 from panelwright.sources import files, html, sinks, tables
 from panelwright.sources.price_table import PriceTable
+from panelwright.sources.storage import Folder
 from panelwright.spec import CHILI, PanelSpec
 from panelwright.streaming import ingest as streams
 
@@ -464,3 +465,18 @@ def test_default_names_fit_the_price_table():
     assert CHILI.columns == ["provinsi", "jenis_cabai", "tanggal", "harga"]
     assert len(schema.PROVINCES) == 34 and list(schema.PROVINCES) == sorted(schema.PROVINCES)
     assert list(schema.COMMODITIES) == sorted(schema.COMMODITIES)
+
+
+def test_tables_stored_on_the_way_go(spark):
+    def make():
+        inner = session.store(spark.range(5), "inner")
+        return inner.union(session.store_alone(lambda: session.store(inner, "deep").where("id > 3"), "middle"))
+
+    folder = Folder(spark, session.work_dir(spark))
+    before = set(folder.names())
+    rows = session.store_alone(make, "outer")
+    assert sorted(r.id for r in rows.collect()) == [0, 1, 2, 3, 4, 4]
+    assert [name.split("-")[0] for name in set(folder.names()) - before] == ["outer"]
+    with pytest.raises(ZeroDivisionError):
+        session.store_alone(lambda: session.store(spark.range(1), "lost") and 1 / 0, "never")
+    assert [name.split("-")[0] for name in set(folder.names()) - before] == ["outer"]
