@@ -4,34 +4,42 @@ A line is the set of its words (white space parts them, case doesn't count). It
 place in the text - has the same set or one of Jaccard similarity of at least ``percent``. Lines are judged on the
 input, not on what is left; lines without words stay.
 
-1. Words are counted over all texts in 2**18 hashed buckets, a table of fixed size. A line's words are ordered
-   by rarity: by the bucket's count, then by hash. Any one order for all lines gives the right result; rare words
-   first makes it fast.
+1. Words are counted over all texts in 2**24 hashed buckets, one byte each: a table of fixed size. A line's words are
+   ordered by rarity: by the bucket's count, then by hash. Any one order for all lines gives the right result; rare
+   words first makes it fast.
 2. Lines of equal text are one from here on; its place is its earliest one. The distinct lines with their words' codes
    are kept in memory, or on the executors' disks, partitioned by line; what is lost is made again.
 3. Prefix filter: two similar sets share a word among the first n - ceil(t n) + 1 of each. Lines meet at these
-   words; the length filter, the positional filter (what can still be shared after the meeting word) and a 64-bit
-   sketch (every bit in which two sketches differ is a word that one set lacks) thin the pairs out; the rest is
-   checked on the whole sets.
-4. A line needs one earlier match only. So lines first meet the earliest line of their rarest words. Those that
-   match are settled, and pairs of two settled lines are not formed: a large group of near copies costs a few
-   pairs for each.
-
-Words of a pair are compared by 31-bit codes, lines told apart by two 64-bit hashes. Lines whose first hash
+   words; the length filter, the positional filter (what can still be shared after the meeting word) and a 96-bit
+   sketch thin the pairs out. A bit of the sketch is the parity of the words that hash to it, so every bit in which two
+   sketches differ is a word that one set lacks, and long lines don't fill it. The rest is checked on the whole sets.
+   Words that occur once in all texts meet none and are left out.
+4. Only lines that met one they may be similar to go on, most often few. A line needs one earlier match only. So, in
+   three rounds, lines first meet the earliest unsettled line of each word, and the one with the nearest sketch is
+   checked. Those that match are settled, and no more pairs are formed for a settled line as the later one: a large
+   group of near copies costs a few pairs for each.
+
+Words of a pair are compared by 56-bit hashes, lines told apart by two 64-bit hashes. Lines whose first hash
 collides are kept rather than removed.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.session import store
 
-BITS = 18
+BITS, CHUNK = 24, 1024
+LEVELS = 4.2
+ONCE = int(math.log1p(1) * LEVELS)
+AT, MOST = 12, (1 << 20) - 1
 BLANK = r"[\x20\x09-\x0D]+"
-LEADS = 2
+ROUNDS = 3
 
 
 def words(text: Column) -> Column:
@@ -43,13 +51,25 @@ def _bucket(h: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """An array of a rank by bucket of words, rising with how often they occur in ``docs``; one value for a query."""
+    """An array of a rank by bucket of words, rising with how often they occur in ``docs``; one value for a query.
+
+    A rank is a byte. ``ONCE`` is the rank of buckets with one word that occurs once, and of no others.
+    """
     spark = docs.sparkSession
+    zeros = lambda n: F.array_repeat(F.lit(0).cast("byte"), n)
     found = docs.select(F.explode(words(F.col("text"))).alias("word")).where("word <> ''").groupBy(
         _bucket(F.xxhash64("word")).alias("id")).count()
-    full = spark.range(1 << BITS).join(found, "id", "left")
-    return full.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("count", F.lit(0)).alias("n")))),
-                                lambda x: F.floor(F.log1p(x["n"]) * 600).cast("int"))).scalar()
+    sparse = found.groupBy(F.floor(F.col("id") / CHUNK).alias("chunk")).agg(F.sort_array(F.collect_list(F.struct(
+        (F.col("id") % CHUNK).cast("int").alias("at"),
+        F.least(F.floor(F.log1p("count") * LEVELS), F.lit(127)).cast("byte").alias("rank")))).alias("x"))
+
+    def filled(x: Column, i: Column) -> Column:
+        after = F.coalesce(F.get("x", i + 1)["at"], F.lit(CHUNK))
+        return F.concat(F.array(x["rank"]), zeros(after - x["at"] - 1))
+    dense = sparse.select("chunk", F.concat(zeros(F.get("x", F.lit(0))["at"]), F.flatten(F.transform("x", filled))).alias("ranks"))
+    full = spark.range((1 << BITS) // CHUNK).join(dense, F.col("id") == F.col("chunk"), "left")
+    return full.agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("ranks", zeros(F.lit(CHUNK))).alias("r")))),
+                                          lambda x: x["r"]))).scalar()
 
 
 def numbered(docs: DataFrame) -> DataFrame:
@@ -61,25 +81,22 @@ def numbered(docs: DataFrame) -> DataFrame:
 
 
 def distinct_lines(lines: DataFrame, ranks: Column) -> DataFrame:
-    """(id, place, sure, codes, n, sketch, wide0..3) of every distinct line; ``codes`` are its words', rarest first."""
-    hashes = F.array_distinct(F.transform(words(F.col("line")), lambda w: F.xxhash64(w)))
-    keys = F.transform("hashes", lambda h: F.shiftleft(F.get("ranks", _bucket(h).cast("int")).cast("long"), 48).bitwiseOR(
-        F.shiftrightunsigned(h, 16)))
-    codes = F.transform(F.sort_array(keys), lambda k: k.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    """(id, place, sure, codes, sketch0, sketch1) of every distinct line; ``codes`` are its words', rarest first."""
+    found = lines.select("id", F.struct("doc_id", "text_hash", "line_no").alias("place"),
+                         F.xxhash64(F.lit(1), "line").alias("check"), "line").groupBy("id").agg(
+        F.min("place").alias("place"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("line").alias("line"))
+    hashes = F.transform(words(F.col("line")), lambda w: F.xxhash64(w))
+    codes = F.sort_array(F.array_distinct(F.transform("hashes", lambda h: F.shiftleft(
+        F.get("ranks", _bucket(h).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))))
     # The one value of ranks is merged into the expression that uses it; as a column it would be copied per line.
-    lines = lines.withColumn("hashes", hashes).withColumn("ranks", ranks).select(
-        "id", "doc_id", "text_hash", "line_no", F.xxhash64(F.lit(1), "line").alias("check"), codes.alias("codes"))
-    found = lines.groupBy("id").agg(
-        F.min(F.struct("doc_id", "text_hash", "line_no")).alias("place"), F.min("check").alias("low"),
-        F.max("check").alias("high"), F.first("codes").alias("codes"))
-    def bits(codes: Column) -> Column:
-        return F.aggregate(codes, F.lit(0).cast("long"), lambda x, c: x.bitwiseOR(
-            F.call_function("shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)))))
+    found = found.withColumn("hashes", hashes).withColumn("ranks", ranks).select(
+        "id", "place", (F.col("low") == F.col("high")).alias("sure"), codes.alias("codes"))
 
-    def quarter(i: int) -> Column:
-        return bits(F.filter("codes", lambda c: F.shiftright(c, 6).bitwiseAND(F.lit(3)) == i)).alias(f"wide{i}")
-    return found.select("id", "place", (F.col("low") == F.col("high")).alias("sure"), "codes",
-                        F.size("codes").alias("n"), bits(F.col("codes")).alias("sketch"), *map(quarter, range(4)))
+    def parity(half: int) -> Column:
+        return F.aggregate("codes", F.lit(0).cast("long"), lambda x, c: F.when(
+            c.bitwiseAND(F.lit(64)) == 64 * half, x.bitwiseXOR(F.call_function(
+                "shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int")))).otherwise(x))
+    return found.select("*", parity(0).alias("sketch0"), parity(1).alias("sketch1"))
 
 
 def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -106,22 +123,23 @@ def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
 
 def _similar_to_earlier(sets: DataFrame, percent: int) -> DataFrame:
     """(id) of the lines that are similar to a line of an earlier place."""
-    def alike(n, m, x, y):
-        # Sets that are similar differ in few words for their size.
-        return ((100 * F.least(n, m) >= percent * F.greatest(n, m))
-                & ((100 + percent) * F.bit_count(x.bitwiseXOR(y)) <= (100 - percent) * (n + m)))
+
+    def alike(a: str, b: str) -> Column:
+        """Whether lines with notes and sketches of suffixes ``a`` and ``b`` can be similar, as far as these tell."""
+        n, m = (F.shiftright(f"note{s}", AT).bitwiseAND(F.lit(MOST)) for s in (a, b))
+        left = F.least(*(k - F.col(f"note{s}").bitwiseAND(F.lit((1 << AT) - 1)) for k, s in ((n, a), (m, b))))
+        bits = F.bit_count(F.col(f"sketch{a}").bitwiseXOR(F.col(f"sketch{b}"))) + F.bit_count(
+            F.shiftrightunsigned(F.col(f"note{a}").bitwiseXOR(F.col(f"note{b}")), 32))
+        # Sets that are similar differ in few words for their size and share enough from the meeting word on.
+        fits = ((100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * bits <= (100 - percent) * (n + m))
+                & ((100 + percent) * left >= percent * (n + m)))
+        return fits | (F.greatest(n, m) == MOST)
+
+    def named(rows: DataFrame, s: str, *columns: str) -> DataFrame:
+        return rows.select("word", *(F.col(c).alias(c + s) for c in columns))
 
     def later(pairs: DataFrame) -> DataFrame:
-        """Of each pair (a, b) of lines that is similar, the line of the later place.
-
-        Long sets fill a 64-bit sketch, so pairs first meet sketches of 256 bits; few go on to the whole sets.
-        """
-        wide = [f"wide{i}" for i in range(4)]
-        x = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), *(F.col(c).alias(f"{c}_a") for c in wide))
-        y = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), *(F.col(c).alias(f"{c}_b") for c in wide))
-        differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in wide), F.lit(0))
-        pairs = pairs.join(x, "a").join(y, "b").where(
-            (100 + percent) * differ <= (100 - percent) * (F.col("n_a") + F.col("n_b"))).select("a", "b")
+        """Of each pair (a, b) of lines that is similar, the line of the later place."""
         a = sets.select(F.col("id").alias("a"), F.col("place").alias("place_a"), F.col("codes").alias("codes_a"))
         b = sets.select(F.col("id").alias("b"), F.col("place").alias("place_b"), F.col("codes").alias("codes_b"))
         both = pairs.join(a, "a").join(b, "b")
@@ -130,36 +148,38 @@ def _similar_to_earlier(sets: DataFrame, percent: int) -> DataFrame:
         return both.where(100 * common >= percent * (size - common)).select(
             F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct()
 
-    rare = sets.select("id", F.col("place.doc_id").alias("doc_id"), F.col("place.line_no").alias("line_no"), "n", "sketch",
-                       F.explode(F.slice("codes", 1, LEADS)).alias("word"))
-    lead = rare.groupBy("word").agg(F.min(F.struct("doc_id", "line_no", "id", "n", "sketch")).alias("x")).select(
-        "word", F.col("x.id").alias("a"), F.col("x.n").alias("n_a"), F.col("x.sketch").alias("sketch_a"))
-    settled = store(later(rare.join(lead, "word").where(
-        (F.col("a") != F.col("id")) & alike(F.col("n"), F.col("n_a"), F.col("sketch"), F.col("sketch_a"))).select(
-        "a", F.col("id").alias("b")).distinct()), "settled")
-
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100).cast("int") + 1
-    marked = sets.join(settled.withColumn("settled", F.lit(True)), "id", "left").select(
-        "id", "n", "sketch", F.col("settled").isNull().cast("int").alias("open"),
-        F.slice("codes", F.lit(1), prefix).alias("first"))
-    # n, place of the word and whether the line is settled, in one number.
-    note = F.shiftleft(F.col("n").cast("long"), 32) + F.shiftleft(F.col("at").cast("long"), 1) + F.col("open").cast("long")
-    meeting = marked.select("id", "n", "sketch", "open", F.posexplode("first").alias("at", "word")).select(
-        "word", "id", note.alias("note"), "sketch")
+    n = F.size("codes")
+    prefix = F.slice("codes", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
+    first = F.filter(F.transform(prefix, lambda c, i: F.struct(c.alias("word"), F.least(i, F.lit((1 << AT) - 1)).alias("at"))),
+                     lambda x: F.shiftright(x["word"], 56) != ONCE)
+    # Half a sketch, the set's size and the word's place in one number. A place beyond its bits counts as an earlier one.
+    note = F.shiftleft("sketch1", 32).bitwiseOR(F.shiftleft(F.least(F.col("n"), F.lit(MOST)).cast("long"), AT)).bitwiseOR(F.col("x.at").cast("long"))
+    meeting = sets.select("id", n.alias("n"), "sketch0", "sketch1", F.explode(first).alias("x")).select(
+        "x.word", "id", F.col("sketch0").alias("sketch"), note.alias("note"))
     # Dealt once and kept, as Spark would deal the same rows out for either side of the join.
     partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    meeting = meeting.repartition(partitions, "word").persist(StorageLevel.MEMORY_AND_DISK)
-    a, b = (meeting.select("word", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "note", "sketch"))) for s in "ab")
-    n_a, n_b = (F.shiftright(f"note_{s}", 32) for s in "ab")
-    at_a, at_b = (F.shiftright(F.col(f"note_{s}").bitwiseAND(F.lit((1 << 32) - 1)), 1) for s in "ab")
-    either = F.col("note_a").bitwiseOR(F.col("note_b")).bitwiseAND(F.lit(1)) == 1
-    pairs = a.join(b, "word").where(
-        (F.col("id_a") < F.col("id_b")) & either & alike(n_a, n_b, F.col("sketch_a"), F.col("sketch_b"))
-        & ((100 + percent) * F.least(n_a - at_a, n_b - at_b) >= percent * (n_a + n_b))).select(
-        F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-    out = store(settled.union(later(pairs)).distinct(), "similar")
+    meeting = meeting.repartition(partitions, "word").sortWithinPartitions("word").persist(StorageLevel.MEMORY_AND_DISK)
+    columns = ("id", "sketch", "note")
+    a, b = named(meeting, "_a", *columns), named(meeting, "_b", *columns)
+    # Most lines are like no other. From here on there are only rows that met one they may be similar to.
+    met = store(a.join(b.withColumnRenamed("word", "other"), (F.col("word") == F.col("other")) & (F.col("id_a") != F.col("id_b"))
+                       & alike("_a", "_b"), "left_semi").join(
+        sets.select(F.col("id").alias("id_a"), "place"), "id_a"), "met")
     meeting.unpersist()
-    return out
+
+    open_rows, found = met, []
+    for _ in range(ROUNDS):
+        lead = open_rows.groupBy("word").agg(F.min(F.struct("place", "id_a", "sketch_a", "note_a")).alias("x")).select(
+            "word", *(F.col(f"x.{c}_a").alias(f"{c}_b") for c in columns))
+        nearest = open_rows.join(lead, "word").where((F.col("id_a") != F.col("id_b")) & alike("_a", "_b")).groupBy("id_a").agg(
+            F.min(F.struct(F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))).alias("bits"), "id_b")).alias("x")).select(
+            F.col("id_a").alias("b"), F.col("x.id_b").alias("a"))
+        found.append(store(later(nearest), "settled"))
+        open_rows = store(open_rows.join(found[-1].withColumnRenamed("id", "id_a"), "id_a", "left_anti"), "open")
+    earlier = named(met.withColumnsRenamed({f"{c}_a": c for c in columns}), "_b", *columns, "place")
+    pairs = open_rows.join(earlier, "word").where((F.col("place_b") < F.col("place")) & alike("_a", "_b")).select(
+        F.col("id_b").alias("a"), F.col("id_a").alias("b")).distinct()
+    return store(reduce(DataFrame.union, [*found, later(pairs)]).distinct(), "similar")
 
 
 def without_repeats(docs: DataFrame, percent: int = 80, drop_emptied: bool = False) -> DataFrame:
