@@ -39,7 +39,7 @@ LEVELS = 4.2
 ONCE = int(math.log1p(1) * LEVELS)
 AT, MOST = 12, (1 << 20) - 1
 BLANK = r"[\x20\x09-\x0D]+"
-ROUNDS = 3
+ROUNDS, WIDE = 3, 4
 
 
 def words(text: Column) -> Column:
@@ -80,23 +80,26 @@ def numbered(docs: DataFrame) -> DataFrame:
         F.btrim("line", F.lit(" \t\x0b\x0c\r")) != "").withColumn("id", F.xxhash64("line"))
 
 
+def parity(codes: str, part: int, parts: int) -> Column:
+    """64 bits, each the parity of the words that hash to it, of one of ``parts`` parts of the words."""
+    return F.aggregate(codes, F.lit(0).cast("long"), lambda x, c: F.when(
+        F.shiftright(c, 6).bitwiseAND(F.lit(parts - 1)) == part, x.bitwiseXOR(F.call_function(
+            "shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int")))).otherwise(x))
+
+
 def distinct_lines(lines: DataFrame, ranks: Column) -> DataFrame:
     """(id, place, sure, codes, sketch0, sketch1) of every distinct line; ``codes`` are its words', rarest first."""
     found = lines.select("id", F.struct("doc_id", "text_hash", "line_no").alias("place"),
                          F.xxhash64(F.lit(1), "line").alias("check"), "line").groupBy("id").agg(
         F.min("place").alias("place"), F.min("check").alias("low"), F.max("check").alias("high"), F.first("line").alias("line"))
-    hashes = F.transform(words(F.col("line")), lambda w: F.xxhash64(w))
-    codes = F.sort_array(F.array_distinct(F.transform("hashes", lambda h: F.shiftleft(
-        F.get("ranks", _bucket(h).cast("int")).cast("long"), 56).bitwiseOR(F.shiftrightunsigned(h, 8)))))
+    # Codes are never null, so that Spark sorts them as plain numbers.
+    codes = F.sort_array(F.array_distinct(F.transform(words(F.col("line")), lambda w: F.shiftleft(F.coalesce(
+        F.get("ranks", _bucket(F.xxhash64(w)).cast("int")), F.lit(0).cast("byte")).cast("long"), 56).bitwiseOR(
+        F.shiftrightunsigned(F.xxhash64(w), 8)))))
     # The one value of ranks is merged into the expression that uses it; as a column it would be copied per line.
-    found = found.withColumn("hashes", hashes).withColumn("ranks", ranks).select(
+    found = found.withColumn("ranks", ranks).select(
         "id", "place", (F.col("low") == F.col("high")).alias("sure"), codes.alias("codes"))
-
-    def parity(half: int) -> Column:
-        return F.aggregate("codes", F.lit(0).cast("long"), lambda x, c: F.when(
-            c.bitwiseAND(F.lit(64)) == 64 * half, x.bitwiseXOR(F.call_function(
-                "shiftleft", F.lit(1).cast("long"), c.bitwiseAND(F.lit(63)).cast("int")))).otherwise(x))
-    return found.select("*", parity(0).alias("sketch0"), parity(1).alias("sketch1"))
+    return found.select("*", parity("codes", 0, 2).alias("sketch0"), parity("codes", 1, 2).alias("sketch1"))
 
 
 def removed_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
@@ -164,20 +167,26 @@ def _similar_to_earlier(sets: DataFrame, percent: int) -> DataFrame:
     # Most lines are like no other. From here on there are only rows that met one they may be similar to.
     met = store(a.join(b.withColumnRenamed("word", "other"), (F.col("word") == F.col("other")) & (F.col("id_a") != F.col("id_b"))
                        & alike("_a", "_b"), "left_semi").join(
-        sets.select(F.col("id").alias("id_a"), "place"), "id_a"), "met")
+        sets.select(F.col("id").alias("id_a"), "place", "codes"), "id_a").select(
+        "word", "id_a", "sketch_a", "note_a", "place", *(parity("codes", i, WIDE).alias(f"wide{i}") for i in range(WIDE))), "met")
     meeting.unpersist()
 
+    # Few lines are left, so wider sketches cost little now.
+    wide = [f"wide{i}" for i in range(WIDE)]
+    bits = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in wide), F.lit(0))
+    n, m = (F.shiftright(f"note{s}", AT).bitwiseAND(F.lit(MOST)) for s in ("_a", "_b"))
+    near = alike("_a", "_b") & (((100 + percent) * bits <= (100 - percent) * (n + m)) | (F.greatest(n, m) == MOST))
     open_rows, found = met, []
     for _ in range(ROUNDS):
-        lead = open_rows.groupBy("word").agg(F.min(F.struct("place", "id_a", "sketch_a", "note_a")).alias("x")).select(
-            "word", *(F.col(f"x.{c}_a").alias(f"{c}_b") for c in columns))
-        nearest = open_rows.join(lead, "word").where((F.col("id_a") != F.col("id_b")) & alike("_a", "_b")).groupBy("id_a").agg(
-            F.min(F.struct(F.bit_count(F.col("sketch_a").bitwiseXOR(F.col("sketch_b"))).alias("bits"), "id_b")).alias("x")).select(
+        lead = open_rows.groupBy("word").agg(F.min(F.struct("place", "id_a", "sketch_a", "note_a", *wide)).alias("x")).select(
+            "word", *(F.col(f"x.{c}_a").alias(f"{c}_b") for c in columns), *(F.col(f"x.{c}").alias(f"{c}_b") for c in wide))
+        nearest = open_rows.join(lead, "word").where((F.col("id_a") != F.col("id_b")) & near).groupBy("id_a").agg(
+            F.min(F.struct(bits.alias("bits"), "id_b")).alias("x")).select(
             F.col("id_a").alias("b"), F.col("x.id_b").alias("a"))
         found.append(store(later(nearest), "settled"))
         open_rows = store(open_rows.join(found[-1].withColumnRenamed("id", "id_a"), "id_a", "left_anti"), "open")
-    earlier = named(met.withColumnsRenamed({f"{c}_a": c for c in columns}), "_b", *columns, "place")
-    pairs = open_rows.join(earlier, "word").where((F.col("place_b") < F.col("place")) & alike("_a", "_b")).select(
+    earlier = named(met.withColumnsRenamed({f"{c}_a": c for c in columns}), "_b", *columns, "place", *wide)
+    pairs = open_rows.join(earlier, "word").where((F.col("place_b") < F.col("place")) & near).select(
         F.col("id_b").alias("a"), F.col("id_a").alias("b")).distinct()
     return store(reduce(DataFrame.union, [*found, later(pairs)]).distinct(), "similar")
 

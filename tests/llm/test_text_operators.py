@@ -181,6 +181,28 @@ def test_line_dedup_equals_the_plain_one(spark):
     assert lines.report(empty(spark)).count() == 0
 
 
+def test_line_dedup_is_exact_for_sets_beyond_the_packed_sizes(spark, monkeypatch):
+    monkeypatch.setattr(lines, "AT", 2)
+    monkeypatch.setattr(lines, "MOST", 15)
+    rng = random.Random(10)
+    base = [[f"w{rng.randint(0, 400)}" for _ in range(rng.randint(8, 60))] for _ in range(12)]
+    rows = []
+    for i in range(90):
+        own = list(rng.choice(base))
+        for _ in range(rng.randint(0, len(own) // 5)):
+            own[rng.randrange(len(own))] = f"w{rng.randint(0, 400)}"
+        rows.append((i, " ".join(own)))
+    got = lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, 0) for r in got if r.n_removed} == plain_lines(rows)
+
+
+def test_line_dedup_of_a_group_of_near_copies_with_own_rare_words(spark):
+    base = [f"b{i}" for i in range(30)]
+    rows = [(i, " ".join(base[:i % 30] + [f"own{i}", f"mine{i}"][:1 + i % 2] + base[i % 30 + 1:])) for i in range(300)]
+    got = lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, 0) for r in got if r.n_removed} == plain_lines(rows)
+
+
 def test_line_dedup_rewrites_texts(spark):
     same = "the same long line of words"
     df = spark.createDataFrame([(1, f"{same}\nown", "a"), (2, f"x\n{same.upper()}\n\ny", "b"), (3, same, "c"), (4, None, "d"),
