@@ -4,7 +4,7 @@ A line is the set of its words (white space parts them, case doesn't count). It
 place in the text - has the same set or one of Jaccard similarity of at least ``percent``. Lines are judged on the
 input, not on what is left; lines without words stay.
 
-1. Words are counted over all texts in 2**24 hashed buckets, one byte each: a table of fixed size. A line's words are
+1. Words are counted over all texts in 2**22 hashed buckets, one byte each: a table of fixed size. A line's words are
    ordered by rarity: by the bucket's count, then by hash. Any one order for all lines gives the right result; rare
    words first makes it fast.
 2. Lines of equal text are one from here on; its place is its earliest one. The distinct lines with their words' codes
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from panelwright.session import store
 
-BITS, CHUNK = 24, 1024
+BITS, CHUNK = 22, 1024
 LEVELS = 4.2
 ONCE = int(math.log1p(1) * LEVELS)
 AT, MOST = 12, (1 << 20) - 1
@@ -141,16 +141,6 @@ def _similar_to_earlier(sets: DataFrame, percent: int) -> DataFrame:
     def named(rows: DataFrame, s: str, *columns: str) -> DataFrame:
         return rows.select("word", *(F.col(c).alias(c + s) for c in columns))
 
-    def later(pairs: DataFrame) -> DataFrame:
-        """Of each pair (a, b) of lines that is similar, the line of the later place."""
-        a = sets.select(F.col("id").alias("a"), F.col("place").alias("place_a"), F.col("codes").alias("codes_a"))
-        b = sets.select(F.col("id").alias("b"), F.col("place").alias("place_b"), F.col("codes").alias("codes_b"))
-        both = pairs.join(a, "a").join(b, "b")
-        common = F.size(F.array_intersect("codes_a", "codes_b"))
-        size = F.size("codes_a") + F.size("codes_b")
-        return both.where(100 * common >= percent * (size - common)).select(
-            F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct()
-
     n = F.size("codes")
     prefix = F.slice("codes", F.lit(1), n - F.ceil(n * percent / 100).cast("int") + 1)
     first = F.filter(F.transform(prefix, lambda c, i: F.struct(c.alias("word"), F.least(i, F.lit((1 << AT) - 1)).alias("at"))),
@@ -165,11 +155,22 @@ def _similar_to_earlier(sets: DataFrame, percent: int) -> DataFrame:
     columns = ("id", "sketch", "note")
     a, b = named(meeting, "_a", *columns), named(meeting, "_b", *columns)
     # Most lines are like no other. From here on there are only rows that met one they may be similar to.
-    met = store(a.join(b.withColumnRenamed("word", "other"), (F.col("word") == F.col("other")) & (F.col("id_a") != F.col("id_b"))
-                       & alike("_a", "_b"), "left_semi").join(
-        sets.select(F.col("id").alias("id_a"), "place", "codes"), "id_a").select(
-        "word", "id_a", "sketch_a", "note_a", "place", *(parity("codes", i, WIDE).alias(f"wide{i}") for i in range(WIDE))), "met")
+    rows = store(a.join(b.withColumnRenamed("word", "other"), (F.col("word") == F.col("other")) & (F.col("id_a") != F.col("id_b"))
+                        & alike("_a", "_b"), "left_semi"), "met")
     meeting.unpersist()
+    known = store(sets.join(rows.select(F.col("id_a").alias("id")).distinct(), "id", "left_semi").select(
+        "id", "place", "codes", *(parity("codes", i, WIDE).alias(f"wide{i}") for i in range(WIDE))), "known")
+    met = rows.join(known.drop("codes").withColumnRenamed("id", "id_a"), "id_a")
+
+    def later(pairs: DataFrame) -> DataFrame:
+        """Of each pair (a, b) of lines that is similar, the line of the later place."""
+        a = known.select(F.col("id").alias("a"), F.col("place").alias("place_a"), F.col("codes").alias("codes_a"))
+        b = known.select(F.col("id").alias("b"), F.col("place").alias("place_b"), F.col("codes").alias("codes_b"))
+        both = pairs.join(a, "a").join(b, "b")
+        common = F.size(F.array_intersect("codes_a", "codes_b"))
+        size = F.size("codes_a") + F.size("codes_b")
+        return both.where(100 * common >= percent * (size - common)).select(
+            F.when(F.col("place_a") > F.col("place_b"), F.col("a")).otherwise(F.col("b")).alias("id")).distinct()
 
     # Few lines are left, so wider sketches cost little now.
     wide = [f"wide{i}" for i in range(WIDE)]
