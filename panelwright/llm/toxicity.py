@@ -14,6 +14,9 @@ number. Texts go in packs; a pack asks once for each of its distinct runs. All t
 needs is counted from runs with the same two bytes before the last, so runs and counts meet in ``SHARDS`` groups by
 these bytes, and only the shared probabilities after at most one byte, 2**16 values, are the same for all. The
 answers go back to the pack. Groups that many packs ask are split, so none holds more than ``ASKERS`` packs' runs.
+
+Packs are by far the most of what is stored. They lie in buckets by their number, so labels and answers come to them
+and they are never dealt out again, and a task holds one at a time.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm import textbytes as T
-from panelwright.session import store
+from panelwright.session import store, store_dealt
 
 U64 = np.uint64
 ORDER = 7
@@ -50,11 +53,11 @@ def _distinct(data: np.ndarray, words: T.Words):
     return value, out, offsets, index
 
 
-def _pressed(values: np.ndarray) -> bytes:
+def _pressed(values: np.ndarray, level: int = 3) -> bytes:
     """Numbers as differences, byte by byte, compressed."""
     values = np.diff(values, prepend=values.dtype.type(0)) if values.dtype.kind == "i" else values
     raw = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
-    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+    return len(raw).to_bytes(8, "little") + (pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True) if raw else b"")
 
 
 def _restored(data: bytes, dtype) -> np.ndarray:
@@ -68,13 +71,18 @@ def _restored(data: bytes, dtype) -> np.ndarray:
 
 def _runs(data: np.ndarray, offsets: np.ndarray):
     """The longest run that ends at each place but a word's first, and the word of each place."""
-    begin = np.repeat(offsets[:-1], np.diff(offsets))
-    places = np.flatnonzero(np.arange(len(data)) != begin)
-    size = np.minimum(places - begin[places] + 1, ORDER)
-    run = size << 56
-    for n in range(ORDER):
-        run |= np.where(n < size, data[np.maximum(places - n, 0)].astype(np.int64) << (8 * n), 0)
-    return run, np.searchsorted(offsets, places, "right") - 1
+    size = np.diff(offsets)
+    depth = np.minimum(np.arange(len(data)) - np.repeat(offsets[:-1], size), ORDER).astype(np.int8)
+    run = np.minimum(depth + 1, ORDER).astype(np.int64)
+    run <<= 56
+    run |= data
+    for n in range(1, min(ORDER, len(data))):
+        part = data[:-n].astype(np.int64)
+        part <<= 8 * n
+        part[depth[n:] < n] = 0
+        run[n:] |= part
+    inner = depth > 0
+    return run[inner], np.repeat(np.arange(len(size), dtype=np.int32), size)[inner]
 
 
 def _cut(run: np.ndarray, length: int) -> np.ndarray:
@@ -91,13 +99,25 @@ def _by_shard(run: np.ndarray):
     return value[order], place[index], np.searchsorted(shard[order], np.arange(SHARDS + 1))
 
 
-PACKS = "doc_ids array<long>, sizes binary, spelt binary, places binary, index binary"
+PACKS = "doc_ids array<long>, sizes binary, spelt binary, index binary, rare binary"
+COMMON = 255
+
+
+def _begins(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each word, as a number that sorts like them."""
+    out = np.zeros(len(start), U64)
+    for k in range(8):
+        out <<= U64(8)
+        inside = np.flatnonzero(length > k)
+        out[inside] |= data[start[inside] + k]
+    return out
 
 
 def packs(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` (doc_id, text), about ``PACK`` bytes of text in each pack.
 
-    A pack has the number of words of each row, its distinct words, and the number of each word among them.
+    A pack has the number of words of each row, its distinct words, and the number of each word among them: common
+    words come first, so one byte tells most of them, and others, by their spelling, are told by ``rare``.
     """
 
     def pack(parts):
@@ -106,15 +126,22 @@ def packs(docs: DataFrame) -> DataFrame:
         _, first, among = np.unique(np.concatenate(values), return_index=True, return_inverse=True)
         length, data = np.concatenate(lengths), np.concatenate(spelt)
         start = np.cumsum(length) - length
-        places = np.concatenate(([0], np.cumsum(length[first])))
-        data = data[np.repeat(start[first] - places[:-1], length[first]) + np.arange(places[-1])]
         index = np.concatenate([among[i + b] for i, b in zip(index, base)])
+        begin, length = start[first], length[first]
+        order = np.lexsort((_begins(data, begin, length), -np.bincount(index, minlength=len(first))))
+        rank = np.empty(len(order), np.uint32)
+        rank[order] = np.arange(len(order))
+        index = rank[index]
+        # Each word without its first boundary byte.
+        begin, length = begin[order] + 1, length[order] - 1
+        places = np.concatenate(([0], np.cumsum(length)))
+        data = data[np.repeat(begin - places[:-1], length) + np.arange(places[-1])]
         ids = pa.concat_arrays(ids)
         return pa.RecordBatch.from_arrays([
             pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-            *(pa.array([_pressed(x)], pa.binary()) for x in (
-                np.concatenate(sizes), data, length[first], index.astype(np.uint32)))],
-            ["doc_ids", "sizes", "spelt", "places", "index"])
+            *(pa.array([_pressed(x, 9)], pa.binary()) for x in (
+                np.concatenate(sizes), data, np.minimum(index, COMMON).astype(np.uint8), index[index >= COMMON]))],
+            ["doc_ids", "sizes", "spelt", "index", "rare"])
 
     def run(batches):
         parts, size = [], 0
@@ -136,31 +163,39 @@ def packs(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, PACKS).withColumn("owner", F.monotonically_increasing_id())
 
 
-def _unpacked(batch: pa.RecordBatch):
-    """Of each pack: (owner, words of each row, bytes of the distinct words, their offsets, index)."""
-    for row in batch.select(["owner", "sizes", "spelt", "places", "index"]).to_pylist():
-        offsets = np.concatenate(([0], np.cumsum(_restored(row["places"], np.int64))))
-        yield (row["owner"], _restored(row["sizes"], np.int64),
-               _restored(row["spelt"], np.uint8), offsets, _restored(row["index"], np.uint32).astype(np.int64))
+def _unpacked(pack: pa.Table):
+    """Of a pack's one row: (words of each row, bytes of the distinct words, their offsets, index)."""
+    row, = pack.select(["sizes", "spelt", "index", "rare"]).to_pylist()
+    data = _restored(row["spelt"], np.uint8)
+    size = np.diff(np.flatnonzero(data == 32), prepend=-1) + 1
+    offsets = np.concatenate(([0], np.cumsum(size)))
+    inner = np.ones(offsets[-1], dtype=bool)
+    inner[offsets[:-1]] = False
+    spelt = np.full(offsets[-1], 32, np.uint8)
+    spelt[inner] = data
+    index = _restored(row["index"], np.uint8).astype(np.int64)
+    index[index == COMMON] = _restored(row["rare"], np.uint32)
+    return _restored(row["sizes"], np.int64), spelt, offsets, index
 
 
 def run_counts(packed: DataFrame, labels: DataFrame) -> DataFrame:
     """(shard, runs, toxic, ordinary): counts of the runs in rows that ``labels`` (doc_id, toxic) has; a row per shard."""
 
-    def parts(batches):
-        for batch in batches:
-            for k, (_, sizes, spelt, offsets, index) in enumerate(_unpacked(batch)):
-                label = np.full(len(sizes), -1)
-                label[np.asarray(batch["rows"][k].values)] = np.asarray(batch["toxic"][k].values)
-                label = np.repeat(label, sizes)
-                own, word = _runs(spelt, offsets)
-                by_word = [np.bincount(index[label == k], minlength=len(offsets) - 1)[word] for k in (1, 0)]
-                seen = by_word[0] + by_word[1] > 0
-                value, at, bounds = _by_shard(own[seen])
-                count = [np.bincount(at, b[seen], len(value)).astype(np.int64) for b in by_word]
-                full = np.flatnonzero(np.diff(bounds)).tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), *(pa.array(
-                    [_pressed(x[bounds[k]:bounds[k + 1]]) for k in full], pa.binary()) for x in (value, *count))], names)
+    def parts(pack: pa.Table, marks: pa.Table) -> pa.Table:
+        if not len(pack) or not len(marks):
+            return pa.table([pa.array([], t) for t in (pa.int32(), *[pa.binary()] * 3)], names)
+        sizes, spelt, offsets, index = _unpacked(pack)
+        label = np.full(len(sizes), -1, np.int8)
+        label[marks["row"].to_numpy()] = marks["toxic"].to_numpy()
+        label = np.repeat(label, sizes)
+        own, word = _runs(spelt, offsets)
+        by_word = [np.bincount(index[label == k], minlength=len(offsets) - 1)[word] for k in (1, 0)]
+        seen = by_word[0] + by_word[1] > 0
+        value, at, bounds = _by_shard(own[seen])
+        count = [np.bincount(at, b[seen], len(value)).astype(np.int64) for b in by_word]
+        full = np.flatnonzero(np.diff(bounds)).tolist()
+        return pa.table([pa.array(full, pa.int32()), *(pa.array(
+            [_pressed(x[bounds[k]:bounds[k + 1]]) for k in full], pa.binary()) for x in (value, *count))], names)
 
     def total(table: pa.Table) -> pa.Table:
         value, toxic, ordinary = _counts(table)
@@ -169,9 +204,9 @@ def run_counts(packed: DataFrame, labels: DataFrame) -> DataFrame:
 
     names, schema = ["shard", "runs", "toxic", "ordinary"], "shard int, runs binary, toxic binary, ordinary binary"
     # Only ids meet the labels, not texts.
-    marks = packed.select("owner", F.posexplode("doc_ids").alias("row", "doc_id")).join(labels, "doc_id").groupBy("owner").agg(
-        F.collect_list(F.struct("row", "toxic")).alias("m")).select("owner", F.col("m.row").alias("rows"), "m.toxic")
-    return packed.drop("doc_ids").join(marks, "owner").mapInArrow(parts, schema).groupBy("shard").applyInArrow(total, schema)
+    marks = packed.select(F.col("owner").alias("owner"), F.posexplode("doc_ids").alias("row", "doc_id")).join(labels, "doc_id").select("owner", "row", "toxic")
+    return packed.drop("doc_ids").groupBy("owner").cogroup(marks.groupBy("owner")).applyInArrow(parts, schema).groupBy(
+        "shard").applyInArrow(total, schema)
 
 
 def _counts(table: pa.Table):
@@ -257,15 +292,14 @@ def answers(packed: DataFrame, counts: DataFrame) -> DataFrame:
     split = -(-packed.count() // ASKERS)
     small = packed.sparkSession.sparkContext.broadcast(short_runs(counts))
 
-    def ask(batches):
-        for batch in batches:
-            for owner, _, spelt, offsets, _ in _unpacked(batch):
-                value, _, bounds = _by_shard(_runs(spelt, offsets)[0])
-                full = np.flatnonzero(np.diff(bounds))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(len(full), owner)), pa.array(full, pa.int32()),
-                    pa.array([_pressed(value[bounds[k]:bounds[k + 1]]) for k in full.tolist()], pa.binary())],
-                    ["owner", "shard", "asked"])
+    def ask(pack: pa.Table) -> pa.Table:
+        _, spelt, offsets, _ = _unpacked(pack)
+        value, _, bounds = _by_shard(_runs(spelt, offsets)[0])
+        full = np.flatnonzero(np.diff(bounds))
+        return pa.table([
+            pa.array(np.full(len(full), pack["owner"][0].as_py())), pa.array(full, pa.int32()),
+            pa.array([_pressed(value[bounds[k]:bounds[k + 1]]) for k in full.tolist()], pa.binary())],
+            ["owner", "shard", "asked"])
 
     def answer(asks: pa.Table, known: pa.Table) -> pa.Table:
         asked = [_restored(x, np.int64) for x in asks["asked"].to_pylist()]
@@ -277,7 +311,7 @@ def answers(packed: DataFrame, counts: DataFrame) -> DataFrame:
         return pa.table([asks["owner"], asks["shard"], pa.array(
             [_pressed(found[at[a:b]]) for a, b in zip(bounds, bounds[1:])], pa.binary())], ["owner", "shard", "ratios"])
 
-    asks = packed.drop("doc_ids").mapInArrow(
+    asks = packed.drop("doc_ids").groupBy("owner").applyInArrow(
         ask, "owner long, shard int, asked binary").withColumn("part", F.pmod(F.xxhash64("owner"), F.lit(max(split, 1))))
     known = counts.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(split, 1) - 1).cast("long"))))
     return asks.groupBy("shard", "part").cogroup(known.groupBy("shard", "part")).applyInArrow(
@@ -290,7 +324,7 @@ def features(packed: DataFrame, labels: DataFrame) -> DataFrame:
     names = ["doc_id", *FEATURES]
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
-        (_, count, spelt, offsets, index), = _unpacked(own)
+        count, spelt, offsets, index = _unpacked(own)
         runs, word = _runs(spelt, offsets)
         _, at, _ = _by_shard(runs)
         by_run = np.concatenate([np.zeros(0, np.float32), *(
@@ -359,7 +393,7 @@ def scores(docs: DataFrame, labels: DataFrame, sample: int = 50_000) -> DataFram
     n, last = first.orderBy("order").limit(sample + 1).agg(F.count("*"), F.max("order")).first()
     if n > sample:
         apart = apart & (order < F.struct(F.lit(last["hash"]).cast("long").alias("hash"), F.lit(last["doc_id"]).cast("long").alias("doc_id")))
-    packed = store(packs(docs), "packs")
+    packed = store_dealt(packs(docs), "packs", "owner")
     found = store(features(packed, labels.where(~apart)), "features")
     rows = found.join(labels.where(apart), "doc_id").select("doc_id", *FEATURES, "toxic").toArrow()
     x = np.column_stack([rows[c].to_numpy() for c in FEATURES])

@@ -76,6 +76,24 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def store_dealt(df: DataFrame, name: str, column: str) -> DataFrame:
+    """As ``store``, in buckets by ``column``, as many as shuffles have partitions.
+
+    Joins and groups by that column read the buckets as they lie; only the other side of a join is dealt out.
+    """
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{table}"
+    if _made.get() is not None:
+        _made.get().append(path)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, column).option("path", path).saveAsTable(table, format="parquet")
+    try:
+        return spark.table(table)
+    finally:
+        # The frame knows the files and their buckets by now; the name isn't needed, the files stay.
+        spark.sql(f"DROP TABLE {table}")
+
+
 def store_alone(make: Callable[[], DataFrame], name: str) -> DataFrame:
     """Stores what ``make`` returns and removes the tables that were stored on the way, also if it fails."""
     spark, found, token = SparkSession.getActiveSession(), [], _made.set([])

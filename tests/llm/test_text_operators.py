@@ -15,6 +15,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
+from panelwright import session
 from panelwright.llm import decontaminate, licences, lines, near_copies, packing, pii, repeats, suffixes, tagger, textbytes
 from panelwright.llm import tokens, topk, toxicity, warc
 
@@ -372,6 +373,36 @@ def test_toxicity_counts_are_exact(spark, monkeypatch):
         assert got[i].peak_4 == pytest.approx(max((sum(ratio[k:k + 4]) / 4 for k in range(len(ratio))), default=0), abs=1e-4)
 
 
+def test_toxicity_packs_are_not_dealt_out_again(spark):
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 400))) for _ in range(120)]
+    df = spark.createDataFrame([(i, t, i % 2) for i, t in enumerate([*texts, None, " "])], "doc_id long, text string, toxic int").repartition(3)
+    labels = df.select("doc_id", "toxic")
+    plain = toxicity.packs(df).localCheckpoint()
+    packed = session.store_dealt(plain, "packs", "owner")
+    for found in (toxicity.run_counts(packed, labels), toxicity.features(packed, labels)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        dealt = re.findall(r"Exchange hashpartitioning\(owner.*\n.*", plan)
+        assert "Bucketed: true" in plan and all("spelt" not in x for x in dealt)
+    assert sorted(toxicity.features(packed, labels).collect()) == sorted(toxicity.features(plain, labels).collect())
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("packs")]
+
+
+def test_toxicity_packs_hold_every_word_in_order(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdeéZ\0ñ日") for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    rows = [[words[min(int(rng.expovariate(1 / 500)), 2999)] for _ in range(rng.randint(0, 90))] for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(map(" ".join, rows))), "doc_id long, text string").coalesce(1)
+    pack = toxicity.packs(df).toArrow()
+    sizes, spelt, offsets, index = toxicity._unpacked(pack)
+    assert len(offsets) - 1 > toxicity.COMMON and sizes.tolist() == list(map(len, rows))
+    found = [spelt[offsets[i]:offsets[i + 1]].tobytes() for i in index.tolist()]
+    assert found == [b" " + lower(w).encode() + b" " for own in rows for w in own]
+    # Common words come first, and one byte tells them.
+    assert len(toxicity._restored(pack["rare"][0].as_py(), "u4")) == (index >= toxicity.COMMON).sum() < len(index)
+    assert (np.diff(np.bincount(index)) <= 0).all()
+
+
 def test_toxicity_counts_all_but_the_calibration_rows(spark):
     rng = random.Random(9)
     apart = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 20 in (1, 2, 3, 4)]
