@@ -80,9 +80,12 @@ def _shared_minimizers(docs: DataFrame, packs: int, length: int) -> DataFrame:
             for first, last in T.chunks(offsets, 1 << 20):
                 text, _, _, value = runs(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first], length)
                 # Once per document.
-                pair = np.unique(np.rec.fromarrays([text, value], names="t,v")) if len(text) else None
-                if pair is not None:
-                    parts.append((pack[first + pair["t"]], pair["v"]))
+                order = np.lexsort((value, text))
+                text, value = text[order], value[order]
+                new = np.ones(len(text), dtype=bool)
+                new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
+                if len(text):
+                    parts.append((pack[first + text[new]], value[new]))
             if not parts:
                 continue
             pack_of, value = (np.concatenate(x) for x in zip(*parts))
@@ -205,12 +208,13 @@ def _settle(length: int):
         many = size - length + 1
         inside = np.arange(len(joined)) - np.repeat(start, size + 1)
         owner = np.repeat(np.arange(len(segment)), size + 1)
-        order = order[inside[order] < many[owner[order]]]
+        order = order[(inside < np.repeat(many, size + 1))[order]]
         plcp = S.common_prefixes(joined, order, length)
         new = np.concatenate(([True], plcp[order[1:]] < length))
-        least = np.minimum.reduceat(segment["doc"][owner[order]], np.flatnonzero(new))[np.cumsum(new) - 1]
+        doc = np.repeat(segment["doc"], size + 1)[order]
+        least = np.minimum.reduceat(doc, np.flatnonzero(new))[np.cumsum(new) - 1]
         goes = np.zeros(len(joined), dtype=bool)
-        goes[order] = least < segment["doc"][owner[order]]
+        goes[order] = least < doc
         spans, packs = [], []
         # Windows of the segments themselves, and of equal segments of the same document.
         edge = np.diff(np.concatenate(([0], goes.astype(np.int8), [0])))

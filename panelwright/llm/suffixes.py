@@ -17,11 +17,11 @@ U64 = np.uint64
 
 def _smaller(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its right neighbour (the last one isn't)."""
-    n = len(s)
     change = np.flatnonzero(s[1:] != s[:-1])
-    following = np.append(change, n - 1)[np.searchsorted(change, np.arange(n))]
-    rises = np.append(s[:-1] < s[1:], False)
-    return rises[following]
+    out = np.zeros(len(s), dtype=bool)
+    rises = np.repeat(s[change] < s[change + 1], np.diff(change, prepend=-1))
+    out[:len(rises)] = rises
+    return out
 
 
 def _induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray) -> np.ndarray:
@@ -91,7 +91,8 @@ def _ranks(names: np.ndarray, rounds: int) -> np.ndarray:
         open_ = np.flatnonzero(size[rank] > 1)
         base = np.cumsum(size) - size
         pair = rank[open_] * (len(rank) + 1) + after[open_]
-        order = np.argsort(pair, kind="stable")
+        # Equal pairs get one rank, so their order doesn't count.
+        order = np.argsort(pair)
         value = pair[order]
         fresh = np.concatenate(([True], value[1:] != value[:-1]))
         # A rank is the number of smaller suffixes; a group's members are renumbered within its range.
@@ -131,7 +132,12 @@ def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
         name = np.empty(len(lms), np.int64)
         name[own] = np.concatenate(([0], np.cumsum(differs)))
         rank = _ranks(name, max(1, int(np.ceil(np.log2(depth))) + 1))
-        lms = lms[np.argsort(rank, kind="stable")]
+        if rank.max() + 1 == len(rank):
+            order = np.empty(len(rank), np.int64)
+            order[rank] = np.arange(len(rank))
+        else:
+            order = np.argsort(rank, kind="stable")
+        lms = lms[order]
     return _induce(s, smaller, lms)
 
 
@@ -159,22 +165,14 @@ def common_prefixes(s: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     alive = np.arange(len(place))
     while reached < depth and len(alive):
         a, b = place[alive] + reached, before[alive] + reached
-        inside = np.maximum(a, b) + 8 <= len(s)
-        same = np.zeros(len(alive), dtype=bool)
-        same[inside] = eight[a[inside]] == eight[b[inside]]
-        # Where the eight bytes differ or the text ends, count one by one.
-        rest = alive[~same]
-        x, y = place[rest] + reached, before[rest] + reached
-        count = np.zeros(len(rest), np.int64)
-        going = np.ones(len(rest), dtype=bool)
-        for _ in range(8):
-            going &= np.maximum(x + count, y + count) < len(s)
-            if not going.any():
-                break
-            at = np.flatnonzero(going)
-            going[at] = s[x[at] + count[at]] == s[y[at] + count[at]]
-            count += going
-        plcp[place[rest]] = reached + count
+        left = len(s) - np.maximum(a, b)
+        differs = eight[np.minimum(a, len(s) - 1)] ^ eight[np.minimum(b, len(s) - 1)]
+        # The zero bits below the lowest one that is set; all 64 if none is.
+        with np.errstate(over="ignore"):
+            count = np.bitwise_count((differs & (~differs + U64(1))) - U64(1)) >> 3
+        count = np.minimum(count, np.maximum(left, 0))
+        same = count == 8
+        plcp[place[alive[~same]]] = reached + count[~same]
         alive = alive[same]
         reached += 8
     plcp[place[alive]] = reached

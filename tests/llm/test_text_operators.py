@@ -241,6 +241,21 @@ def test_suffix_arrays_and_common_prefixes():
             assert shared[a] == min(n, 50)
 
 
+def test_common_prefixes_end_with_the_text_and_count_any_byte():
+    rng = np.random.default_rng(1)
+    for trial in range(150):
+        s = rng.choice(np.array([0, 1, 128, 255], np.uint8)[:int(rng.integers(1, 5))], int(rng.integers(1, 120)))
+        s = np.tile(s[:max(1, len(s) // 3)], 3) if trial % 2 else s
+        raw = s.tobytes()
+        want = sorted(range(len(raw)), key=lambda i: raw[i:])
+        assert suffixes._smaller(s).tolist() == [raw[i:] < raw[i + 1:] for i in range(len(raw) - 1)] + [False]
+        assert suffixes.suffix_array(s, 1000).tolist() == want
+        shared = suffixes.common_prefixes(s, np.array(want), 50)
+        for a, b in zip(want[1:], want):
+            n = next((k for k, (x, y) in enumerate(zip(raw[a:], raw[b:])) if x != y), min(len(raw) - a, len(raw) - b))
+            assert shared[a] == min(n, 50)
+
+
 def plain_repeats(rows, length=50):
     first = {}
     for i, t in rows:
