@@ -14,6 +14,7 @@ number. Texts go in packs; a pack asks once for each of its distinct runs. All t
 needs is counted from runs with the same two bytes before the last, so runs and counts meet in ``SHARDS`` groups by
 these bytes, and only the shared probabilities after at most one byte, 2**16 values, are the same for all. The
 answers go back to the pack. Groups that many packs ask are split, so none holds more than ``ASKERS`` packs' runs.
+The runs of a pack are formed and sorted for about ``BLOCK`` bytes of its distinct words at a time.
 
 Packs are by far the most of what is stored. They lie in buckets by their number, so labels and answers come to them
 and they are never dealt out again, and a task holds one at a time.
@@ -34,6 +35,7 @@ ORDER = 7
 DISCOUNT = 0.75
 WINDOWS = (1, 4, 16)
 PACK, SHARDS, ASKERS = 1 << 23, 256, 256
+BLOCK = 1 << 18
 
 
 def remainder(doc_id: Column, by: int) -> Column:
@@ -89,14 +91,23 @@ def _cut(run: np.ndarray, length: int) -> np.ndarray:
     return run & ((1 << 8 * length) - 1)
 
 
-def _by_shard(run: np.ndarray):
-    """(distinct runs by shard and value, index of each run among them, bounds of the shards)."""
-    value, index = np.unique(run, return_inverse=True)
+def _blocks(data: np.ndarray, offsets: np.ndarray):
+    """Of some distinct words at a time: (distinct runs, index of each run among them, its word, range of the words)."""
+    for first, last in T.chunks(offsets, BLOCK):
+        run, word = _runs(data[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first])
+        value, index = np.unique(run, return_inverse=True)
+        yield value, index.astype(np.int32), word, slice(first, last)
+
+
+def _by_shard(value: np.ndarray):
+    """(order of distinct runs by shard and value, bounds of the shards); ``value`` is sorted."""
     shard = (T.mix(_cut(value >> 8, 2).astype(U64)) % U64(SHARDS)).astype(np.int16)
     order = np.argsort(shard, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    return value[order], place[index], np.searchsorted(shard[order], np.arange(SHARDS + 1))
+    return order, np.searchsorted(shard[order], np.arange(SHARDS + 1))
+
+
+def _all_runs(parts: list[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([np.zeros(0, np.int64), *parts]))
 
 
 PACKS = "doc_ids array<long>, sizes binary, spelt binary, index binary, rare binary"
@@ -188,11 +199,16 @@ def run_counts(packed: DataFrame, labels: DataFrame) -> DataFrame:
         label = np.full(len(sizes), -1, np.int8)
         label[marks["row"].to_numpy()] = marks["toxic"].to_numpy()
         label = np.repeat(label, sizes)
-        own, word = _runs(spelt, offsets)
-        by_word = [np.bincount(index[label == k], minlength=len(offsets) - 1)[word] for k in (1, 0)]
-        seen = by_word[0] + by_word[1] > 0
-        value, at, bounds = _by_shard(own[seen])
-        count = [np.bincount(at, b[seen], len(value)).astype(np.int64) for b in by_word]
+        by_word = [np.bincount(index[label == k], minlength=len(offsets) - 1) for k in (1, 0)]
+        del label, index
+        found = []
+        for value, at, word, part in _blocks(spelt, offsets):
+            count = [np.bincount(at, b[part][word], len(value)).astype(np.int64) for b in by_word]
+            seen = count[0] + count[1] > 0
+            found.append([x[seen] for x in (value, *count)])
+        value, *count = _summed(found)
+        order, bounds = _by_shard(value)
+        value, count = value[order], [x[order] for x in count]
         full = np.flatnonzero(np.diff(bounds)).tolist()
         return pa.table([pa.array(full, pa.int32()), *(pa.array(
             [_pressed(x[bounds[k]:bounds[k + 1]]) for k in full], pa.binary()) for x in (value, *count))], names)
@@ -213,7 +229,13 @@ def _counts(table: pa.Table):
     """Distinct runs of all rows and the sums of their counts."""
     if not len(table):
         return (np.zeros(0, np.int64),) * 3
-    every = [np.concatenate([_restored(x, np.int64) for x in table[c].to_pylist()]) for c in ("runs", "toxic", "ordinary")]
+    return _summed(list(zip(*([_restored(x, np.int64) for x in table[c].to_pylist()] for c in ("runs", "toxic", "ordinary")))))
+
+
+def _summed(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    if not parts:
+        return (np.zeros(0, np.int64),) * 3
+    every = [np.concatenate(x) for x in zip(*parts)]
     value, at = np.unique(every[0], return_inverse=True)
     return value, *(np.bincount(at, x, len(value)).astype(np.int64) for x in every[1:])
 
@@ -294,8 +316,9 @@ def answers(packed: DataFrame, counts: DataFrame) -> DataFrame:
 
     def ask(pack: pa.Table) -> pa.Table:
         _, spelt, offsets, _ = _unpacked(pack)
-        value, _, bounds = _by_shard(_runs(spelt, offsets)[0])
-        full = np.flatnonzero(np.diff(bounds))
+        value = _all_runs([value for value, *_ in _blocks(spelt, offsets)])
+        order, bounds = _by_shard(value)
+        value, full = value[order], np.flatnonzero(np.diff(bounds))
         return pa.table([
             pa.array(np.full(len(full), pack["owner"][0].as_py())), pa.array(full, pa.int32()),
             pa.array([_pressed(value[bounds[k]:bounds[k + 1]]) for k in full.tolist()], pa.binary())],
@@ -325,11 +348,17 @@ def features(packed: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(own: pa.Table, found: pa.Table) -> pa.Table:
         count, spelt, offsets, index = _unpacked(own)
-        runs, word = _runs(spelt, offsets)
-        _, at, _ = _by_shard(runs)
-        by_run = np.concatenate([np.zeros(0, np.float32), *(
+        blocks = list(_blocks(spelt, offsets))
+        runs = _all_runs([value for value, *_ in blocks])
+        order, _ = _by_shard(runs)
+        by_run = np.empty(len(runs), np.float32)
+        by_run[order] = np.concatenate([np.zeros(0, np.float32), *(
             _restored(x, np.float32) for x in found.sort_by("shard")["ratios"].to_pylist())])
-        ratio = np.bincount(word, by_run[at], len(offsets) - 1)[index]
+        by_word = np.zeros(len(offsets) - 1)
+        for value, at, word, part in blocks:
+            by_word[part] = np.bincount(word, by_run[np.searchsorted(runs, value)][at], part.stop - part.start)
+        del blocks, spelt
+        ratio = by_word[index]
         stop_of = np.cumsum(count)
         text = np.repeat(np.arange(len(count)), count)
         total = np.concatenate(([0.0], np.cumsum(ratio)))

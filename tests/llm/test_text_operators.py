@@ -7,6 +7,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -418,6 +419,28 @@ def test_toxicity_packs_hold_every_word_in_order(spark):
     assert (np.diff(np.bincount(index)) <= 0).all()
 
 
+def test_toxicity_forms_runs_of_a_pack_block_by_block(monkeypatch):
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abcdeé日") for _ in range(rng.randint(1, 12))).encode() for _ in range(30_000)})
+    spelt = np.frombuffer(b"".join(b" " + w + b" " for w in words), np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(w) + 2 for w in words])))
+    run, word = toxicity._runs(spelt, offsets)
+    monkeypatch.setattr(toxicity, "BLOCK", 1 << 12)
+    blocks = list(toxicity._blocks(spelt, offsets))
+    assert len(blocks) >= len(spelt) // toxicity.BLOCK > 50 and max(len(at) for _, at, *_ in blocks) < toxicity.BLOCK
+    assert np.array_equal(np.concatenate([value[at] for value, at, *_ in blocks]), run)
+    assert np.array_equal(np.concatenate([own + part.start for _, _, own, part in blocks]), word)
+    assert np.array_equal(toxicity._all_runs([value for value, *_ in blocks]), np.unique(run))
+    assert not list(toxicity._blocks(spelt[:0], offsets[:1]))
+    del blocks, run, word
+    tracemalloc.start()
+    for _ in toxicity._blocks(spelt, offsets):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * len(spelt)
+
+
 def test_toxicity_counts_all_but_the_calibration_rows(spark):
     rng = random.Random(9)
     apart = [i for i in range(3000) if zlib.crc32(str(i).encode()) % 20 in (1, 2, 3, 4)]
