@@ -14,6 +14,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from panelwright import session
@@ -220,6 +221,20 @@ def test_a_very_common_line_costs_one_set(spark):
     assert got.where("n_removed = 1").count() == 2999 and got.where("n_removed > 1").count() == 0
 
 
+def test_line_dedup_parts_lines_once(spark, monkeypatch):
+    texts, own = [], lines.words
+    monkeypatch.setattr(lines, "words", lambda text: texts.append(text) or own(text))
+    rows = [(1, "a b c"), (2, "A  b\tc"), (3, "d e"), (4, " a b c"), (5, "d f")]
+    got = lines.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got if r.n_removed} == {2, 4} and len(texts) == 1
+
+
+def test_words_of_lines(spark):
+    rows = ["one", " One  two", "one two ", " one\ttwo", "a\x0bB\x0cc\r", "", " ", "  ", "É ß\u00a0x 日", None]
+    got = spark.createDataFrame([(t,) for t in rows], "t string").select("t", lines.words(F.col("t")).alias("w")).collect()
+    assert all(r.w == (None if r.t is None else re.split(r"[\x20\x09-\x0D]+", r.t.lower().strip(" \t\n\x0b\x0c\r"))) for r in got)
+
+
 def test_line_dedup_plan_has_no_python(spark):
     plan = lines.report(awkward(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
