@@ -149,8 +149,10 @@ def _similar_to_earlier(sets: DataFrame, ranks: Column, percent: int) -> DataFra
                      lambda x: F.shiftright(x["word"], 56) != ONCE)
     # Half a sketch, the set's size and the word's place in one number. A place beyond its bits counts as an earlier one.
     note = F.shiftleft("sketch1", 32).bitwiseOR(F.shiftleft(F.least(F.col("n"), F.lit(MOST)).cast("long"), AT)).bitwiseOR(F.col("x.at").cast("long"))
-    # The one value of ranks is merged into the expression that uses it; as a column it would be copied per line.
-    meeting = sets.withColumn("ranks", ranks).select("id", n.alias("n"), "sketch0", "sketch1", F.explode(first).alias("x")).select(
+    # The one value of ranks is merged into the expression that uses it; as a column it would be copied per line. An inner
+    # explode would bring a filter that works that expression out again.
+    own = sets.withColumn("ranks", ranks).select("id", n.alias("n"), "sketch0", "sketch1", first.alias("first"))
+    meeting = own.select("id", "n", "sketch0", "sketch1", F.explode_outer("first").alias("x")).where("x is not null").select(
         "x.word", "id", F.col("sketch0").alias("sketch"), note.alias("note"))
     # Dealt once and kept, as Spark would deal the same rows out for either side of the join.
     partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
