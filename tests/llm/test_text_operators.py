@@ -9,6 +9,7 @@ import random
 import re
 import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -235,6 +236,20 @@ def test_words_of_lines(spark):
     assert all(r.w == (None if r.t is None else re.split(r"[\x20\x09-\x0D]+", r.t.lower().strip(" \t\n\x0b\x0c\r"))) for r in got)
 
 
+def test_line_dedup_leaves_no_texts_of_lines_on_disk(spark):
+    def left():
+        folders = [Path(d) for d in spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()]
+        return {f: f.stat().st_size for d in folders for f in d.rglob("shuffle_*.data")}
+
+    rng = random.Random(11)
+    rows = [(i, "\n".join(" ".join(f"{rng.getrandbits(400):x}" for _ in range(12)) for _ in range(4))) for i in range(4000)]
+    rows.append((4000, rows[7][1]))
+    before, settings = left(), dict(spark.conf.getAll)
+    got = lines.report(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).where("n_removed > 0").collect()
+    assert [(r.doc_id, r.n_removed) for r in got] == [(4000, 4)] and dict(spark.conf.getAll) == settings
+    assert sum(size for f, size in left().items() if f not in before) < 0.4 * sum(len(t) for _, t in rows)
+
+
 def test_line_dedup_plan_has_no_python(spark):
     plan = lines.report(awkward(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
