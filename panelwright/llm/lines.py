@@ -27,7 +27,6 @@ collides are kept rather than removed. What a step dealt out goes from the disks
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark import StorageLevel
@@ -39,7 +38,7 @@ from panelwright.session import store, store_dealt
 BITS, CHUNK = 22, 1024
 FLAGS = 20
 LEVELS = 4.2
-ONCE = int(math.log1p(1) * LEVELS)
+ONCE = 0
 AT, MOST = 12, (1 << 20) - 1
 BLANK = r"[\x20\x09-\x0D]+"
 ROUNDS, WIDE = 3, 4
@@ -75,9 +74,9 @@ def _dense(found: DataFrame, bits: int, kind: str) -> Column:
 def rarity(sets: DataFrame) -> Column:
     """An array of a rank by bucket of codes, rising with how many of the ``sets`` have them; one value for a query.
 
-    A rank is a byte. ``ONCE`` is the rank of buckets with one code of one set, and of no others.
+    A rank is a byte. ``ONCE`` is the rank of buckets with one code of one set, and of no others with any.
     """
-    found = sets.select(F.explode("codes").alias("code")).groupBy(_bucket(F.col("code")).alias("id")).count()
+    found = sets.select(F.explode("codes").alias("code")).groupBy(_bucket(F.col("code")).alias("id")).count().where("count > 1")
     return _dense(found.select("id", F.least(F.floor(F.log1p("count") * LEVELS), F.lit(127)).alias("value")), BITS, "byte")
 
 
@@ -188,6 +187,7 @@ def _similar_to_earlier(sets: DataFrame, lines: DataFrame, percent: int) -> Data
     # Dealt once and kept, as Spark would deal the same rows out for either side of the join.
     partitions = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     meeting = meeting.repartition(partitions, "word").sortWithinPartitions("word").persist(StorageLevel.MEMORY_AND_DISK)
+    meeting.count()  # else either side of the join would set out to make it
     columns = ("id", "sketch", "note")
     a, b = named(meeting, "_a", *columns), named(meeting, "_b", *columns)
     # Most lines are like no other. From here on there are only rows that met one they may be similar to.
